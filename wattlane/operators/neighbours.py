@@ -24,14 +24,16 @@ TRAIN_BLOCK = 32_768
 SLACK = 1e-9  # relative room for rounding in the triangle inequality
 
 
-def _distances(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
+def _distances(queries: np.ndarray, rows: np.ndarray, p: float = 2) -> np.ndarray:
+    """Minkowski distances, one dimension at a time so no third axis is held in memory."""
     total = np.zeros((len(queries), len(rows)))
     for d in range(queries.shape[1]):
-        total += (queries[:, d, None] - rows[None, :, d]) ** 2
-    return np.sqrt(total)
+        gap = np.abs(queries[:, d, None] - rows[None, :, d])
+        total += gap if p == 1 else gap ** p
+    return total if p == 1 else np.sqrt(total) if p == 2 else total ** (1 / p)
 
 
-def _with_cell(df: DataFrame, pivots: np.ndarray) -> DataFrame:
+def _with_cell(df: DataFrame, pivots: np.ndarray, p: float) -> DataFrame:
     """Adds ``cell`` (nearest pivot) and ``r`` (distance to it)."""
 
     @F.pandas_udf("cell int, r double")
@@ -40,16 +42,17 @@ def _with_cell(df: DataFrame, pivots: np.ndarray) -> DataFrame:
             if not len(vectors):
                 yield pd.DataFrame({"cell": [], "r": []})
                 continue
-            d = _distances(np.stack(vectors.to_numpy()), pivots)
+            d = _distances(np.stack(vectors.to_numpy()), pivots, p)
             cell = d.argmin(axis=1)
             yield pd.DataFrame({"cell": cell.astype("int32"), "r": d[np.arange(len(cell)), cell]})
 
     return df.withColumn("_p", nearest("vec")).select("*", "_p.cell", "_p.r").drop("_p")
 
 
-def _routes(pivots: np.ndarray, query_cells: list, train_cells: list, k: int) -> list[tuple]:
+def _routes(pivots: np.ndarray, query_cells: list, train_cells: list, k: int,
+            p: float) -> list[tuple]:
     """(query cell, train cell, smallest useful train radius). Bounded by pivots squared."""
-    between = _distances(pivots, pivots)
+    between = _distances(pivots, pivots, p)
     sizes = np.array([c["n"] for c in train_cells])
     radii = np.array([c["rmax"] for c in train_cells])
     ids = np.array([c["cell"] for c in train_cells])
@@ -65,7 +68,7 @@ def _routes(pivots: np.ndarray, query_cells: list, train_cells: list, k: int) ->
     return out
 
 
-def _block_join(k: int):
+def _block_join(k: int, p: float):
     def nearest_in_block(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         if queries.empty or rows.empty:
             return pd.DataFrame({"qid": [], "dist": [], "tid": [], "y": []})
@@ -75,7 +78,7 @@ def _block_join(k: int):
         wanted, parts = np.stack(queries["vec"].to_numpy()), []
         top = min(k, len(tid))
         for start in range(0, len(qid), 128):
-            d = _distances(wanted[start:start + 128], vectors)
+            d = _distances(wanted[start:start + 128], vectors, p)
             best = np.argsort(d, axis=1, kind="stable")[:, :top]
             parts.append(pd.DataFrame({
                 "qid": np.repeat(qid[start:start + 128], top),
@@ -87,9 +90,9 @@ def _block_join(k: int):
 
 
 def nearest_neighbours(train: DataFrame, queries: DataFrame, vector: str, label: str, train_id: str, query_id: str,
-                       k: int = 50, n_pivots: int = 64) -> DataFrame:
+                       k: int = 50, p: float = 2, n_pivots: int = 64) -> DataFrame:
     """``(qid, dist, tid, y)``: the k nearest train rows of every query, ties by train id.
-    Both ids must be unique integers. Vectors are arrays of double."""
+    Both ids must be unique integers. Vectors are arrays of double; ``p`` >= 1 is the Minkowski order."""
     rows = train.select(F.col(train_id).cast("long").alias("tid"), F.col(vector).cast("array<double>").alias("vec"),
                         F.col(label).cast("double").alias("y"))
     # Of identical vectors only the k lowest ids can ever be chosen.
@@ -102,14 +105,14 @@ def nearest_neighbours(train: DataFrame, queries: DataFrame, vector: str, label:
     if not picked:
         return rows.select(F.lit(0).cast("long").alias("qid"), F.lit(0.0).alias("dist"), "tid", "y").where("false")
     pivots = np.array([r["vec"] for r in picked], dtype="float64")
-    rows, wanted = settle(_with_cell(rows, pivots), "knn-train"), settle(_with_cell(wanted, pivots), "knn-query")
+    rows, wanted = settle(_with_cell(rows, pivots, p), "knn-train"), settle(_with_cell(wanted, pivots, p), "knn-query")
 
     def cells(df: DataFrame) -> list:
         return df.groupBy("cell").agg(F.count("*").alias("n"), F.max("r").alias("rmax")).collect()
 
     train_cells, query_cells = cells(rows), cells(wanted)
     sizes = {c["cell"]: c["n"] for c in train_cells}
-    routes = _routes(pivots, query_cells, train_cells, k)
+    routes = _routes(pivots, query_cells, train_cells, k, p)
     offered: dict[int, int] = {}
     for cell, t, _ in routes:
         offered[cell] = offered.get(cell, 0) + sizes[t]
@@ -130,15 +133,15 @@ def nearest_neighbours(train: DataFrame, queries: DataFrame, vector: str, label:
         "tid", "vec", "y")
     keys = ["cell", "qb", "tb"]
     best = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
-        _block_join(k), "qid long, dist double, tid long, y double")
+        _block_join(k, p), "qid long, dist double, tid long, y double")
     order = Window.partitionBy("qid").orderBy("dist", "tid")
     return best.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= k).drop("_k")
 
 
 def knn_predict(train: DataFrame, queries: DataFrame, vector: str, label: str, train_id: str, query_id: str,
-                k: int = 50, weights: str = "distance", n_pivots: int = 64) -> DataFrame:
+                k: int = 50, weights: str = "distance", p: float = 2, n_pivots: int = 64) -> DataFrame:
     """``(qid, prediction)``. With distance weights an exact match overrides all others."""
-    near = nearest_neighbours(train, queries, vector, label, train_id, query_id, k, n_pivots)
+    near = nearest_neighbours(train, queries, vector, label, train_id, query_id, k, p, n_pivots)
     if weights == "uniform":
         return near.groupBy("qid").agg(F.avg("y").alias("prediction"))
     if weights != "distance":

@@ -48,23 +48,23 @@ class RidgeRegression(Estimator):
 class KnnRegressor(Estimator):
     """k nearest neighbours; see ``operators.neighbours``. Rows need a unique integer key."""
 
-    def __init__(self, k: int = 50, weights: str = "distance"):
+    def __init__(self, k: int = 50, weights: str = "distance", p: float = 2):
         super().__init__()
-        self.k, self.weights = int(k), weights
+        self.k, self.weights, self.p = int(k), weights, p
 
     def _fit(self, dataset: DataFrame):
         train = dataset.select(F.col(KEY), vector_to_array(FEATURES).alias("vec"), F.col(LABEL))
-        return KnnModel(train, self.k, self.weights)
+        return KnnModel(train, self.k, self.weights, self.p)
 
 
 class KnnModel(Model):
-    def __init__(self, train: DataFrame, k: int, weights: str):
+    def __init__(self, train: DataFrame, k: int, weights: str, p: float = 2):
         super().__init__()
-        self.train, self.k, self.weights = train, k, weights
+        self.train, self.k, self.weights, self.p = train, k, weights, p
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         queries = dataset.select(F.col(KEY), vector_to_array(FEATURES).alias("vec"))
-        found = knn_predict(self.train, queries, "vec", LABEL, KEY, KEY, self.k, self.weights)
+        found = knn_predict(self.train, queries, "vec", LABEL, KEY, KEY, self.k, self.weights, self.p)
         return dataset.join(found.withColumnRenamed("qid", KEY), KEY, "left")
 
 
@@ -77,9 +77,10 @@ def _ridge(alpha: float = 1.0, fit_intercept: bool = True, random_state: int | N
 
 
 def _knn(n_neighbors: int = 5, weights: str = "uniform", metric: str = "minkowski", p: int = 2):
-    if (metric, p) != ("minkowski", 2) and metric != "euclidean":
-        raise ValueError("only the Euclidean distance is available")
-    return KnnRegressor(n_neighbors, weights)
+    order = {"euclidean": 2, "manhattan": 1, "minkowski": p}
+    if metric not in order:
+        raise ValueError(f"unknown metric {metric!r}")
+    return KnnRegressor(n_neighbors, weights, order[metric])
 
 
 # Spark's deepest tree is 30; an unlimited depth maps to it.
@@ -161,7 +162,12 @@ DEFAULT_CONFIG: dict[str, Any] = {
 
 # Accepted hyper-parameters per model type (a pair is an inclusive integer range).
 ALLOWED_PARAMS: dict[str, dict[str, Any]] = {
-    "decision_tree": {"min_samples_split": (2, 20), "min_samples_leaf": (1, 10)},
+    "ridge": {"alpha": [0.1, 0.5, 1.0, 10.0], "fit_intercept": [True, False]},
+    "linear_regression": {"fit_intercept": [True, False], "n_jobs": [-1, 1, 2, 4]},
+    "knn": {"n_neighbors": (3, 100), "weights": ["uniform", "distance"],
+            "metric": ["euclidean", "manhattan", "minkowski"]},
+    "decision_tree": {"max_depth": [None, 3, 5, 10, 15, 20], "min_samples_split": (2, 20),
+                      "min_samples_leaf": (1, 10)},
     "random_forest": {"n_estimators": (10, 200), "max_depth": [None, 3, 4, 5, 10, 15, 20]},
     "gradient_boosting": {"n_estimators": (10, 200), "learning_rate": [0.001, 0.01, 0.05, 0.1, 0.2],
                           "max_depth": (2, 10)},
@@ -217,7 +223,7 @@ def assemble(df: DataFrame, features: list[str], target: str, key: str | None =
 def save_model(model: Model, path: str, spark: SparkSession) -> str:
     if isinstance(model, KnnModel):
         model.train.write.mode("overwrite").parquet(f"{path}/train")
-        write_report(spark, {"kind": "knn", "k": model.k, "weights": model.weights}, f"{path}/kind")
+        write_report(spark, {"kind": "knn", "k": model.k, "weights": model.weights, "p": model.p}, f"{path}/kind")
     else:
         PipelineModel([model]).write().overwrite().save(f"{path}/pipeline")
         write_report(spark, {"kind": "spark"}, f"{path}/kind")
@@ -227,5 +233,5 @@ def save_model(model: Model, path: str, spark: SparkSession) -> str:
 def load_model(path: str, spark: SparkSession) -> Model:
     kind = json.loads(spark.read.text(f"{path}/kind").first()["value"])
     if kind["kind"] == "knn":
-        return KnnModel(spark.read.parquet(f"{path}/train"), kind["k"], kind["weights"])
+        return KnnModel(spark.read.parquet(f"{path}/train"), kind["k"], kind["weights"], kind["p"])
     return PipelineModel.load(f"{path}/pipeline")

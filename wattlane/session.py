@@ -63,13 +63,13 @@ def settle(df: DataFrame, name: str = "stage") -> DataFrame:
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of the optimized plan; runs no job."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # e.g. a Connect session: treat as large
         return 1 << 62
 
 
-def is_small(df: DataFrame, limit: int = SMALL_INPUT_BYTES) -> bool:
-    return estimated_bytes(df) <= limit
+def is_small(df: DataFrame, limit: int | None = None) -> bool:
+    return estimated_bytes(df) <= (SMALL_INPUT_BYTES if limit is None else limit)
 
 
 def choose_method(df: DataFrame, method: str = "auto") -> str:
