@@ -17,8 +17,8 @@ from wattlane.operators.grid import complete_grid, fill_label, full_grid, missin
 from wattlane.operators.impute import impute_by_hierarchy, impute_by_ratio, impute_mode_by_key
 from wattlane.operators.quantiles import exact_quantiles
 from wattlane.operators.summaries import group_mean
-from wattlane.plans.cleaning import clean
-from wattlane.session import choose_method, stage
+from wattlane.plans.cleaning import clean, cleaning_counts, typed_readings
+from wattlane.session import choose_method, settle
 
 SLOTS = """
 slots AS (SELECT event_id, time_bucket(INTERVAL '15 minutes', ts) AS ts, user_id, event_type, value, k FROM ev),
@@ -78,11 +78,11 @@ def clean_flagship(spark, d):
     events = table(spark, d, "events").select("event_id", "ts", "event_type", "value")
     method = choose_method(events)
     first = dedupe_by_time(events.withColumn("ts", slot_floor(F.col("ts"))), "ts", ["event_id"])
-    ruled = stage(first.select(
+    ruled = settle(first.select(
         "event_type", day_name(F.col("ts")).alias("day_of_week"),
-        in_range_or_null(F.col("value"), 1, 200).alias("value")), method, "ruled")
-    filled = stage(impute_by_hierarchy(
-        ruled, ["value"], [["event_type", "day_of_week"], ["day_of_week"], []], method), method, "filled")
+        in_range_or_null(F.col("value"), 1, 200).alias("value")), "ruled")
+    filled = settle(impute_by_hierarchy(
+        ruled, ["value"], [["event_type", "day_of_week"], ["day_of_week"], []], method), "filled")
     capped = cap_iqr(filled, ["value"], 1.5, method)
     return rounded(capped.groupBy("event_type", "day_of_week").agg(
         F.count("*").alias("n"), F.avg("value").alias("mean_value")))
@@ -471,7 +471,7 @@ SELECT count(*) AS n_original, count(*) - count(date) AS n_na_date, count(date)
        count(DISTINCT date) AS n_final FROM typed
 """)
 def cleaning_counts_query(spark, d):
-    return clean(raw_readings(spark, d), ordinal=["event_id"], method=choose_method(table(spark, d, "events"))).counts
+    return cleaning_counts(typed_readings(raw_readings(spark, d)), "date")
 
 
 @query("mean_by_load_type", f"""

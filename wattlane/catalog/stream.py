@@ -1,0 +1,63 @@
+"""Streaming queries over the events file; each must equal the batch result."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from wattlane.catalog.modelling import ModelSpec, assemble, build_estimator
+from wattlane.catalog.registry import query, rounded, table
+from wattlane.functions import in_range_or_null
+from wattlane.operators.cap import iqr_fences
+from wattlane.operators.features import FeatureConfig, fit_features
+from wattlane.operators.quantiles import group_quantile
+from wattlane.plans.scoring import Scorer
+from wattlane.session import settle
+from wattlane.streaming import clean_stream, dedupe_stream, run_available, score_stream, window_mean
+
+
+def event_stream(spark, d):
+    schema = table(spark, d, "events").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+
+
+@query("stream_window_mean", """
+SELECT time_bucket(INTERVAL '15 minutes', ts) AS slot, count(*) AS n, round(avg(value), 6) AS mean FROM events GROUP BY 1
+""")
+def stream_window_mean(spark, d):
+    return rounded(run_available(window_mean(event_stream(spark, d), "ts", "value"), "window", "complete"))
+
+
+@query("stream_dedupe", "SELECT DISTINCT date_trunc('minute', ts) AS minute FROM events")
+def stream_dedupe(spark, d):
+    minutes = event_stream(spark, d).withColumn(
+        "minute", F.date_trunc("minute", "ts").cast("timestamp_ntz"))
+    return run_available(dedupe_stream(minutes, "ts", ["minute"]).select("minute"), "dedupe")
+
+
+@query("stream_clean", """
+WITH r AS (SELECT event_id, event_type, CASE WHEN value BETWEEN 1 AND 200 THEN value END AS value FROM events),
+m AS (SELECT event_type, median(value) AS m FROM r GROUP BY event_type),
+q AS (SELECT quantile_cont(value, 0.25) AS a, quantile_cont(value, 0.75) AS b FROM r)
+SELECT event_id, r.event_type, round(greatest(least(coalesce(value, m), b + 1.5 * (b - a)), a - 1.5 * (b - a)), 6) AS value
+FROM r JOIN m ON r.event_type = m.event_type, q
+""")
+def stream_clean(spark, d):
+    """Medians and fences come from a batch pass over the same table and stay fixed for the stream."""
+    rule = {"value": in_range_or_null(F.col("value"), 1, 200)}
+    batch = table(spark, d, "events").withColumns(rule)
+    medians = settle(group_quantile(batch, ["value"], 0.5, ["event_type"]), "medians")
+    fences = {r["metric"]: (r["low"], r["high"]) for r in iqr_fences(batch, ["value"]).collect()}
+    stream = event_stream(spark, d).select("event_id", "event_type", "value")
+    return rounded(run_available(clean_stream(stream, rule, medians, ["event_type"], fences), "clean"))
+
+
+@query("stream_score")
+def stream_score(spark, d):
+    """A stream of events scored by a model fitted on the stored table."""
+    raw = table(spark, d, "events").select("event_id", "user_id", "event_type", "value")
+    features = fit_features(raw, FeatureConfig(target="value", drop=(), keep=("event_id",)))
+    data = assemble(features.transform(raw), features.feature_names(), "value", "event_id")
+    model = build_estimator(ModelSpec("ridge", "ridge", {"alpha": 1.0})).fit(data)
+    scorer = Scorer(features, features.feature_names(), model, "event_id")
+    stream = event_stream(spark, d).select("event_id", "user_id", "event_type")
+    return rounded(run_available(score_stream(stream, scorer).select("event_id", "prediction"), "score"))

@@ -13,7 +13,7 @@ from wattlane.functions import (
     binary_code, day_name, seconds_since_midnight, slot_ceil, slot_floor, week_status,
 )
 from wattlane.operators.impute import impute_by_hierarchy
-from wattlane.session import choose_method, stage
+from wattlane.session import choose_method, settle
 
 
 def time_grid(df: DataFrame, ts: str, step: int = STEP_SECONDS) -> DataFrame:
@@ -92,5 +92,5 @@ def full_grid(df: DataFrame, ts: str, label: str, measures: Sequence[str], step:
     measures imputed by (label, day), then day, then globally."""
     method = choose_method(df, method)
     filled = fill_label(calendar_columns(complete_grid(df, ts, step), ts, step), ts, label)
-    filled = stage(filled, method, "grid")
+    filled = settle(filled, "grid")
     return impute_by_hierarchy(filled, measures, [[label, "day_of_week"], ["day_of_week"], []], method)

@@ -17,10 +17,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wattlane.session import choose_method, settle
+from wattlane.session import settle
 
 QUERY_BLOCK = 4_096
 TRAIN_BLOCK = 32_768
+MAX_PIVOTS = 256
+PIVOT_ROWS = 1_000
 SLACK = 1e-9  # relative room for rounding in the triangle inequality
 
 
@@ -90,9 +92,11 @@ def _block_join(k: int, p: float):
 
 
 def nearest_neighbours(train: DataFrame, queries: DataFrame, vector: str, label: str, train_id: str, query_id: str,
-                       k: int = 50, p: float = 2, n_pivots: int = 64) -> DataFrame:
+                       k: int = 50, p: float = 2, n_pivots: int | None = None) -> DataFrame:
     """``(qid, dist, tid, y)``: the k nearest train rows of every query, ties by train id.
     Both ids must be unique integers. Vectors are arrays of double; ``p`` >= 1 is the Minkowski order."""
+    if n_pivots is None:
+        n_pivots = min(MAX_PIVOTS, 1 + train.count() // PIVOT_ROWS)
     rows = train.select(F.col(train_id).cast("long").alias("tid"), F.col(vector).cast("array<double>").alias("vec"),
                         F.col(label).cast("double").alias("y"))
     # Of identical vectors only the k lowest ids can ever be chosen.
@@ -139,7 +143,7 @@ def nearest_neighbours(train: DataFrame, queries: DataFrame, vector: str, label:
 
 
 def knn_predict(train: DataFrame, queries: DataFrame, vector: str, label: str, train_id: str, query_id: str,
-                k: int = 50, weights: str = "distance", p: float = 2, n_pivots: int = 64) -> DataFrame:
+                k: int = 50, weights: str = "distance", p: float = 2, n_pivots: int | None = None) -> DataFrame:
     """``(qid, prediction)``. With distance weights an exact match overrides all others."""
     near = nearest_neighbours(train, queries, vector, label, train_id, query_id, k, p, n_pivots)
     if weights == "uniform":

@@ -59,8 +59,9 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 60) -> DataFram
     limits = limits.select("metric", F.when(flat, F.col("a") - 0.5).otherwise(F.col("a")).alias("a"),
                            F.when(flat, F.col("b") + 0.5).otherwise(F.col("b")).alias("b"))
     packed = limits.agg(F.map_from_entries(F.collect_list(F.struct("metric", F.struct("a", "b"))))).scalar()
-    index = [F.least(F.width_bucket(F.col(c).cast("double"), packed[c]["a"], packed[c]["b"], F.lit(bins)),
-                     F.lit(bins)).cast("long") for c in columns]
+    index = [F.when(F.col(c).isNotNull(), F.least(F.width_bucket(
+        F.col(c).cast("double"), packed[c]["a"], packed[c]["b"], F.lit(bins)), F.lit(bins))).cast("long")
+        for c in columns]
     counts = (
         df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("metric"), i.alias("bin"))
                                      for c, i in zip(columns, index)])))

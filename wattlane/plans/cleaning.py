@@ -21,7 +21,7 @@ from wattlane.operators.impute import impute_by_hierarchy, impute_by_ratio, impu
 from wattlane.operators.names import column_or_null, keys_first, normalise_names
 from wattlane.operators.profile import rule_violations
 from wattlane.operators.quantiles import exact_quantiles
-from wattlane.session import choose_method, stage
+from wattlane.session import choose_method, settle
 from wattlane.sources.tables import ORDINAL
 
 MIXED = "mixed_type_col"
@@ -66,6 +66,11 @@ def split_mixed(df: DataFrame, column: str = MIXED) -> DataFrame:
     return df.withColumns({f"{column}_num": number, f"{column}_label": mixed_label(F.col(column), number)})
 
 
+def typed_readings(raw: DataFrame, ts: str = D.TIMESTAMP) -> DataFrame:
+    """Names, types and categories; no row is dropped yet."""
+    return clean_categories(convert_types(normalise_names(raw), ts), ts)
+
+
 @dataclass
 class Cleaned:
     clean: DataFrame
@@ -77,24 +82,24 @@ def clean(raw: DataFrame, ts: str = D.TIMESTAMP, ordinal: Sequence[str] | None =
           cap_k: float = 1.5, with_grid: bool = False, method: str = "auto") -> Cleaned:
     """The whole cleaning of raw readings.
 
-    Statistics need the table as it stands after deduplication and range rules, so a
-    large one is written once at that point. Each later statistic (ratio, medians,
-    quartiles, modes) is then a column-pruned scan, not a repeat of the shuffle.
+    Statistics need the table as it stands after deduplication and range rules, so it
+    is written once at that point. Each later statistic (ratio, medians, quartiles,
+    modes) is then a column-pruned scan, not a repeat of the shuffle.
     """
     method = choose_method(raw, method)
     ordinal = list(ordinal or [ORDINAL])
-    typed = clean_categories(convert_types(normalise_names(raw), ts), ts)
+    typed = typed_readings(raw, ts)
     unique = dedupe_by_time(typed, ts, ordinal, strategy)
     unique = unique.withColumn("nsm", seconds_since_midnight(F.col(ts)))
-    ruled = stage(apply_physical_rules(unique), method, "ruled")
+    ruled = settle(apply_physical_rules(unique), "ruled")
 
     filled = impute_by_ratio(ruled, "co2_tco2", "usage_kwh", method) if {
         "co2_tco2", "usage_kwh"} <= set(ruled.columns) else ruled
-    filled = stage(impute_by_hierarchy(filled, D.MEASURES, LEVELS, method), method, "filled")
+    filled = settle(impute_by_hierarchy(filled, D.MEASURES, LEVELS, method), "filled")
     capped = split_mixed(cap_iqr(filled, D.ENERGY_COLUMNS, cap_k, method))
     labelled = impute_mode_by_key(capped, "load_type", "day_of_week", D.LOAD_TYPES, method)
     final = labelled.withColumn("day_status_num", binary_code(F.col("week_status")))
-    final = stage(keys_first(final.drop(*ordinal)), method, "clean")
+    final = settle(keys_first(final.drop(*ordinal)), "clean") if with_grid else keys_first(final.drop(*ordinal))
 
     grid = None
     if with_grid:
