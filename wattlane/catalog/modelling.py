@@ -21,7 +21,7 @@ from wattlane.plans.models import ModelSpec, assemble, build_estimator
 from wattlane.plans.scoring import Scorer
 from wattlane.plans.training import cross_validate, evaluate_fit, train
 from wattlane.catalog.report import histogram_sql
-from wattlane.session import settle, shared_dir
+from wattlane.session import settle, shared_dir, spread
 from wattlane.sources.ledger import compare_runs
 
 # ---- features over orders -------------------------------------------------
@@ -359,7 +359,7 @@ def cross_validate_query(spark, d):
     """Fifteen fits of a one-feature regression, scored in one aggregate."""
     lines = labelled_lines(spark, d).select(*LINE_KEYS, "l_quantity", "y")
     folds = fit_repeated_folds(lines.select(*LINE_KEYS), LINE_KEYS).transform(lines)
-    data = assemble(folds.drop(*LINE_KEYS), ["l_quantity"], "y").persist()
+    data = spread(assemble(folds.drop(*LINE_KEYS), ["l_quantity"], "y")).persist()
     scores = settle(cross_validate(data, ModelSpec("ols", "linear_regression"), 3, 5), "cv")
     data.unpersist()
     return rounded(scores.select(F.col("repeat").cast("long").alias("repeat"), F.col("fold").cast("long").alias("fold"),
@@ -388,7 +388,7 @@ def fitted(spark, d, spec):
     """Train on the training part, score every split."""
     lines = labelled_lines(spark, d).select(*LINE_KEYS, *MODEL_FEATURES, "y")
     lines = fit_three_way_split(lines.select(*LINE_KEYS), LINE_KEYS).transform(lines)
-    data = assemble(lines.drop(*LINE_KEYS), MODEL_FEATURES, "y").persist()
+    data = spread(assemble(lines.drop(*LINE_KEYS), MODEL_FEATURES, "y")).persist()
     model = build_estimator(spec).fit(data.where("split = 'train'"))
     out = settle(evaluate_fit(model, data, spec.name), "fit")
     data.unpersist()
@@ -445,7 +445,7 @@ SMALL_TRAINING = {
 @query("train_compare")
 def train_compare(spark, d):
     """Split, cross-validate, fit and compare three models on the joined order table."""
-    built, features = build_features(order_features(spark, d), ORDER_CONFIG)
+    built, features = build_features(settle(order_features(spark, d), "orders"), ORDER_CONFIG)
     result = train(built, SMALL_TRAINING, features.feature_names(), ["o_orderkey"],
                    f"{shared_dir(spark)}/train-{uuid.uuid4().hex}")
     return rounded(result.comparison.drop("cv_rmse_scores", "cv_mae_scores", "cv_r2_scores"), 4)
@@ -454,7 +454,7 @@ def train_compare(spark, d):
 @query("batch_score")
 def batch_score(spark, d):
     """Fit on the training part, then score the whole table through the serving path."""
-    raw = order_features(spark, d)
+    raw = settle(order_features(spark, d), "orders")
     features = fit_features(raw, ORDER_CONFIG)
     built = features.transform(raw)
     split = fit_three_way_split(raw.select("o_orderkey"), ["o_orderkey"])

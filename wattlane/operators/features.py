@@ -146,7 +146,7 @@ def fit_features(df: DataFrame, config: FeatureConfig = FeatureConfig()) -> Feat
 
     A column is numeric when any of its values is a number; a column with no value
     left is dropped. Both decisions are aggregates; what reaches the driver is one
-    row per column, and at most MAX_LEVELS levels per text column (more is an error).
+    row per column, and at most MAX_LEVELS one-hot levels in all (more is an error).
     """
     stats, candidates = fit_statistics(df, config)
     model = FeatureModel(config.target.lower() if config.target else None, [k.lower() for k in config.keep],
@@ -165,15 +165,19 @@ def fit_features(df: DataFrame, config: FeatureConfig = FeatureConfig()) -> Feat
     if not text:
         return model
     counts = level_counts(df, text, config)
-    order = F.struct(-F.col("n"), F.col("value"))
-    modes = counts.groupBy("column").agg(F.min_by("value", order).alias("mode"), F.count("*").alias("k")).collect()
-    for r in modes:
-        model.modes[r["column"]] = r["mode"]
-        if model.one_hot and r["k"] > MAX_LEVELS:
-            raise ValueError(f"column {r['column']} has {r['k']} levels; index it instead of one-hot encoding it")
-    if model.one_hot:
-        for r in counts.select("column", "value").orderBy("column", "value").collect():
-            model.levels.setdefault(r["column"], []).append(r["value"])
+    if not model.one_hot:
+        order = F.struct(-F.col("n"), F.col("value"))
+        for r in counts.groupBy("column").agg(F.min_by("value", order).alias("mode")).collect():
+            model.modes[r["column"]] = r["mode"]
+        return model
+    found = counts.limit(MAX_LEVELS + 1).collect()  # one more than allowed, so excess is an error and never cut off
+    if len(found) > MAX_LEVELS:
+        raise ValueError(f"the text columns {text} have more than {MAX_LEVELS} levels; index them instead")
+    for r in sorted(found, key=lambda r: (-r["n"], r["value"])):
+        model.modes.setdefault(r["column"], r["value"])
+        model.levels.setdefault(r["column"], []).append(r["value"])
+    for levels in model.levels.values():
+        levels.sort()
     return model
 
 

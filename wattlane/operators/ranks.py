@@ -71,21 +71,21 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str], method: str = "auto")
     columns = list(columns)
     method = choose_method(df, method)
     base = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    holes = base.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
-    partial = [c for c in columns if holes[c] > 0]
+    seen = base.agg(F.count("*"), *[F.count(F.col(c)) for c in columns]).first()
+    present = dict(zip(columns, seen[1:]))
+    partial = [c for c in columns if present[c] < seen[0]]
 
     path = f"{shared_dir(df.sparkSession)}/ranks-{uuid.uuid4().hex}"
     value_ranks(base, columns, partial, method).write.partitionBy("metric").parquet(path)
-    reader = df.sparkSession.read
+    names = [f"r_{p}" for p in ["all", *partial]]
+    reader = df.sparkSession.read.schema(", ".join(f"`{n}` double" for n in ["v", *names]))
     rows = base
     for i, c in enumerate(columns):
-        if holes[c] == 0 or base.where(F.col(c).isNotNull()).limit(1).count():
+        if present[c]:
             table = reader.parquet(f"{path}/metric={c}")
-            table = table.select(F.col("v").alias(c), F.struct(*[f"r_{p}" for p in ["all", *partial]]).alias(f"_r{i}"))
-            rows = rows.join(table, c, "left")
+            rows = rows.join(table.select(F.col("v").alias(c), F.struct(*names).alias(f"_r{i}")), c, "left")
         else:
-            empty = ", ".join(f"r_{p} double" for p in ["all", *partial])
-            rows = rows.withColumn(f"_r{i}", F.lit(None).cast(f"struct<{empty.replace(' double', ': double')}>"))
+            rows = rows.withColumn(f"_r{i}", F.lit(None).cast(f"struct<{','.join(f'`{n}`:double' for n in names)}>"))
 
     def rank(i: int, partner: str):
         return F.col(f"_r{i}").getField(f"r_{partner}" if partner in partial else "r_all")

@@ -60,6 +60,14 @@ def settle(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core for a table that many passes will read but that its files cut
+    into too few splits. A table with enough splits is left alone. Call it on a plain
+    scan or projection, before any shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of the optimized plan; runs no job."""
     try:
