@@ -64,7 +64,8 @@ def _one_pass(df, target, everything, numeric, min_rows, min_features, n_feature
         lines.append(_line("no_nulls", c, F.col(f"_null{i}"), 0, F.col(f"_null{i}") == 0))
     for i, c in enumerate(numeric):
         v = F.col(f"`{c}`").cast("double")
-        aggs += [F.count_if(is_infinite(v)).alias(f"_inf{i}"), F.var_samp(v).alias(f"_var{i}")]
+        aggs += [F.count_if(is_infinite(v)).alias(f"_inf{i}"), 
+                 F.when(F.min(v) == F.max(v), 0.0).otherwise(F.var_samp(v)).alias(f"_var{i}")]
         lines += [_line("no_infinities", c, F.col(f"_inf{i}"), 0, F.col(f"_inf{i}") == 0),
                   _line("has_variance", c, F.col(f"_var{i}"), 0, F.col(f"_var{i}") > 0)]
     if target in everything:
@@ -120,8 +121,10 @@ def jarque_bera(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     aggs = []
     for i, c in enumerate(columns):
         v = F.col(f"`{c}`").cast("double")
-        aggs.append(F.struct(F.lit(c).alias("metric"), F.count(v).alias("n"), F.skewness(v).alias("skew"),
-                             F.kurtosis(v).alias("excess")).alias(f"_j{i}"))
+        varies = F.min(v) < F.max(v)
+        aggs.append(F.struct(F.lit(c).alias("metric"), F.count(v).alias("n"),
+                             F.when(varies, F.skewness(v)).alias("skew"),
+                             F.when(varies, F.kurtosis(v)).alias("excess")).alias(f"_j{i}"))
     rows = df.agg(*aggs).select(F.inline(F.array(*[f"_j{i}" for i in range(len(columns))])))
     statistic = F.col("n") / 6.0 * (F.col("skew") ** 2 + F.col("excess") ** 2 / 4.0)
     return rows.withColumn("statistic", statistic).withColumn("p_value", F.exp(-F.col("statistic") / 2))

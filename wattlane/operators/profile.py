@@ -38,13 +38,18 @@ def profile_columns(df: DataFrame, exact_distinct: bool = True) -> DataFrame:
 
 
 def column_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """n, min, max, mean, sample deviation and variance per column, in one aggregate."""
+    """n, min, max, mean, sample deviation and variance per column, in one aggregate.
+    A constant column has exactly zero spread, whatever the order of summation."""
+    def spread(v: Column, of: Column) -> Column:
+        return F.when((F.min(v) == F.max(v)) & (F.count(v) > 1), 0.0).otherwise(of)
+
     aggs = []
     for i, c in enumerate(columns):
         v = F.col(f"`{c}`").cast("double")
         aggs.append(F.struct(
             F.lit(c).alias("metric"), F.count(v).alias("n"), F.min(v).alias("min"), F.max(v).alias("max"),
-            F.avg(v).alias("mean"), F.stddev_samp(v).alias("sd"), F.var_samp(v).alias("variance")).alias(f"_s{i}"))
+            F.avg(v).alias("mean"), spread(v, F.stddev_samp(v)).alias("sd"),
+            spread(v, F.var_samp(v)).alias("variance")).alias(f"_s{i}"))
     return df.agg(*aggs).select(F.inline(F.array(*[f"_s{i}" for i in range(len(columns))])))
 
 

@@ -95,7 +95,11 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str], method: str = "auto")
         for j in range(i, len(columns)):
             x, y = rank(i, columns[j]), rank(j, a)
             both = x.isNotNull() & y.isNotNull()
-            aggs += [F.corr(x, y).alias(f"c{i}_{j}"), F.count_if(both).alias(f"n{i}_{j}")]
+            # corr() raises on a constant column in ANSI mode; here that pair is null. Ranks
+            # that are not all equal have a variance of at least 1/4, so 1/8 separates rounding.
+            vx, vy = F.var_pop(F.when(both, x)), F.var_pop(F.when(both, y))
+            rho = F.when((vx > 0.125) & (vy > 0.125), F.covar_pop(x, y) / F.sqrt(vx * vy))
+            aggs += [rho.alias(f"c{i}_{j}"), F.count_if(both).alias(f"n{i}_{j}")]
             pairs += [(i, j)] if i == j else [(i, j), (j, i)]
     wide = rows.agg(*aggs)
     cells = [F.struct(F.lit(columns[i]).alias("col_a"), F.lit(columns[j]).alias("col_b"),
