@@ -124,3 +124,14 @@ def test_ledger(spark, tmp_path):
     table = compare_runs(ledger.read(), ["rmse", "r2"], "r2").collect()
     assert [(r["name"], r["rmse"], r["r2"]) for r in table] == [("b", 1.0, 0.9), ("a", 2.0, 0.5)]
     assert latest_values(ledger.read()).count() == 5
+
+
+def test_stages_as_jobs(spark, raw_path, tmp_path):
+    from wattlane.plans.jobs import run_cleaning, run_features
+
+    cleaned = run_cleaning(spark, raw_path, str(tmp_path / "c"))
+    assert cleaned.counts.first()["n_final"] == 7 and cleaned.grid is None
+    built, model = run_features(spark, str(tmp_path / "c" / "clean"), str(tmp_path / "f"))
+    assert built.count() == 7 and "date" not in built.columns and "row_key" in built.columns
+    assert "load_type_Light_Load" in model.feature_names()
+    assert all(t in ("double", "bigint") for _, t in built.dtypes)

@@ -232,16 +232,16 @@ WITH {FOLDS_SQL}, {PREDICTED_SQL.format(source='f')},
 long AS (""" + " UNION ALL ".join(
     f"SELECT model, {r} AS repeat, fold_{r} AS fold, label, prediction FROM p" for r in range(3)) + f"""),
 m AS ({metrics_sql('long', 'label', 'prediction', ['model', 'repeat', 'fold'])})
-SELECT model, """ + ", ".join(f"list(round({m}, 4) ORDER BY repeat, fold) AS cv_{m}_scores" for m in ("rmse", "mae", "r2")) +
-       ", " + ", ".join(f"round(avg({m}), 4) AS cv_{m}_mean, round(stddev_samp({m}), 4) AS cv_{m}_std"
+SELECT model, """ + ", ".join(f"list(round({m}, 7) ORDER BY repeat, fold) AS cv_{m}_scores" for m in ("rmse", "mae", "r2")) +
+       ", " + ", ".join(f"round(avg({m}), 7) AS cv_{m}_mean, round(stddev_samp({m}), 7) AS cv_{m}_std"
                         for m in ("rmse", "mae", "r2")) + " FROM m GROUP BY model")
 def cv_summary_query(spark, d):
     p = predicted_lines(folded_lines(spark, d))
     long = p.select("model", "label", "prediction", F.inline(F.array(*[
         F.struct(F.lit(r).alias("repeat"), F.col(f"fold_{r}").alias("fold")) for r in range(3)])))
     scores = regression_metrics(long, "label", "prediction", ["model", "repeat", "fold"])
-    out = rounded(cv_summary(scores), 4)
-    return out.withColumns({f"cv_{m}_scores": F.transform(f"cv_{m}_scores", lambda x: F.round(x, 4))
+    out = rounded(cv_summary(scores), 7)
+    return out.withColumns({f"cv_{m}_scores": F.transform(f"cv_{m}_scores", lambda x: F.round(x, 7))
                             for m in ("rmse", "mae", "r2")})
 
 

@@ -13,7 +13,7 @@ from wattlane.operators.grid import calendar_columns
 from wattlane.operators.profile import column_stats, profile_columns, rule_violations
 from wattlane.operators.ranks import rank_average, spearman_matrix, strongest_partners
 from wattlane.operators.summaries import (
-    box_numbers, daily_sum, group_mean, histogram, monthly_median_ratio, top_rows, value_counts,
+    box_numbers, daily_sum, first_rows, group_mean, histogram, monthly_median_ratio, top_rows, value_counts,
 )
 from wattlane.plans.cleaning import qa_report
 from wattlane.plans.eda import summary_lines
@@ -127,6 +127,11 @@ def peak_hours(spark, d):
     return rounded(top_rows(means, "mean", ["hour"], 5))
 
 
+@query("first_rows", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 10")
+def first(spark, d):
+    return first_rows(table(spark, d, "orders").select("o_orderkey", "o_totalprice"), ["o_totalprice", "o_orderkey"], 10)
+
+
 @query("monthly_ratio_median", """
 WITH r AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, o_totalprice / o_custkey AS r FROM orders
            WHERE o_totalprice > 0 AND o_custkey > 0)

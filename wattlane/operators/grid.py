@@ -33,8 +33,9 @@ def time_grid(df: DataFrame, ts: str, step: int = STEP_SECONDS) -> DataFrame:
 
 
 def missing_slots(df: DataFrame, ts: str, step: int = STEP_SECONDS) -> DataFrame:
-    """Grid slots with no reading exactly on them."""
-    return time_grid(df, ts, step).join(df.select(ts), ts, "left_anti")
+    """Grid slots with no reading exactly on them. Readings are reduced to distinct
+    times before the shuffle, so a busy slot sends one row per task."""
+    return time_grid(df, ts, step).join(df.select(ts).distinct(), ts, "left_anti")
 
 
 def slot_counts(df: DataFrame, ts: str, step: int = STEP_SECONDS) -> DataFrame:

@@ -105,7 +105,10 @@ def nearest_neighbours(train: DataFrame, queries: DataFrame, vector: str, label:
     wanted = queries.select(F.col(query_id).cast("long").alias("qid"),
                             F.col(vector).cast("array<double>").alias("vec"))
 
-    picked = rows.select("vec").distinct().orderBy(F.xxhash64("vec"), "vec").limit(n_pivots).collect()
+    # One vector per hash bucket: distinct by construction, at most n_pivots rows after the partial aggregate.
+    bucket = F.pmod(F.xxhash64("vec"), F.lit(n_pivots))
+    picked = train.select(F.col(vector).cast("array<double>").alias("vec")).groupBy(bucket.alias("b")).agg(
+        F.min("vec").alias("vec")).orderBy("b").collect()
     if not picked:
         return rows.select(F.lit(0).cast("long").alias("qid"), F.lit(0.0).alias("dist"), "tid", "y").where("false")
     pivots = np.array([r["vec"] for r in picked], dtype="float64")

@@ -44,6 +44,11 @@ def top_rows(df: DataFrame, score: str, ties: Sequence[str], k: int) -> DataFram
     return df.orderBy(F.desc(score), *ties).limit(k)
 
 
+def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """The first n rows of a total order."""
+    return df.orderBy(*order).limit(n)
+
+
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = 60) -> DataFrame:
     """Equal-width counts per column: ``(metric, bin, low, high, n)``, empty bins included.
 
