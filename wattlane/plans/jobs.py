@@ -28,8 +28,11 @@ def run_cleaning(spark: SparkSession, source: str, out: str, strategy: str = "fi
 
 
 def with_row_key(df: DataFrame, ts: str = "date") -> DataFrame:
-    """An integer key from the timestamp (microseconds), unique once duplicates are gone."""
-    return df.withColumn(ROW_KEY, F.unix_micros(F.col(ts).cast("timestamp")))
+    """An integer key from the timestamp (microseconds), unique once duplicates are gone.
+    Taken from the calendar fields, so no time zone can fold two hours into one."""
+    t = F.col(ts)
+    seconds = F.unix_date(t.cast("date")).cast("long") * 86400 + F.hour(t) * 3600 + F.minute(t) * 60
+    return df.withColumn(ROW_KEY, seconds * 1_000_000 + (F.extract(F.lit("second"), t) * 1_000_000).cast("long"))
 
 
 def run_features(spark: SparkSession, source: str, out: str, config: FeatureConfig | None = None,
