@@ -18,7 +18,7 @@ from wattlane.operators.impute import impute_by_hierarchy, impute_by_ratio, impu
 from wattlane.operators.quantiles import exact_quantiles
 from wattlane.operators.summaries import group_mean
 from wattlane.plans.cleaning import clean, cleaning_counts, typed_readings
-from wattlane.session import choose_method, settle
+from wattlane.session import choose_method, settle, unnest
 
 SLOTS = """
 slots AS (SELECT event_id, time_bucket(INTERVAL '15 minutes', ts) AS ts, user_id, event_type, value, k FROM ev),
@@ -81,8 +81,8 @@ def clean_flagship(spark, d):
     ruled = settle(first.select(
         "event_type", day_name(F.col("ts")).alias("day_of_week"),
         in_range_or_null(F.col("value"), 1, 200).alias("value")), "ruled")
-    filled = settle(impute_by_hierarchy(
-        ruled, ["value"], [["event_type", "day_of_week"], ["day_of_week"], []], method), "filled")
+    filled = unnest(impute_by_hierarchy(
+        ruled, ["value"], [["event_type", "day_of_week"], ["day_of_week"], []], method), method, "filled")
     capped = cap_iqr(filled, ["value"], 1.5, method)
     return rounded(capped.groupBy("event_type", "day_of_week").agg(
         F.count("*").alias("n"), F.avg("value").alias("mean_value")))

@@ -21,7 +21,7 @@ from wattlane.operators.impute import impute_by_hierarchy, impute_by_ratio, impu
 from wattlane.operators.names import column_or_null, keys_first, normalise_names
 from wattlane.operators.profile import rule_violations
 from wattlane.operators.quantiles import exact_quantiles
-from wattlane.session import choose_method, settle
+from wattlane.session import choose_method, settle, unnest
 from wattlane.sources.tables import ORDINAL
 
 MIXED = "mixed_type_col"
@@ -95,7 +95,7 @@ def clean(raw: DataFrame, ts: str = D.TIMESTAMP, ordinal: Sequence[str] | None =
 
     filled = impute_by_ratio(ruled, "co2_tco2", "usage_kwh", method) if {
         "co2_tco2", "usage_kwh"} <= set(ruled.columns) else ruled
-    filled = settle(impute_by_hierarchy(filled, D.MEASURES, LEVELS, method), "filled")
+    filled = unnest(impute_by_hierarchy(filled, D.MEASURES, LEVELS, method), method, "filled")
     capped = split_mixed(cap_iqr(filled, D.ENERGY_COLUMNS, cap_k, method))
     labelled = impute_mode_by_key(capped, "load_type", "day_of_week", D.LOAD_TYPES, method)
     final = labelled.withColumn("day_status_num", binary_code(F.col("week_status")))

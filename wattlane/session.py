@@ -8,7 +8,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-SMALL_INPUT_BYTES = 64 * 1024 * 1024
+SMALL_INPUT_BYTES = 32 * 1024 * 1024
 
 
 def build_session(app: str = "wattlane", master: str = "local[8]", shuffle_partitions: int = 8,
@@ -91,5 +91,12 @@ def choose_method(df: DataFrame, method: str = "auto") -> str:
 
 
 def stage(df: DataFrame, method: str, name: str = "stage") -> DataFrame:
-    """Settle an intermediate of a large plan; leave a small one lazy."""
+    """Settle a statistics table of a large plan; leave a small one lazy."""
     return settle(df, name) if method == "bracket" else df
+
+
+def unnest(df: DataFrame, method: str, name: str = "stage") -> DataFrame:
+    """Cut the plan of a small table, whose statistics are nested in it unevaluated.
+    In a large plan they are settled already, and the table is a cheap projection
+    over its files that is not worth writing again."""
+    return settle(df, name) if method == "direct" else df
