@@ -173,7 +173,7 @@ FOLDS_SQL = f"""r AS (SELECT *, count(*) OVER () AS n, """ + ", ".join(
 
 def folded_lines(spark, d):
     line = table(spark, d, "lineitem")
-    return fit_repeated_folds(line.select(*LINE_KEYS), LINE_KEYS).transform(line)
+    return fit_repeated_folds(spread(line.select(*LINE_KEYS)), LINE_KEYS).transform(line)
 
 
 @query("folds_repeated", f"""
@@ -358,7 +358,7 @@ SELECT CAST(repeat AS BIGINT) AS repeat, fold, n, round(rmse, 3) AS rmse, round(
 def cross_validate_query(spark, d):
     """Fifteen fits of a one-feature regression, scored in one aggregate."""
     lines = labelled_lines(spark, d).select(*LINE_KEYS, "l_quantity", "y")
-    folds = fit_repeated_folds(lines.select(*LINE_KEYS), LINE_KEYS).transform(lines)
+    folds = fit_repeated_folds(spread(lines.select(*LINE_KEYS)), LINE_KEYS).transform(lines)
     data = spread(assemble(folds.drop(*LINE_KEYS), ["l_quantity"], "y")).persist()
     scores = settle(cross_validate(data, ModelSpec("ols", "linear_regression"), 3, 5), "cv")
     data.unpersist()

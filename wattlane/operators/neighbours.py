@@ -9,7 +9,7 @@ block's best, and no cell is ever handled by a single task.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
