@@ -1,0 +1,407 @@
+"""Training-data operators against brute force, on edge cases and on the smallest tables."""
+
+import hashlib
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from wattlane.llm import decontamination, exact_dedup, language_id, license_scan, line_dedup, mixing, quality, simhash
+from wattlane.llm import suffix_dedup, token_counts
+
+WORDS = "the of and ein der die que los las ène èau mi to cat dog sun ran far hot old new".split()
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id string, h string, text_sha256 int, `a.b` int"
+
+
+def sentence(rng, n):
+    return " ".join(rng.choice(WORDS) for _ in range(n))
+
+
+def awkward_texts():
+    rng = random.Random(3)
+    long = sentence(rng, 30_000)
+    shared = sentence(rng, 60)
+    return [None, "", " ", "\n\n", "x", "7", long, long, shared, shared + " tail", "head " + shared, shared, "ab" * 900,
+            "licensed under the MIT License\nSPDX-License-Identifier: MIT OR (GPL-2.0-only WITH Classpath-exception-2.0)",
+            "GNU General Public License, the Apache License and CC BY-NC", "日本語 текст ελληνικά <|endoftext|> a b c\x1cd",
+            "a <|endoftext|><|endoftext|>'s 12½", None, "x"]
+
+
+@pytest.fixture(scope="module")
+def awkward(spark):
+    texts = awkward_texts()
+    rows = [(None if i == 3 else 4 if i == 5 else i, t, None if i % 4 == 0 else "en" if i % 2 else "de", None if i % 5 == 0 else "s" + str(i % 3),
+             None, "clash", "clash", 1, 2) for i, t in enumerate(texts)]
+    rows.append(rows[8])  # a repeated row
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.createDataFrame([(i, None if i == 6 else i % 2, 0) for i in range(19)] + [(None, 1, 0), (2, 1, 0)],
+                                 "doc_id long, quality int, toxic int")
+
+
+@pytest.fixture(scope="module")
+def bench(spark):
+    return spark.createDataFrame([(1, "alpha beta gamma delta 5 km zeta eta theta iota"), (2, None), (3, ""), (4, "too short"), (None, "one two three four five six seven"),
+                                  (1, "alpha beta gamma delta 5 km zeta eta theta iota")], "item_id long, text string")
+
+
+def texts_of(df):
+    return [(r.doc_id, r.text or "") for r in df.select("doc_id", "text").collect()]
+
+
+def small(spark, sf):
+    return spark.read.parquet(f"{sf}/documents.parquet")
+
+
+def answers(df, *names):
+    return sorted((tuple(r[n] for n in names) for r in df.collect()), key=repr)
+
+
+# --- exact duplicates ---------------------------------------------------------------------------
+
+@pytest.mark.parametrize("keep", ["min", "max"])
+def test_exact_groups(awkward, keep):
+    groups = defaultdict(list)
+    for i, t in texts_of(awkward):
+        groups[t].append(i)
+    want = []
+    for t, ids in groups.items():
+        known = [i for i in ids if i is not None]
+        k = (min if keep == "min" else max)(known) if known else None
+        want += [(i, k, len(ids), i == k, hashlib.sha256(t.encode()).hexdigest()) for i in ids]
+    got = answers(exact_dedup.exact_groups(awkward, keep=keep), "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    assert got == sorted(want, key=repr)
+
+
+def test_salts_make_no_row_without_partner(spark):
+    docs = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit("same").alias("text"))
+    assert {(r.keep_id, r.group_size) for r in exact_dedup.exact_groups(docs).collect()} == {(0, 5000)}
+
+
+# --- repeated strings ---------------------------------------------------------------------------
+
+def brute_spans(rows, length):
+    places = Counter()
+    data = [t.encode() for _, t in rows]
+    for b in data:
+        places.update(b[i:i + length] for i in range(len(b) - length + 1))
+    out = []
+    for (i, _), b in zip(rows, data):
+        gone = bytearray(len(b))
+        for k in range(len(b) - length + 1):
+            if places[b[k:k + length]] > 1:
+                gone[k:k + length] = b"\1" * length
+        kept = bytes(x for x, g in zip(b, gone) if not g)
+        out.append((i, len(b), sum(gone), len(re.findall(b"\1+", bytes(gone))), hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)
+
+
+SPANS = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@pytest.mark.parametrize("hot", [1000, 1])
+def test_repeated_spans(spark, hot):
+    rng = random.Random(hot)
+    passage = sentence(rng, 12)
+    texts = awkward_texts()[:4] + ["ab" * 200, "ab" * 30, "z" * 61] + [
+        sentence(rng, 20) + " " + passage + " " + sentence(rng, rng.randrange(12)) for _ in range(40)]
+    texts += [texts[9], texts[9], texts[12][5:90], "é" * 50]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, key int")
+    got = suffix_dedup.repeated_spans(docs, length=40, gram=16, hot_runs=hot, task_bytes=3000, with_text=True)
+    assert answers(got, *SPANS) == brute_spans(texts_of(docs), 40)
+    assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in got.collect())
+
+
+def test_repeated_spans_of_the_tables(spark, sf):
+    docs = small(spark, sf)
+    rows = [r for r in texts_of(docs) if len(r[1]) < 6000]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert answers(suffix_dedup.repeated_spans(docs), *SPANS) == brute_spans(rows, 400)
+
+
+def test_interval_expansion_against_all_pairs():
+    rng = random.Random(5)
+    segments = ["".join(rng.choice("ab") for _ in range(rng.randrange(1, 60))).encode() for _ in range(25)]
+    for length in (3, 8, 17):
+        got = suffix_dedup.covered(segments, [1] * len(segments), length)
+        want = brute_spans([(i, s.decode()) for i, s in enumerate(segments)], length)
+        assert [(sum(z - a for a, z in zip(*g)), len(g[0])) for g in got] == [(w[2], w[3]) for w in sorted(want)]
+
+
+# --- near duplicates ----------------------------------------------------------------------------
+
+def brute_print(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(prints, radius=2):
+    root = {f: f for f in set(prints.values())}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    known = sorted(root)
+    for i, a in enumerate(known):
+        for b in known[:i]:
+            if (a ^ b).bit_count() <= radius:
+                root[find(a)] = find(b)
+    return {f: find(f) for f in known}
+
+
+def brute_near(rows):
+    prints = {t: brute_print(t) for _, t in rows}
+    of = brute_components(prints)
+    least = {}
+    for i, t in rows:
+        if i is not None:
+            k = of[prints[t]]
+            least[k] = min(least.get(k, i), i)
+    return sorted([(i, f"{prints[t]:016x}", least.get(of[prints[t]])) for i, t in rows], key=repr)
+
+
+def test_near_duplicates(awkward):
+    rows = texts_of(awkward)
+    assert answers(simhash.near_duplicates(awkward), "doc_id", "fingerprint", "component_id") == brute_near(rows)
+
+
+def test_near_duplicates_of_the_tables(spark, sf):
+    docs = small(spark, sf)
+    assert answers(entry.queries()["op6_simhash"](spark, sf), "doc_id", "fingerprint", "component_id") == brute_near(texts_of(docs))
+
+
+@pytest.mark.parametrize("tree", [20_000, 7])
+def test_trees_lose_no_link(spark, tree):
+    rng = random.Random(tree)
+    values = set()
+    for _ in range(30):
+        x = rng.getrandbits(64)
+        for _ in range(12):
+            values.add(x)
+            x ^= 1 << rng.randrange(64) | 1 << rng.randrange(64)
+    rows = [(v - (1 << 64) if v >> 63 else v,) for v in values]
+    stars = simhash.components(simhash.link_stars(spark.createDataFrame(rows, "fp long"), tree=tree))
+    got = {r.node: r.root for r in stars.collect()}
+    mark = lambda v: v % (1 << 64)
+    groups = defaultdict(set)
+    for (v,) in rows:
+        groups[got.get(v, v)].add(mark(v))
+    want = defaultdict(set)
+    for v, r in brute_components({v: v for v in values}).items():
+        want[r].add(v)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
+
+
+def test_one_of_each_group_stays(awkward):
+    rows = texts_of(awkward)
+    kept = simhash.drop_near_duplicates(awkward)
+    assert kept.columns == awkward.columns
+    prints = {t: brute_print(t) for _, t in rows}
+    of = brute_components(prints)
+    groups = Counter(of[prints[r.text or ""]] for r in kept.collect())
+    assert set(groups) == {of[prints[t]] for _, t in rows} and set(groups.values()) == {1}
+
+
+# --- token counts -------------------------------------------------------------------------------
+
+def brute_tokens(rows):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    return sorted([(i, len(t.encode()), n := len(tokenizer.encode(t, add_special_tokens=False)), n > 1024) for i, t in rows], key=repr)
+
+
+def count(docs):
+    import public_tokenizers
+
+    return answers(token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json")), "doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def test_token_counts(spark, awkward, sf):
+    assert count(awkward) == brute_tokens(texts_of(awkward))
+    assert answers(entry.queries()["op7_token_counts"](spark, sf), "doc_id", "n_bytes", "n_tokens", "over_limit") == brute_tokens(texts_of(small(spark, sf)))
+
+
+@pytest.mark.parametrize("letters", [
+    "aZ 09'st\n\t.,!_-éßñ²½ªµ \x85\x1c\x1f\x00ƀɏ", "a 1.́٠Ⅰあ   ﻿\U0001d7d8\U0001f600'll"])
+def test_pre_tokens_against_the_tokeniser(letters):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(len(letters))
+    split = token_counts.PreTokens([])
+    for _ in range(500):
+        t = "".join(rng.choice(letters) for _ in range(rng.randrange(30)))
+        assert [t[a:b] for _, (a, b) in tokenizer.pre_tokenizer.pre_tokenize_str(t)] == split.split(t)[0]
+
+
+# --- licences -----------------------------------------------------------------------------------
+
+def brute_scan(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+    places = sorted((i, label) for phrase, label in license_scan.BASE_PHRASES.items() for i in range(len(words))
+                    if words[i:i + len(phrase.split())] == phrase.split())
+    starts = [i for i, _ in places]
+    return (len(words), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in places})))
+
+
+def test_license_scan(spark, awkward, sf):
+    for docs in (awkward, small(spark, sf)):
+        want = sorted([(i, *brute_scan(t)) for i, t in texts_of(docs)], key=repr)
+        assert answers(license_scan.license_scan(docs), "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels") == want
+    rows = {r.doc_id: r for r in license_scan.license_scan(awkward).collect()}
+    assert rows[13].labels == "classpath-exception-2.0,gpl-2.0-only,mit,terms-permissive" and rows[13].score == 1.0
+    assert rows[14].labels == "apache,cc-by,cc-by-nc,gpl" and rows[14].base_labels == "apache,cc-by,gpl"
+
+
+@pytest.mark.parametrize("text, names, level", [
+    ("MIT", {"mit"}, 0), ("MIT AND GPL-3.0", {"mit", "gpl-3.0"}, 2), ("MIT OR GPL-3.0 AND MPL-2.0", {"mit", "gpl-3.0", "mpl-2.0"}, 0),
+    ("(MIT OR GPL-3.0) AND MPL-2.0", {"mit", "gpl-3.0", "mpl-2.0"}, 1), ("GPL-2.0+ WITH Bison-exception-2.2 */", {"gpl-2.0+", "bison-exception-2.2"}, 1),
+    ("LicenseRef-own", {"licenseref-own"}, 3), ("CC-BY-NC-4.0 OR CC-BY-4.0", {"cc-by-nc-4.0", "cc-by-4.0"}, 0)])
+def test_expressions(text, names, level):
+    assert license_scan.evaluate(text) == (names, level)
+
+
+@pytest.mark.parametrize("text", ["", "MIT OR", "(MIT", "MIT)", "MIT GPL-2.0", "AND MIT", "( )", "MIT WITH (A OR B)", "MIT, BSD"])
+def test_malformed_expressions(text):
+    assert license_scan.evaluate(text) is None
+
+
+# --- language and quality -----------------------------------------------------------------------
+
+def test_gradients_of_the_network():
+    rng = np.random.default_rng(1)
+    net = language_id.ByteTagger(["a", "b", "c"], hidden=3)
+    for d in (net.ahead, net.back):
+        d.w, d.u, d.v = (x.astype(np.float64) for x in (d.w, d.u, d.v))
+    net.out = net.out.astype(np.float64)
+    rows = rng.integers(0, 257, (4, 6)).astype(np.int16)
+    y = np.array([0, 1, 2, 1])
+    _, grads = net.loss_and_gradients(rows, y)
+    for w, g in zip(net.parameters(), grads):
+        for _ in range(6):
+            at = tuple(rng.integers(0, n) for n in w.shape) if w.shape[0] != 257 else (rows[rng.integers(4), rng.integers(6)], rng.integers(w.shape[1]))
+            old, e = w[at], 1e-3
+            w[at] = old + e
+            up = net.loss_and_gradients(rows, y)[0]
+            w[at] = old - e
+            down = net.loss_and_gradients(rows, y)[0]
+            w[at] = old
+            assert abs((up - down) / (2 * e) - g[at]) < 2e-4
+
+
+def test_language_held_out_accuracy(spark):
+    rows = entry.queries()["op10_language_id"](spark, "/root/testdata/sf0.01").join(
+        spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang", "text"), "doc_id").where("held_out").collect()
+    real = [r for r in rows if re.search(r"[^\W\d_]", r.text)]
+    assert len(real) > 100 and sum(r.lang == r.lang_pred for r in real) / len(real) > 0.95
+    assert all(r.lang_pred == "und" and r.score == 0 for r in rows if r not in real)
+
+
+def test_quality_held_out(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = entry.queries()["op8_quality"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").collect()
+    good, bad = [r.score for r in rows if r.quality], [r.score for r in rows if not r.quality]
+    assert sum(g > b for g in good for b in bad) / (len(good) * len(bad)) > 0.9
+    assert sum((r.score >= 0.5) == bool(r.quality) for r in rows) / len(rows) > 0.9
+
+
+def test_labels_of_held_out_rows_are_not_learnt(spark, sf):
+    docs, labels = small(spark, sf), spark.read.parquet(f"{sf}/labels.parquet")
+    turned = labels.withColumn("quality", F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, 1 - F.col("quality")).otherwise(F.col("quality")))
+    one, two = (answers(quality.quality_scores(docs, x), "doc_id", "score") for x in (labels, turned))
+    assert one == two
+
+
+# --- lines, leaks, mixture ----------------------------------------------------------------------
+
+def test_lines_generalise(spark):
+    texts = [f"only here {w} stands this line of its own\nPosted at {i} by user nr {i * 7} on the board\nsee also the page of {w} for more" for i, w in
+             enumerate(["sun", "moon", "star", "sky"])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in line_dedup.line_dedup(docs).collect()}
+    assert rows[0].text == texts[0] and rows[0].n_dropped == 0
+    assert [rows[i].text for i in (1, 2, 3)] == [""] * 3 or all(rows[i].n_dropped >= 2 for i in (1, 2, 3))
+    assert all("Posted" not in rows[i].text and "see also" not in rows[i].text for i in (1, 2, 3))
+
+
+def test_reparameterised_questions(spark, bench):
+    docs = spark.createDataFrame([
+        (1, "x y alpha beta gamma delta 7 km zeta eta theta iota z"), (2, "alpha beta gamma delta 5 miles zeta eta theta iota"),
+        (3, "alpha beta gamma other 5 km zeta eta words iota"), (4, None), (5, "so one two three four five six seven")], "doc_id long, text string")
+    got = {r.doc_id: (r.contaminated, r.item_ids) for r in decontamination.benchmark_overlap(docs, bench).collect()}
+    assert got == {1: (True, "1"), 2: (True, "1"), 3: (False, ""), 4: (False, ""), 5: (True, "null")}
+
+
+def test_slots_must_agree(spark):
+    items = spark.createDataFrame([(1, "add 3 to 3 and give back 3 again now")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "add 8 to 8 and give back 8 again now"), (2, "add 8 to 9 and give back 8 again now")], "doc_id long, text string")
+    assert {r.doc_id: r.contaminated for r in decontamination.benchmark_overlap(docs, items).collect()} == {1: True, 2: False}
+
+
+def test_leaks_are_found_and_clean_documents_stay(spark, sf):
+    docs, items = small(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet")
+    asked = [r.text for r in items.collect()]
+    got = {r.doc_id: r.contaminated for r in entry.queries()["op3_decontamination"](spark, sf).collect()}
+    assert all(got[i] == any(a in t for a in asked) for i, t in texts_of(docs))
+
+
+def test_mixture_meets_the_targets(spark):
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("x" * 10).alias("text"),
+                                      F.when(F.col("id") % 10 == 0, "rare").otherwise("hot").alias("source"))
+    targets = spark.createDataFrame([("rare", 3.0), ("hot", 1.0), ("none", 5.0)], "source string, weight double")
+    got = {r.source: r["count"] for r in mixing.mix_sources(docs, targets).groupBy("source").count().collect()}
+    assert abs(got["rare"] / sum(got.values()) - 0.75) < 0.02
+
+
+# --- every operator on awkward and empty tables -------------------------------------------------
+
+def everything(docs, labels, bench):
+    import public_tokenizers
+
+    return {
+        "exact": exact_dedup.exact_groups(docs), "lines": line_dedup.line_dedup(docs), "leaks": decontamination.benchmark_overlap(docs, bench),
+        "spans": suffix_dedup.repeated_spans(docs), "near": simhash.near_duplicates(docs),
+        "tokens": token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json")),
+        "quality": quality.quality_scores(docs, labels), "licences": license_scan.license_scan(docs), "language": language_id.language_id(docs)}
+
+
+def test_every_row_returns(awkward, labels, bench):
+    ids = sorted((r.doc_id for r in awkward.select("doc_id").collect()), key=repr)
+    for name, df in everything(awkward, labels, bench).items():
+        assert sorted((r.doc_id for r in df.collect()), key=repr) == ids, name
+
+
+def test_empty_tables(empty, labels, bench):
+    for name, df in everything(empty, labels.limit(0), bench.limit(0)).items():
+        assert df.count() == 0, name
+    assert mixing.mix_sources(empty).count() == 0
+
+
+def test_awkward_mixture(awkward):
+    rows = mixing.mix_sources(awkward).collect()
+    copies = Counter((r.doc_id, r.text) for r in rows)
+    assert all(len({r.mix_copies for r in rows if (r.doc_id, r.text) == k}) == 1 for k in copies)
+    assert {r.mix_rate for r in rows} >= {r.mix_rate for r in rows if r.source is None} != set()
