@@ -14,6 +14,7 @@ join are read from files.
 from __future__ import annotations
 
 import json
+import os
 import re
 from collections import Counter
 
@@ -28,10 +29,13 @@ from wattlane.llm.common import col, documents, query
 from wattlane.session import settle
 
 #: Bounds of the head: documents sampled, and pre-tokens kept.
-SAMPLE_DOCS = 8_000
-HEAD_SIZE = 200_000
+SAMPLE_DOCS = 4_000
+HEAD_SIZE = 100_000
 #: Longest pre-token of the head, in characters.
 HEAD_CHARS = 64
+#: Documents split, and pre-tokens encoded, at a time: what a worker holds besides its batch.
+SLICE = 256
+ENCODED = 1_000
 
 SPACE = "\t-\r \x85\xa0"
 WIDE_SPACE = SPACE + "  -     　"
@@ -74,7 +78,8 @@ def specials_of(tokenizer_json: str) -> list[str]:
 
 
 def count_pieces(tokenizer, pre_tokens: list[str]) -> list[int]:
-    return [len(e) for e in tokenizer.encode_batch(pre_tokens, add_special_tokens=False)]
+    return [len(e) for i in range(0, len(pre_tokens), ENCODED)
+            for e in tokenizer.encode_batch(pre_tokens[i:i + ENCODED], add_special_tokens=False)]
 
 
 def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 1024, id_col: str = "doc_id",
@@ -102,7 +107,8 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 1024, id_col
         split = PreTokens(specials)
         here = Counter()
         for batch in batches:
-            for t in batch.column(0).to_pylist():
+            for t in batch.column(0):
+                t = t.as_py()
                 here.update(x for x in set(split.split(t or "")[0]) if len(x) <= HEAD_CHARS)
         common = here.most_common(HEAD_SIZE)
         yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in common], pa.string()),
@@ -122,7 +128,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 1024, id_col
     def split_texts(batches):
         pieces, split = known.value, PreTokens(specials)
         row = TaskContext.get().partitionId() << 36
-        for batch in batches:
+        for batch in (b.slice(i, SLICE) for b in batches for i in range(0, b.num_rows, SLICE)):
             sizes, sums, tails, times = [], [], [], []
             for t in batch.column(1).to_pylist():
                 t = t or ""
@@ -150,6 +156,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 1024, id_col
     staged = settle(texts.mapInArrow(split_texts, schema), "pretokens")
 
     def count_distinct(batches):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(shipped.value)
