@@ -29,16 +29,22 @@ WILD = "<*>"
 BLANKS = r"[ \x09\x0b-\x0d]+"
 
 
-def _lines(texts: DataFrame) -> DataFrame:
-    """``id, th, at, leaf, masked`` of the lines long enough; ``at`` counts all lines from 0."""
-    masked = F.expr(rf"""
-        transform(split(text, '\n'), (line, i) -> named_struct('at', i, 'm',
-            transform(filter(split(line, r'{BLANKS}'), x -> x != ''), x -> if(x rlike '[0-9]', '{WILD}', x))))""")
-    return (texts.select("id", "th", F.explode(masked).alias("l"))
-            .where(F.size("l.m") >= MIN_TOKENS)
-            .select("id", "th", F.col("l.at").alias("at"),
-                    F.concat_ws(" ", F.size("l.m").cast("string"), F.slice("l.m", 1, LEADING)).alias("leaf"),
-                    F.array_join("l.m", " ").alias("masked")))
+def _words(line: str) -> str:
+    return rf"filter(split({line}, r'{BLANKS}'), x -> x != '')"
+
+
+def _masked(words: str) -> str:
+    return f"transform({words}, x -> if(x rlike '[0-9]', '{WILD}', x))"
+
+
+def _lines(texts: DataFrame, *wanted: str) -> DataFrame:
+    """``id, th, at`` and what is ``wanted`` (``leaf``; ``masked``, the line with its digit tokens
+    masked) of the lines long enough; ``at`` counts all lines from 0."""
+    lines = texts.select("id", "th", F.posexplode(F.split("text", "\n")).alias("at", "line")).select(
+        "id", "th", "at", F.expr(_words("line")).alias("w")).where(F.size("w") >= MIN_TOKENS)
+    columns = {"leaf": F.concat_ws(" ", F.size("w").cast("string"), F.expr(_masked(f"slice(w, 1, {LEADING})"))),
+               "masked": F.array_join(F.expr(_masked("w")), " ")}
+    return lines.select("id", "th", "at", *[columns[c].alias(c) for c in wanted])
 
 
 def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -46,39 +52,40 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``id, th, drop``: per text with something to drop, the sorted numbers of its lines that
     go. ``th`` is the xxhash64 of the text; rows that repeat id and text count as one."""
     texts = docs.select(col(id_col).alias("id"), whole_text(text_col).alias("text")).withColumn("th", F.xxhash64("text"))
-    lines = _lines(texts)
-    # A leaf with fewer lines has no recurring template, and its lines need not travel.
-    leaves = settle(lines.groupBy("leaf").count().where(F.col("count") >= min_docs).select("leaf"), "leaves")
-    lines = settle(lines.join(leaves, "leaf"), "lines")
-    unique = settle(lines.select("id", "th", "leaf", "masked").distinct()
-                    .groupBy("leaf", "masked").agg(F.count(F.lit(1)).alias("docs")), "unique")
+    # A leaf with fewer lines has no recurring template, and its lines need not travel. Leaves and
+    # templates grow with the corpus, so their joins are merge joins at every size.
+    leaves = settle(_lines(texts, "leaf").groupBy("leaf").count().where(F.col("count") >= min_docs).select("leaf"), "leaves")
+    lines = settle(_lines(texts, "leaf", "masked").join(leaves.hint("merge"), "leaf")
+                   .withColumn("m", F.unhex(F.md5("masked"))), "lines")
+    docs_of = lines.select("id", "th", "m").distinct().groupBy("m").agg(F.count(F.lit(1)).alias("docs"))
+    unique = settle(lines.select("leaf", "masked", "m").distinct().join(docs_of.hint("merge"), "m"), "unique")
 
     # A line alone in its leaf keeps its own tokens as template; so does a line that recurs as it is.
     shared = unique.groupBy("leaf").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("leaf")
-    tokens = settle(unique.join(shared, "leaf").select(
-        "leaf", "masked", "docs", F.posexplode(F.split("masked", " ")).alias("j", "token")), "tokens")
-    support = settle(tokens.groupBy("leaf", "j", "token").agg(F.sum("docs").alias("n"))
-                     .where(F.col("n") >= min_docs).select("leaf", "j", "token", F.lit(True).alias("constant")), "support")
+    tokens = settle(unique.join(shared.hint("merge"), "leaf").select(
+        F.unhex(F.md5("leaf")).alias("l"), "m", "docs", F.posexplode(F.split("masked", " ")).alias("j", "token")), "tokens")
+    support = settle(tokens.groupBy("l", "j", "token").agg(F.sum("docs").alias("n"))
+                     .where(F.col("n") >= min_docs).select("l", "j", "token", F.lit(True).alias("constant")), "support")
     general = (
-        tokens.where(F.col("docs") < min_docs).join(support, ["leaf", "j", "token"], "left")
-        .groupBy("masked").agg(
+        tokens.where(F.col("docs") < min_docs).select("l", "m", "j", "token").join(support.hint("merge"), ["l", "j", "token"], "left")
+        .groupBy("m").agg(
             F.array_sort(F.collect_list(F.struct("j", F.when(F.col("constant"), F.col("token")).otherwise(WILD).alias("token")))).alias("x"),
             F.count(F.lit(1)).alias("size"),
             F.count_if(F.col("constant").isNull() & (F.col("token") != WILD)).alias("variable"),
             F.count_if(F.col("constant") & (F.col("token") != WILD)).alias("fixed"))
         .where((F.col("variable") <= VARIABLE_SHARE * F.col("size")) & (F.col("fixed") >= CONSTANT_SHARE * F.col("size")))
-        .select("masked", F.array_join(F.expr("x.token"), " ").alias("template")))
+        .select("m", F.unhex(F.md5(F.array_join(F.expr("x.token"), " "))).alias("template")))
     as_is = unique.where(F.col("docs") >= min_docs).where(
         F.expr(f"size(filter(split(masked, ' '), x -> x != '{WILD}')) >= {CONSTANT_SHARE} * size(split(masked, ' '))")
-    ).select("masked", F.col("masked").alias("template"))
+    ).select("m", F.col("m").alias("template"))
     template = settle(general.unionByName(as_is), "templates")
 
-    placed = settle(lines.join(template, "masked").select("id", "th", "at", F.md5("template").alias("template")), "placed")
+    placed = settle(lines.select("id", "th", "at", "m").join(template.hint("merge"), "m").select("id", "th", "at", "template"), "placed")
     recurring = settle(
         placed.select("template", "id", "th", "at").groupBy("template", "id", "th").agg(F.min("at").alias("at"))
         .groupBy("template").agg(F.count(F.lit(1)).alias("docs"), F.min(F.struct("id", "th", "at")).alias("first"))
         .where(F.col("docs") >= min_docs).select("template", "first"), "recurring")
-    dropped = placed.join(recurring, "template").where(~F.struct("id", "th", "at").eqNullSafe(F.col("first")))
+    dropped = placed.join(recurring.hint("merge"), "template").where(~F.struct("id", "th", "at").eqNullSafe(F.col("first")))
     return settle(dropped.groupBy("id", "th").agg(F.array_sort(F.collect_set("at")).alias("drop")), "dropped")
 
 
@@ -98,7 +105,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = whole_text(text_col)
     # Both sides are plain tables, so adaptive execution splits a text that many rows share.
     joined = docs.select(*map(col, names)).join(
-        drop, col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__th")), "left")
+        drop.hint("merge"), col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__th")), "left")
     pieces = F.split(text, "\n")
     kept = F.when(F.col("__drop").isNull(), col(text_col)).otherwise(
         F.array_join(F.filter(pieces, lambda x, i: ~F.array_contains(F.col("__drop"), i)), "\n"))
