@@ -62,14 +62,10 @@ def compare(spark, con, name, fn, sql, sf_dir) -> str | None:
 
 if __name__ == "__main__":
     sys.path.insert(0, __file__.rsplit("/", 2)[0])
-    import wattlane.session
     from wattlane.catalog import ORACLES, QUERIES
     from wattlane.session import build_session
 
     args = sys.argv[1:]
-    if "--large" in args:  # treat every input as too large for one aggregate
-        args.remove("--large")
-        wattlane.session.SMALL_INPUT_BYTES = -1
     sf = args[0] if args else "/root/testdata/sf0.01"
     wanted = args[1:]
     session, con = build_session(), connect(sf)

@@ -135,3 +135,36 @@ def test_stages_as_jobs(spark, raw_path, tmp_path):
     assert built.count() == 7 and "date" not in built.columns and "row_key" in built.columns
     assert "load_type_Light_Load" in model.feature_names()
     assert all(t in ("double", "bigint") for _, t in built.dtypes)
+
+
+@pytest.mark.parametrize("header", ["x0,x1,x2", "sensor0,sensor1,x", "a,a,a", "a0,a,a"])
+def test_csv_headers_are_the_files_own(spark, tmp_path, header):
+    path = tmp_path / "h.csv"
+    path.write_text(header + "\n1,2,3\n", encoding="utf-8")
+    df = read_untidy_csv(spark, str(path), ordinal=False)
+    assert df.columns == header.split(",") and tuple(df.first()) == ("1", "2", "3")
+
+
+def test_csv_files_are_aligned_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "b.csv").write_text("b,a\n3,4\n")
+    rows = {tuple(r) for r in read_untidy_csv(spark, str(tmp_path), ordinal=False).collect()}
+    assert rows == {("1", "2"), ("4", "3")}
+    (tmp_path / "c.csv").write_text("a,c\n3,4\n")
+    with pytest.raises(ValueError, match="c.csv"):
+        read_untidy_csv(spark, str(tmp_path))
+
+
+def test_compare_takes_the_value_logged_last(spark, tmp_path):
+    ledger = RunLedger(spark, str(tmp_path / "l"))
+    run = ledger.start("m")
+    for value in (5.0, 3.0, 4.0):
+        ledger.log(run, "m", metrics={"rmse": value})
+    assert compare_runs(ledger.read(), ["rmse"]).first()["rmse"] == 4.0
+
+
+def test_sorted_write(spark, tmp_path):
+    df = spark.range(1000).select(((F.col("id") * 7919) % 1000).alias("v"))
+    back = read_table(spark, write_table(df, str(tmp_path / "s"), order_by=["v"]))
+    parts = sorted((r.file, r.v) for r in back.select(F.input_file_name().alias("file"), "v").collect())
+    assert [v for _, v in parts] == sorted(v for _, v in parts)

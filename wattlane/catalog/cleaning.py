@@ -145,10 +145,8 @@ def calendar_features(spark, d):
 
 
 PRIORITY_RULES = [("URGENT", "Urgent"), ("HIGH", "High"), ("MEDIUM", "Medium")]
-PRIORITY_KEY = "upper(replace(replace(replace(trim(o_orderpriority), ' ', ''), '-', '_'), '__', '_'))"
-PRIORITY_SQL = (f"CASE WHEN contains({PRIORITY_KEY}, 'URGENT') THEN 'Urgent' "
-                f"WHEN contains({PRIORITY_KEY}, 'HIGH') THEN 'High' "
-                f"WHEN contains({PRIORITY_KEY}, 'MEDIUM') THEN 'Medium' END")
+PRIORITY_SQL = ("CASE WHEN o_orderpriority ILIKE '%urgent%' THEN 'Urgent' WHEN o_orderpriority ILIKE '%high%' THEN 'High' "
+                "WHEN o_orderpriority ILIKE '%medium%' THEN 'Medium' END")
 
 
 @query("normalize_category", f"SELECT o_orderkey, o_orderpriority AS priority_raw, {PRIORITY_SQL} AS priority FROM orders")

@@ -283,6 +283,9 @@ def runs_compare(spark, d):
     ledger = m.select(F.concat_ws("-", "model", "l_returnflag").alias("run_id"), F.col("model").alias("name"),
                       F.lit("metric").alias("kind"), F.inline(F.array(*[
                           F.struct(F.lit(k).alias("key"), F.col(k).cast("string").alias("value")) for k in ("rmse", "r2")])))
+    # Every metric was logged twice in one tick of the clock, first with a value that no longer holds.
+    first = ledger.withColumn("value", F.lit("1e9")).withColumns({"logged_at": F.lit(1.0), "seq": F.lit(0)})
+    ledger = first.unionByName(ledger.withColumns({"logged_at": F.lit(1.0), "seq": F.lit(1)}))
     out = compare_runs(ledger, ["rmse", "r2"], "r2")
     return rounded(out).withColumn("rmse", F.round("rmse", 4))
 

@@ -11,9 +11,9 @@ from wattlane.defaults import LOAD_TYPE_RULES, SENTINELS, WEEK_STATUS
 
 
 def normalise_category(c: Column, rules: Sequence[tuple[str, str]] = tuple(LOAD_TYPE_RULES)) -> Column:
-    """Map spelling variants to a category by the first fragment found; else null."""
-    key = F.replace(F.upper(F.trim(c.cast("string"))), F.lit(" "), F.lit(""))
-    key = F.replace(F.replace(key, F.lit("-"), F.lit("_")), F.lit("__"), F.lit("_"))
+    """Map spelling variants to the category of the first fragment they hold, whatever the
+    case and blanks between letters; else null."""
+    key = F.replace(F.upper(c.cast("string")), F.lit(" "), F.lit(""))
     out = None
     for fragment, category in rules:
         hit = key.contains(fragment)

@@ -54,17 +54,19 @@ class FeatureModel:
             return numeric + text
         return numeric + [f"{c}_{v}" for c in text for v in self.levels[c]]
 
-    def transform(self, df: DataFrame) -> DataFrame:
+    def transform(self, df: DataFrame, present_only: bool = False) -> DataFrame:
         """Features (all double), then the target when present, then the kept columns.
-        Rows whose target is not numeric are dropped."""
+        Rows whose target is not numeric are dropped. With ``present_only`` an input column that
+        is absent gives no feature, else it is imputed like a null."""
         df = lower_names(df)
         types = {f.name: f.dataType for f in df.schema.fields}
         out: list[Column] = []
-        for c, kind in self.columns.items():
+        columns = {c: k for c, k in self.columns.items() if c in types or not present_only}
+        for c, kind in columns.items():
             if kind == "numeric":
                 value = _number(c, types.get(c), self.sentinels)
                 out.append(F.coalesce(value, F.lit(self.means[c])).alias(c))
-        for c, kind in self.columns.items():
+        for c, kind in columns.items():
             if kind != "text":
                 continue
             value = F.coalesce(_text(c, types.get(c), self.sentinels), F.lit(self.modes[c]))

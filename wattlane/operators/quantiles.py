@@ -4,9 +4,10 @@
 for a small table and not for a large one. Large inputs go through two bounded
 passes instead:
 
-1. a mergeable sketch per group brackets each wanted rank between two values;
+1. a mergeable sketch per group brackets each wanted rank between two values; it is
+   merged in two steps, so no task meets the sketches of all input partitions;
 2. one more scan counts what lies below each bracket and keeps the distinct
-   values inside, which is about 4/accuracy of the rows.
+   values inside, which is about two margins of the rows.
 
 Brackets are cut into cells, so the last sort touches only the one or two cells
 that hold a wanted rank, however large the group is. The ranks are then read off
@@ -23,7 +24,11 @@ from pyspark.sql.window import Window
 
 from wattlane.session import choose_method, settle
 
-SKETCH_ACCURACY = 10_000
+#: Size of the sketches (their rank error is about 0.0013) and half width of a bracket in rank.
+SKETCH_SIZE = 4_096
+MARGIN = 0.004
+#: Groups are sketched in so many parts by input partition before the parts are merged.
+PARTS = 64
 CELLS = 4096
 
 
@@ -75,7 +80,7 @@ def _long(source: DataFrame, columns, by) -> DataFrame:
     return rows.where(F.col("v").isNotNull())
 
 
-def _bracketed(source: DataFrame, columns, probabilities, by, margin: float = 2 / SKETCH_ACCURACY) -> DataFrame:
+def _bracketed(source: DataFrame, columns, probabilities, by, margin: float = MARGIN) -> DataFrame:
     group = [*by, "metric"]
     brackets = settle(_sketch(source, columns, probabilities, by, margin), "brackets")
     counts = settle(_reduce(source, brackets, columns, probabilities, by), "counts")
@@ -124,23 +129,29 @@ def _bracketed(source: DataFrame, columns, probabilities, by, margin: float = 2
 
 def _sketch(source, columns, probabilities, by, margin) -> DataFrame:
     """Per group and column: count, and a [low, high] bracket per probability."""
-    low = F.array(*[F.lit(max(p - margin, 0.0)) for p in probabilities])
-    high = F.array(*[F.lit(min(p + margin, 1.0)) for p in probabilities])
-    aggs = []
+    low = [max(p - margin, 0.0) for p in probabilities]
+    high = [min(p + margin, 1.0) for p in probabilities]
+    partial, merged = [], []
     for i, c in enumerate(columns):
         value = F.col(c).cast("double")
-        sketch = [F.percentile_approx(value, edge, SKETCH_ACCURACY).alias(name)
-                  for edge, name in ((low, f"_lo{i}"), (high, f"_hi{i}"))]
-        aggs += [F.count(value).alias(f"_n{i}"), *sketch, F.min(value).alias(f"_min{i}"), F.max(value).alias(f"_max{i}")]
+        partial += [F.count(value).alias(f"_n{i}"), F.min(value).alias(f"_min{i}"), F.max(value).alias(f"_max{i}"),
+                    F.kll_sketch_agg_double(F.when(~F.isnan(value), value), F.lit(SKETCH_SIZE)).alias(f"_s{i}")]
+        merged += [F.sum(f"_n{i}").alias(f"_n{i}"), F.min(f"_min{i}").alias(f"_min{i}"), F.max(f"_max{i}").alias(f"_max{i}"),
+                   F.kll_merge_agg_double(F.when(F.kll_sketch_get_n_double(f"_s{i}") > 0, F.col(f"_s{i}")), F.lit(SKETCH_SIZE)).alias(f"_s{i}")]
     index = {c: i for i, c in enumerate(columns)}
 
     def fields(c):
         i = index[c]
-        lo = [F.col(f"_min{i}") if p - margin <= 0 else F.col(f"_lo{i}")[k] for k, p in enumerate(probabilities)]
-        hi = [F.col(f"_max{i}") if p + margin >= 1 else F.col(f"_hi{i}")[k] for k, p in enumerate(probabilities)]
+        lo = [F.col(f"_min{i}") if p - margin <= 0 else F.coalesce(F.col(f"_e{i}")[k], F.col(f"_min{i}")) for k, p in enumerate(probabilities)]
+        hi = [F.col(f"_max{i}") if p + margin >= 1 else F.coalesce(F.col(f"_e{i}")[len(low) + k], F.col(f"_max{i}")) for k, p in enumerate(probabilities)]
         return [F.col(f"_n{i}").alias("n"), F.array(*lo).alias("lo"), F.array(*hi).alias("hi")]
 
-    wide = source.groupBy(*by).agg(*aggs)
+    # One set of quantiles per sketch serves both edges of all brackets.
+    part = F.pmod(F.spark_partition_id(), F.lit(PARTS)).alias("_part")
+    wide = source.select(*by, *dict.fromkeys(columns), part).groupBy(*by, "_part").agg(*partial).groupBy(*by).agg(*merged)
+    edges = F.array(*[F.lit(e) for e in [*low, *high]])
+    wide = wide.withColumns({f"_e{i}": F.when(F.kll_sketch_get_n_double(f"_s{i}") > 0, F.kll_sketch_get_quantile_double(f"_s{i}", edges))
+                             for i in range(len(columns))})
     return wide.select(*by, _unpivot_structs(columns, fields)).where(F.col("n") > 0).withColumn(
         "p", F.array(*[F.lit(p) for p in probabilities]))
 

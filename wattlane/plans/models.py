@@ -42,7 +42,7 @@ class RidgeRegression(Estimator):
         s = dataset.agg(F.count(LABEL).alias("n"), F.stddev_pop(LABEL).alias("sd")).first()
         reg = self.alpha * (s["sd"] or 0.0) / max(s["n"], 1)
         return LinearRegression(featuresCol=FEATURES, labelCol=LABEL, regParam=reg, elasticNetParam=0.0,
-                                standardization=False, solver="normal", fitIntercept=self.fit_intercept).fit(dataset)
+                                standardization=False, solver="auto", fitIntercept=self.fit_intercept).fit(dataset)
 
 
 class KnnRegressor(Estimator):
@@ -69,12 +69,13 @@ class KnnModel(Model):
 
 
 # With every one-hot level kept the normal equations are singular. A trace of
-# regularisation keeps the direct solver, at no visible change of the predictions.
+# regularisation keeps the direct solver, at no visible change of the predictions. Beyond the width
+# that solver takes, Spark iterates instead.
 SINGULAR_GUARD = 1e-9
 
 
 def _linear(fit_intercept: bool = True, copy_X: bool = True, n_jobs: int | None = None):
-    return LinearRegression(featuresCol=FEATURES, labelCol=LABEL, solver="normal", fitIntercept=fit_intercept,
+    return LinearRegression(featuresCol=FEATURES, labelCol=LABEL, solver="auto", fitIntercept=fit_intercept,
                             regParam=SINGULAR_GUARD)
 
 
@@ -198,7 +199,7 @@ def validate_config(config: Mapping[str, Any]) -> list[str]:
                 problems.append(f"{spec.name}: {name}={value!r} is not in {allowed}")
     if not isinstance(config.get("target"), str) or not config["target"]:
         problems.append("target must be a non-empty string")
-    test, val = config.get("test_size", 0.2), config.get("val_size", 0.2)
+    test, val = config.get("test_size", 0.12), config.get("val_size", 0.2)
     if not (0 < test < 1 and 0 < val < 1 and test + val < 1):
         problems.append("test_size and val_size must be fractions that sum to less than 1")
     if not 2 <= config.get("cv_n_splits", 5) <= 10:

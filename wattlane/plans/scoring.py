@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from wattlane.defaults import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from wattlane.functions import coerce_numeric, nonzero_entries
 from wattlane.operators.features import FeatureModel, align_to_schema
-from wattlane.plans.models import assemble, load_model, save_model
+from wattlane.plans.models import KnnModel, assemble, load_model, save_model
 from wattlane.sources.tables import write_report
 
 
@@ -48,8 +48,12 @@ class Scorer:
 
     def score(self, df: DataFrame) -> DataFrame:
         """Input columns kept by the feature model, ``prediction`` and the non-zero features.
-        Works on batch and streaming DataFrames alike: every step is a projection."""
-        built = self.features.transform(df)
+        Features of an absent input column are 0 and named in ``zero_filled``. Every step is a
+        projection, on batch and streaming DataFrames alike, unless the model is a
+        nearest-neighbour one, which needs a batch."""
+        if df.isStreaming and isinstance(self.model, KnnModel):
+            raise ValueError("a nearest-neighbour model runs jobs of its own; score each batch with foreachBatch")
+        built = self.features.transform(df, present_only=True)
         keep = [k for k in self.features.keep if k in built.columns]
         aligned, report = align_to_schema(built, self.expected, keep)
         self.zero_filled = report["zero_filled"]
@@ -59,6 +63,13 @@ class Scorer:
         kept = [F.col("row_key").alias(self.key)] if self.key else []
         return out.select(*kept, *names, "prediction", "input_features")
 
+    def score_checked(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Scores of the rows that satisfy the input contract, and the rejected rows with their problems."""
+        kinds = self.features.columns
+        good, rejected = check_input(df, [c for c, k in kinds.items() if k == "numeric"],
+                                     [c for c, k in kinds.items() if k == "text"])
+        return self.score(good), rejected
+
     def save(self, path: str, spark: SparkSession) -> str:
         save_model(self.model, f"{path}/model", spark)
         write_report(spark, {"features": json.loads(self.features.to_json()), "expected": self.expected,

@@ -1,5 +1,4 @@
-"""Session set-up, and the two decisions every multi-stage plan needs:
-is this input small, and where may an intermediate table be written."""
+"""Session set-up, and where multi-stage plans write intermediate tables."""
 
 from __future__ import annotations
 
@@ -8,9 +7,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-SMALL_INPUT_BYTES = 32 * 1024 * 1024
-
-
 def build_session(app: str = "wattlane", master: str = "local[8]", shuffle_partitions: int = 8,
                   **conf: str) -> SparkSession:
     """A local session for tests and the benchmark; on a cluster pass your own."""
@@ -68,26 +64,12 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the optimized plan; runs no job."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # e.g. a Connect session: treat as large
-        return 1 << 62
-
-
-def is_small(df: DataFrame, limit: int | None = None) -> bool:
-    return estimated_bytes(df) <= (SMALL_INPUT_BYTES if limit is None else limit)
-
-
 def choose_method(df: DataFrame, method: str = "auto") -> str:
-    """``direct`` (one aggregate) for small inputs, ``bracket`` (two bounded
-    passes) otherwise. Composite plans resolve this once, on their source."""
+    """``bracket``, two bounded passes, at every size. ``direct``, one aggregate that holds the
+    distinct values of a group in a task, is for callers who know their groups are small."""
     if method not in ("auto", "direct", "bracket"):
         raise ValueError(f"unknown method {method!r}")
-    if method != "auto":
-        return method
-    return "direct" if is_small(df) else "bracket"
+    return "bracket" if method == "auto" else method
 
 
 def stage(df: DataFrame, method: str, name: str = "stage") -> DataFrame:
