@@ -39,9 +39,11 @@ def source_rates(docs: DataFrame, targets: DataFrame | None = None, source_col:
         wanted = targets.groupBy(F.col("source").alias("wanted")).agg(F.max("weight").cast("double").alias("weight"))
         sizes = sizes.join(wanted, F.col("source").eqNullSafe(F.col("wanted")), "left").drop("wanted")
     sizes = sizes.withColumn("weight", F.greatest(F.coalesce("weight", F.lit(0.0)), F.lit(0.0)))
-    total = sizes.agg(F.sum("bytes").alias("all_bytes"), F.sum("weight").alias("all_weight"))
-    share = F.col("weight") / F.col("all_weight") * F.col("all_bytes") * F.lit(float(amount)) / F.col("bytes")
-    return sizes.crossJoin(total).select(  # one row by few
+    sizes = settle(sizes, "sizes")
+    total = sizes.agg(F.sum("bytes").alias("bytes"), F.sum("weight").alias("weight")).first()
+    per_weight = float(amount) * (total.bytes or 0) / total.weight if total.weight else 0.0
+    share = F.col("weight") * per_weight / F.col("bytes")
+    return sizes.select(
         "source", "bytes",
         F.when(F.col("bytes") == 0, 1.0).otherwise(F.coalesce(share, F.lit(0.0))).alias("rate"))
 
