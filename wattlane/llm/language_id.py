@@ -11,11 +11,11 @@ product over thousands of positions and a long document costs what its bytes cos
 from __future__ import annotations
 
 import hashlib
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,7 +30,7 @@ STEPS = 48
 SIDE_BY_SIDE = 2048
 UNDETERMINED = "und"
 
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
