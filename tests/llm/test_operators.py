@@ -1,6 +1,7 @@
 """Training-data operators against brute force, on edge cases and on the smallest tables."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -376,6 +377,26 @@ def test_mixture_meets_the_targets(spark):
     assert abs(got["rare"] / sum(got.values()) - 0.75) < 0.02
 
 
+def test_poisson_tables(spark):
+    """Against the distribution itself, at rates far beyond what a sum from zero could hold."""
+    rates = [0.0, 0.3, 5.0, 150.0, 1e3, 1e6]
+    rows = mixing._poisson(spark.createDataFrame([(str(r), r) for r in rates], "source string, rate double")).collect()
+    assert sorted(r.rate for r in rows) == rates
+    for r in rows:
+        if r.rate == 0:
+            assert min(r.cdf) >= 1
+            continue
+        k = r.first + np.arange(len(r.cdf))
+        want = np.cumsum(np.exp(k * math.log(r.rate) - r.rate - np.array([math.lgamma(x + 1) for x in k])))
+        assert np.abs(np.array(r.cdf) - want).max() < 1e-7 and abs(r.cdf[-1] - 1) < 1e-7
+        assert len(r.cdf) <= 24 * math.sqrt(r.rate) + 64
+
+
+def test_numbers_are_no_letters(spark):
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(["² ½ Ⅷ 7 _", "a", "\u0301"])], "doc_id long, text string, lang string")
+    assert {r.doc_id: r.lang_pred for r in language_id.language_id(docs).collect()} == {0: "und", 1: "en", 2: "und"}
+
+
 # --- every operator on awkward and empty tables -------------------------------------------------
 
 def everything(docs, labels, bench):

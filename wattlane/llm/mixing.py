@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wattlane.llm.common import col, documents, query, whole_text
 from wattlane.session import settle
@@ -48,6 +49,26 @@ def source_rates(docs: DataFrame, targets: DataFrame | None = None, source_col:
         F.when(F.col("bytes") == 0, 1.0).otherwise(F.coalesce(share, F.lit(0.0))).alias("rate"))
 
 
+def _poisson(rates: DataFrame) -> DataFrame:
+    """``rates`` with ``cdf``, the Poisson distribution from count ``first`` on.
+
+    Counts further than 12 deviations (and 30) from the mean have no mass a double could
+    show, so a small source with a high rate gets a table of the square root of its rate.
+    Logarithms of the masses are summed up from ``first``, where Stirling's formula gives them.
+    """
+    ends = rates.withColumns({
+        "first": F.expr("greatest(0L, bigint(floor(rate - 12 * sqrt(rate) - 30)))"),
+        "last": F.expr("bigint(ceil(rate + 12 * sqrt(rate) + 30))")})
+    start = F.expr("""if(first = 0, -rate, first * ln(rate) - rate
+        - (first * ln(first) - first + ln(2 * pi() * first) / 2 + 1 / (12 * first)))""")
+    counts = ends.select("source", "rate", "first", start.alias("start"), F.explode(F.sequence("first", "last")).alias("k"))
+    upto = Window.partitionBy("source").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    step = F.when((F.col("k") > F.col("first")) & (F.col("rate") > 0), F.log("rate") - F.log("k")).otherwise(0.0)
+    summed = counts.withColumn("mass", F.exp(F.col("start") + F.sum(step).over(upto))).withColumn("c", F.sum("mass").over(upto))
+    return summed.groupBy("source", "rate", "first").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("k", "c"))), lambda x: x["c"]).alias("cdf"))
+
+
 def mix_sources(docs: DataFrame, targets: DataFrame | None = None, id_col: str = "doc_id",
                 source_col: str = "source", text_col: str = "text", amount: float = 1.0,
                 seed: int = 42) -> DataFrame:
@@ -60,22 +81,18 @@ def mix_sources(docs: DataFrame, targets: DataFrame | None = None, id_col: str =
     null id draws like an id of its own; null and empty texts have size 0; an empty table
     gives an empty result.
     """
-    spread = F.expr("int(ceil(rate + 12 * sqrt(rate) + 30))")
-    steps = F.expr("""
-        aggregate(sequence(1, last), named_struct('l', -rate, 'c', array(exp(-rate))),
-            (a, k) -> named_struct('l', a.l + ln(rate) - ln(k),
-                                   'c', array_append(a.c, element_at(a.c, -1) + exp(a.l + ln(rate) - ln(k)))), a -> a.c)""")
-    rates = settle(
-        source_rates(docs, targets, source_col, text_col, amount).withColumn("last", spread)
-        .withColumn("cdf", F.when(F.col("rate") > 0, steps).otherwise(F.array(F.lit(2.0))))
-        .select(F.col("source").alias("mix_source"), F.col("rate").alias("mix_rate"), F.col("cdf").alias("mix_cdf")),
-        "rates")
+    rates = settle(_poisson(source_rates(docs, targets, source_col, text_col, amount)).select(
+        F.col("source").alias("mix_source"), F.col("rate").alias("mix_rate"), F.col("first").alias("mix_first"),
+        F.col("cdf").alias("mix_cdf")), "rates")
     names = [c for c in docs.columns if c not in ("mix_copy", "mix_copies", "mix_rate", "mix_key")]
     key = F.coalesce(col(id_col).cast("string"), F.lit(""))
     # The table of rates is a file by now: Spark broadcasts it only if it is below the session's threshold.
+    # The draw is zipped to the table: a lambda that captures a column of the other side would let the
+    # optimiser move the filter on the count below the join.
     drawn = docs.select(*map(col, names)).join(rates, col(source_col).eqNullSafe(F.col("mix_source"))).withColumn(
         "mix_u", _uniform(F.concat(F.lit(f"{seed}:"), key))).withColumn(
-        "mix_copies", F.expr("size(filter(mix_cdf, c -> c <= mix_u))"))
+        "mix_copies", F.expr(
+            "int(mix_first + size(filter(arrays_zip(mix_cdf, array_repeat(mix_u, size(mix_cdf))), x -> x.mix_cdf <= x['1'])))"))
     copies = drawn.where("mix_copies > 0").withColumn("mix_copy", F.explode(F.expr("sequence(0, mix_copies - 1)")))
     keyed = copies.withColumn("mix_key", F.md5(F.concat(F.lit(f"{seed}/"), key, F.lit("/"), F.col("mix_copy").cast("string"))))
     return (keyed.select(*map(col, names), "mix_copy", "mix_copies", "mix_rate", "mix_key")
