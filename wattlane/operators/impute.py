@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattlane.functions import category_rank, ratio
-from wattlane.operators.quantiles import group_quantile
+from wattlane.operators.quantiles import group_quantile, level_quantile
 from wattlane.session import choose_method, stage
 
 
@@ -16,7 +16,7 @@ def impute_by_hierarchy(df: DataFrame, columns: Sequence[str], levels: Sequence[
                         method: str = "auto") -> DataFrame:
     """Fill nulls with the median of the first level that has one.
 
-    One aggregate per level serves all columns. Group medians are joined back, so
+    One sketch scan and one count scan serve all columns and levels. Group medians are joined back, so
     the table itself is never shuffled for a small set of groups, and a null key
     matches no group. The empty level is the global median.
     """
@@ -24,8 +24,11 @@ def impute_by_hierarchy(df: DataFrame, columns: Sequence[str], levels: Sequence[
     method = choose_method(df, method)
     fills = {c: [F.col(c)] for c in columns}
     out = df
-    for depth, level in enumerate(levels):
-        medians = group_quantile(df, columns, 0.5, level, method)
+    if method == "direct" or not columns:
+        tables = [group_quantile(df, columns, 0.5, level, method) for level in levels]
+    else:
+        tables = level_quantile(df, columns, levels)
+    for depth, (level, medians) in enumerate(zip(levels, tables)):
         if not level:
             packed = medians.select(F.struct(*columns).alias("m")).scalar()
             for c in columns:

@@ -17,6 +17,7 @@ exactly. A bracket that misses its rank is detected and widened.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +31,8 @@ MARGIN = 0.004
 #: Groups are sketched in so many parts by input partition before the parts are merged.
 PARTS = 64
 CELLS = 4096
+#: Column of the levels of grouping a row belongs to.
+PLACES = "_places"
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
@@ -59,6 +62,38 @@ def group_quantile(df: DataFrame, columns: Sequence[str], probability: float = 0
     return settle(long.groupBy(*by).agg(*aggs), "quantile")
 
 
+def level_quantile(df: DataFrame, columns: Sequence[str], levels: Sequence[Sequence[str]],
+                   probability: float = 0.5) -> list[DataFrame]:
+    """``group_quantile`` of every level (a list of keys, perhaps empty) from one sketch scan and
+    one count scan: sketches are made for the finest keys and merged upwards."""
+    columns, levels = list(columns), [list(level) for level in levels]
+    source = df.select(_places(df, levels).alias(PLACES), *columns)
+    long = _bracketed(source, columns, [float(probability)], ["_level", "_key"])
+    aggs = [F.max(F.when(F.col("metric") == c, F.col("q")[0])).alias(c) for c in columns]
+    wide = settle(long.groupBy("_level", "_key").agg(*aggs), "quantile")
+    return [wide.where(F.col("_level") == i).select(*[F.col("_key")[k].alias(k) for k in level], *columns)
+            for i, level in enumerate(levels)]
+
+
+def _places(df: DataFrame, levels: list[list[str]]) -> Column:
+    """The levels whose keys a row has, each with its key (null in the columns of other levels)."""
+    keys = list(dict.fromkeys(k for level in levels for k in level))
+
+    def place(i, level):
+        key = F.struct(F.lit(i).alias("_i"), *[(F.col(k) if k in level else F.lit(None).cast(df.schema[k].dataType)).alias(k) for k in keys])
+        known = reduce(lambda a, k: a & F.col(k).isNotNull(), level, F.lit(True))
+        return F.when(known, F.struct(F.lit(i).alias("_level"), key.alias("_key")))
+
+    return F.array_compact(F.array(*[place(i, level) for i, level in enumerate(levels)]))
+
+
+def _at_places(rows: DataFrame) -> DataFrame:
+    """Each row once per place, under ``_level`` and ``_key``; rows without places as they are."""
+    if PLACES not in rows.columns:
+        return rows
+    return rows.select(*[c for c in rows.columns if c != PLACES], F.inline(PLACES))
+
+
 def _unpivot_structs(columns: Sequence[str], fields) -> Column:
     return F.inline(F.array(*[F.struct(F.lit(c).alias("metric"), *fields(c)) for c in columns]))
 
@@ -75,9 +110,13 @@ def _direct(source: DataFrame, columns, probabilities, by) -> DataFrame:
         F.col(f"_n{index[c]}").alias("n"), F.col(f"_q{index[c]}").alias("q")]))
 
 
+def _keys(source: DataFrame, by) -> list[str]:
+    return [PLACES] if PLACES in source.columns else by
+
+
 def _long(source: DataFrame, columns, by) -> DataFrame:
-    rows = source.select(*by, _unpivot_structs(columns, lambda c: [F.col(c).cast("double").alias("v")]))
-    return rows.where(F.col("v").isNotNull())
+    rows = source.select(*_keys(source, by), _unpivot_structs(columns, lambda c: [F.col(c).cast("double").alias("v")]))
+    return _at_places(rows.where(F.col("v").isNotNull()))
 
 
 def _bracketed(source: DataFrame, columns, probabilities, by, margin: float = MARGIN) -> DataFrame:
@@ -148,7 +187,9 @@ def _sketch(source, columns, probabilities, by, margin) -> DataFrame:
 
     # One set of quantiles per sketch serves both edges of all brackets.
     part = F.pmod(F.spark_partition_id(), F.lit(PARTS)).alias("_part")
-    wide = source.select(*by, *dict.fromkeys(columns), part).groupBy(*by, "_part").agg(*partial).groupBy(*by).agg(*merged)
+    keys = _keys(source, by)
+    parts = source.select(*keys, *dict.fromkeys(columns), part).groupBy(*keys, "_part").agg(*partial)
+    wide = _at_places(parts).groupBy(*by).agg(*merged)
     edges = F.array(*[F.lit(e) for e in [*low, *high]])
     wide = wide.withColumns({f"_e{i}": F.when(F.kll_sketch_get_n_double(f"_s{i}") > 0, F.kll_sketch_get_quantile_double(f"_s{i}", edges))
                              for i in range(len(columns))})
