@@ -192,3 +192,19 @@ def test_scoring_rejects_and_streams(spark, tmp_path):
     assert {r["id"]: r["problems"] for r in bad.collect()} == {2: ["a"], 3: ["a", "cat"]}
     with pytest.raises(ValueError, match="missing"):
         check_input(mixed, ["zz"], [])
+
+
+def test_sparse_features_have_no_level_bound(spark, monkeypatch):
+    from wattlane.operators import features
+
+    monkeypatch.setattr(features, "MAX_LEVELS", 1)
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    config = FeatureConfig(target="usage_kwh", keep=("id",))
+    vectors, _ = features.sparse_features(df, config)
+    rows = {r["id"]: r["features"].toArray().tolist() for r in vectors.collect()}
+    dense, _ = build_features(df, FeatureConfig(target="usage_kwh", keep=("id",), one_hot=False))
+    assert set(rows) == {r["id"] for r in dense.collect()}
+    assert rows[3][2:] == [1.0, 0.0] and rows[4][2:] == [0.0, 1.0]      # u, v; a null took the mode
+    new = spark.createDataFrame([("x", "1", 1.0, "7", "other", None, "r", 9)], SCHEMA)
+    unseen = features.sparse_features(new, config, fit_on=df)[0].first()
+    assert unseen["features"].toArray().tolist()[2:] == [0.0, 0.0]      # a level not learnt

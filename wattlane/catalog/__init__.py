@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wattlane.catalog import cleaning, modelling, report, stream  # noqa: F401
+from wattlane.catalog import cleaning, modelling, report, solved, storage, stream  # noqa: F401
 from wattlane.catalog.registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]

@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -148,7 +150,8 @@ def fit_features(df: DataFrame, config: FeatureConfig = FeatureConfig()) -> Feat
 
     A column is numeric when any of its values is a number; a column with no value
     left is dropped. Both decisions are aggregates; what reaches the driver is one
-    row per column, and at most MAX_LEVELS one-hot levels in all (more is an error).
+    row per column, and at most MAX_LEVELS one-hot levels in all (more is an error;
+    ``sparse_features`` has no such bound).
     """
     stats, candidates = fit_statistics(df, config)
     model = FeatureModel(config.target.lower() if config.target else None, [k.lower() for k in config.keep],
@@ -174,7 +177,7 @@ def fit_features(df: DataFrame, config: FeatureConfig = FeatureConfig()) -> Feat
         return model
     found = counts.limit(MAX_LEVELS + 1).collect()  # one more than allowed, so excess is an error and never cut off
     if len(found) > MAX_LEVELS:
-        raise ValueError(f"the text columns {text} have more than {MAX_LEVELS} levels; index them instead")
+        raise ValueError(f"the text columns {text} have more than {MAX_LEVELS} levels; use sparse_features")
     for r in sorted(found, key=lambda r: (-r["n"], r["value"])):
         model.modes.setdefault(r["column"], r["value"])
         model.levels.setdefault(r["column"], []).append(r["value"])
@@ -189,6 +192,31 @@ def build_features(df: DataFrame, config: FeatureConfig = FeatureConfig(),
     return model.transform(df), model
 
 
+def sparse_features(df: DataFrame, config: FeatureConfig = FeatureConfig(),
+                    fit_on: DataFrame | None = None) -> tuple[DataFrame, PipelineModel]:
+    """Text columns of any number of levels: one sparse vector ``features`` per row, the numeric columns first,
+    then a one for each text column's level (levels in alphabetical order). A level not seen in fitting
+    has no one. Beside it ``<column>_index``, the filled text columns, the target and the kept columns.
+
+    The caller chooses this form; ``build_features`` gives one column per level. The driver holds the
+    distinct levels, as it holds a coefficient for each of them once a model is fitted.
+    """
+    source = df if fit_on is None else fit_on
+    model = fit_features(source, replace(config, one_hot=False))
+    numeric = [c for c, kind in model.columns.items() if kind == "numeric"]
+    text = [c for c, kind in model.columns.items() if kind == "text"]
+    stages: list = []
+    if text:
+        stages = [
+            StringIndexer(inputCols=text, outputCols=[f"{c}_index" for c in text], stringOrderType="alphabetAsc",
+                          handleInvalid="keep"),
+            OneHotEncoder(inputCols=[f"{c}_index" for c in text], outputCols=[f"{c}_level" for c in text], dropLast=True)]
+    stages.append(VectorAssembler(inputCols=[*numeric, *[f"{c}_level" for c in text]], outputCol="features"))
+    fitted = Pipeline(stages=stages).fit(model.transform(source))
+    out = fitted.transform(model.transform(df))
+    return out.drop(*numeric, *[f"{c}_level" for c in text]), fitted
+
+
 def drop_empty_columns(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Drop columns that hold no value at all; one aggregate decides."""
     counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"_n{i}") for i, c in enumerate(df.columns)]).first()

@@ -100,10 +100,11 @@ def _tree(max_depth: int | None = None, min_samples_split: int = 2, min_samples_
                                  minInstancesPerNode=max(min_samples_leaf, (min_samples_split + 1) // 2))
 
 
-def _forest(n_estimators: int = 100, max_depth: int | None = None, min_samples_leaf: int = 1, random_state: int = 42):
+def _forest(n_estimators: int = 100, max_depth: int | None = None, min_samples_leaf: int = 1, random_state: int = 42,
+            bootstrap: bool = True):
     return RandomForestRegressor(featuresCol=FEATURES, labelCol=LABEL, numTrees=n_estimators, seed=random_state,
                                  maxDepth=_depth(max_depth), minInstancesPerNode=min_samples_leaf,
-                                 featureSubsetStrategy="all")
+                                 featureSubsetStrategy="all", bootstrap=bootstrap)
 
 
 def _boosting(n_estimators: int = 100, learning_rate: float = 0.1, max_depth: int = 3, random_state: int = 42):
