@@ -450,8 +450,8 @@ b AS (SELECT time_bucket(INTERVAL '15 minutes', min(date)) AS a, time_bucket(INT
              max(date) AS m FROM done),
 grid AS (SELECT unnest(generate_series(a, CASE WHEN z = m THEN z ELSE z + INTERVAL '15 minutes' END,
                                        INTERVAL '15 minutes')) AS date FROM b),
-joined AS (SELECT date, load_type, {', '.join(D.MEASURES)}, {calendar_sql('date')} FROM grid LEFT JOIN
-    (SELECT date, load_type, {', '.join(D.MEASURES)} FROM done) USING (date)),
+joined AS (SELECT date, x.* EXCLUDE (date), {calendar_sql('date')} FROM grid LEFT JOIN
+    (SELECT * EXCLUDE (day_of_week, week_status, day_status_num, nsm) FROM done) AS x USING (date)),
 labelled AS ({fill_sql('joined', 'load_type', 'date')}),
 gridded AS ({impute_sql('labelled', CLEAN_LEVELS, D.MEASURES)})
 SELECT * REPLACE ({ROUND_MEASURES}) FROM gridded
@@ -459,8 +459,7 @@ SELECT * REPLACE ({ROUND_MEASURES}) FROM gridded
 def clean_readings_grid(spark, d):
     out = clean(raw_readings(spark, d), ordinal=["event_id"], with_grid=True,
                 method=choose_method(table(spark, d, "events"))).grid
-    keep = ["date", "load_type", *D.MEASURES, "day_of_week", "week_status", "day_status_num", "nsm"]
-    return rounded(out.select(*keep).withColumn("day_status_num", F.col("day_status_num").cast("long")))
+    return rounded(out.withColumn("day_status_num", F.col("day_status_num").cast("long")))
 
 
 @query("cleaning_counts", f"""

@@ -118,13 +118,13 @@ def align_schema(spark, d):
 
 @query("nonzero_features", f"""
 WITH {DIRTY_SQL}, f AS ({FEATURES_SQL})
-SELECT o_orderkey, feature, value FROM (
-    SELECT o_orderkey, 'o_custkey' AS feature, o_custkey AS value FROM f
-    UNION ALL SELECT o_orderkey, 'o_orderpriority_2-HIGH', "o_orderpriority_2-HIGH" FROM f) WHERE value <> 0
+SELECT o_orderkey, feature, value FROM ({' UNION ALL '.join(
+    f"""SELECT o_orderkey, '{c}' AS feature, "{c}" AS value FROM f"""
+    for c in ['o_custkey', 'code', *['o_orderpriority_' + p for p in PRIORITIES]])}) WHERE value <> 0
 """)
 def nonzero_features(spark, d):
-    built, _ = build_features(dirty_orders(spark, d), CONFIG)
-    entries = nonzero_entries(["o_custkey", "o_orderpriority_2-HIGH"])
+    built, model = build_features(dirty_orders(spark, d), CONFIG)
+    entries = nonzero_entries(model.feature_names())
     return rounded(built.select("o_orderkey", F.explode(entries).alias("feature", "value")))
 
 

@@ -315,6 +315,8 @@ WITH e AS (SELECT event_id, ts, event_type, value, k, dayname(ts) AS day_of_week
 x AS (SELECT event_id, value, k FROM e),
 m AS ({' UNION ALL '.join(pair_sql(a, 'value') for a in ('event_id', 'value', 'k'))})
 SELECT 'rows' AS section, 'n' AS item, CAST(count(*) AS DOUBLE) AS value FROM e
+UNION ALL SELECT 'first', CAST(min(ts) AS VARCHAR), NULL FROM e
+UNION ALL SELECT 'last', CAST(max(ts) AS VARCHAR), NULL FROM e
 UNION ALL SELECT 'correlation', col_a, rho FROM m
 UNION ALL SELECT 'peak_hour', CAST(h AS VARCHAR), round(v, 2) FROM (
     SELECT hour(ts) AS h, avg(value) AS v FROM e GROUP BY 1 ORDER BY v DESC, h LIMIT 5)
@@ -327,4 +329,4 @@ def summary(spark, d):
                                        day_name(F.col("ts")).alias("day_of_week"))
     matrix = spearman_matrix(e, ["event_id", "value", "k"])
     out = summary_lines(e, "ts", "value", "k", "event_type", matrix)
-    return rounded(out.where(~F.col("section").isin("first", "last")))
+    return rounded(out)

@@ -48,7 +48,9 @@ def slot_counts(df: DataFrame, ts: str, step: int = STEP_SECONDS) -> DataFrame:
 
 def complete_grid(df: DataFrame, ts: str, step: int = STEP_SECONDS) -> DataFrame:
     """Left join of the table onto its grid: off-grid rows disappear, gaps become
-    rows of nulls. ``df`` must have one row per timestamp."""
+    rows of nulls. ``df`` must have one row per timestamp. It is written first, because
+    the ends of the grid and the join both read it."""
+    df = settle(df, "series")
     joined = time_grid(df, ts, step).join(df, ts, "left")
     return joined.select(*[F.col(f"`{c}`") for c in df.columns])
 
@@ -57,8 +59,10 @@ def fill_label(df: DataFrame, ts: str, label: str) -> DataFrame:
     """Forward fill inside each day, then backward fill over the whole series.
 
     The backward fill crosses midnight. Row windows stay inside a day; only the
-    table of days (one row per calendar day) is ordered as a whole.
+    table of days (one row per calendar day) is ordered as a whole. The table is written
+    first, because the rows and the days are two passes over it.
     """
+    df = settle(df, "unlabelled")
     day = F.col(ts).cast("date")
     per_day = Window.partitionBy("_day").orderBy(ts)
     rows = (

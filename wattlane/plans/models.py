@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import warnings
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from typing import Any
@@ -90,26 +91,38 @@ def _knn(n_neighbors: int = 5, weights: str = "uniform", metric: str = "minkowsk
     return KnnRegressor(n_neighbors, weights, order[metric])
 
 
-# Spark's deepest tree is 30; an unlimited depth maps to it.
-def _depth(max_depth: int | None) -> int:
-    return 30 if max_depth is None else int(max_depth)
+# Spark's deepest tree.
+DEEPEST = 30
 
 
-def _tree(max_depth: int | None = None, min_samples_split: int = 2, min_samples_leaf: int = 1, random_state: int = 42):
+def _depth(max_depth: int | None) -> int:
+    if max_depth is None:
+        warnings.warn(f"trees end at depth {DEEPEST}; max_depth=None asks for none", stacklevel=3)
+        return DEEPEST
+    return int(max_depth)
+
+
+def _tree(max_depth: int | None = None, min_samples_split: int = 2, min_samples_leaf: int = 1, random_state: int = 42,
+          max_bins: int = 32):
+    """Features with more than ``max_bins`` values are binned."""
+    if min_samples_split > 2 * min_samples_leaf:
+        warnings.warn(f"min_samples_split={min_samples_split} has no counterpart here; only min_samples_leaf="
+                      f"{min_samples_leaf} limits the nodes", stacklevel=2)
     return DecisionTreeRegressor(featuresCol=FEATURES, labelCol=LABEL, maxDepth=_depth(max_depth), seed=random_state,
-                                 minInstancesPerNode=max(min_samples_leaf, (min_samples_split + 1) // 2))
+                                 minInstancesPerNode=min_samples_leaf, maxBins=max_bins)
 
 
 def _forest(n_estimators: int = 100, max_depth: int | None = None, min_samples_leaf: int = 1, random_state: int = 42,
-            bootstrap: bool = True):
+            bootstrap: bool = True, max_bins: int = 32):
     return RandomForestRegressor(featuresCol=FEATURES, labelCol=LABEL, numTrees=n_estimators, seed=random_state,
                                  maxDepth=_depth(max_depth), minInstancesPerNode=min_samples_leaf,
-                                 featureSubsetStrategy="all", bootstrap=bootstrap)
+                                 featureSubsetStrategy="all", bootstrap=bootstrap, maxBins=max_bins)
 
 
-def _boosting(n_estimators: int = 100, learning_rate: float = 0.1, max_depth: int = 3, random_state: int = 42):
+def _boosting(n_estimators: int = 100, learning_rate: float = 0.1, max_depth: int = 3, random_state: int = 42,
+              max_bins: int = 32):
     return GBTRegressor(featuresCol=FEATURES, labelCol=LABEL, maxIter=n_estimators, stepSize=learning_rate,
-                        maxDepth=max_depth, seed=random_state)
+                        maxDepth=max_depth, seed=random_state, maxBins=max_bins)
 
 
 def _svm(**_: Any):
