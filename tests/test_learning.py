@@ -13,7 +13,7 @@ from wattlane.plans.models import (
     validate_config,
 )
 from wattlane.plans.scoring import Scorer, check_input
-from wattlane.plans.training import payload_checks, train
+from wattlane.plans.training import load_result, payload_checks, train
 from wattlane.sources import RunLedger
 from wattlane.streaming import run_available, score_stream
 
@@ -149,7 +149,9 @@ def test_training_and_evaluation(spark, trained):
     assert report["test_metrics"]["r2"] > 0.99 and len(report["validation_results"][0]["cv_rmse_scores"]) == 2
     knn = {r["split"]: r for r in result.metrics.where("model = 'kNN'").collect()}
     assert knn["train"]["rmse"] < 1e-9 and knn["test"]["r2"] > 0.5    # its own rows are exact matches
-    again = evaluate(spark, result, f"{out}/eval", ledger)
+    stored = load_result(spark, out)                              # as another process finds it
+    assert (stored.best_model, stored.run_id, set(stored.models)) == (result.best_model, result.run_id, set(result.models))
+    again = evaluate(spark, stored, f"{out}/eval", ledger)
     assert abs(again["test_metrics"]["rmse"] - report["test_metrics"]["rmse"]) < 1e-9
     assert spark.read.parquet(f"{out}/eval/figures/val_residuals").count() == 30
     logged = {(r["kind"], r["key"]) for r in ledger.read().where(F.col("run_id") == result.run_id).collect()}

@@ -1,4 +1,6 @@
 import datetime as dt
+import os
+from urllib.parse import unquote, urlparse
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +8,7 @@ from pyspark.sql import functions as F
 from wattlane.operators.names import normalise_names, snake_name, unique_names, without_time_names
 from wattlane.plans.cleaning import clean
 from wattlane.plans.eda import eda_tables
+from wattlane.session import shared_dir
 from wattlane.sources import RunLedger, read_split, read_table, read_untidy_csv, write_results, write_splits, write_table
 from wattlane.sources.ledger import compare_runs, latest_values
 from wattlane.sources.tables import ORDINAL
@@ -129,12 +132,14 @@ def test_ledger(spark, tmp_path):
 def test_stages_as_jobs(spark, raw_path, tmp_path):
     from wattlane.plans.jobs import run_cleaning, run_features
 
+    before = set(os.listdir(unquote(urlparse(shared_dir(spark)).path)))
     cleaned = run_cleaning(spark, raw_path, str(tmp_path / "c"))
     assert cleaned.counts.first()["n_final"] == 7 and cleaned.grid is None
     built, model = run_features(spark, str(tmp_path / "c" / "clean"), str(tmp_path / "f"))
     assert built.count() == 7 and "date" not in built.columns and "row_key" in built.columns
     assert "load_type_Light_Load" in model.feature_names()
     assert all(t in ("double", "bigint") for _, t in built.dtypes)
+    assert set(os.listdir(unquote(urlparse(shared_dir(spark)).path))) == before     # intermediate tables are gone
 
 
 @pytest.mark.parametrize("header", ["x0,x1,x2", "sensor0,sensor1,x", "a,a,a", "a0,a,a"])

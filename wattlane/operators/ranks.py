@@ -7,14 +7,13 @@ inside a cell plus the count before it, so no task sorts a whole column.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wattlane.session import choose_method, settle, shared_dir
+from wattlane.session import choose_method, scratch, settle
 
 RANK_CELLS = 1000
 
@@ -75,7 +74,7 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str], method: str = "auto")
     present = dict(zip(columns, seen[1:]))
     partial = [c for c in columns if present[c] < seen[0]]
 
-    path = f"{shared_dir(df.sparkSession)}/ranks-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, "ranks")
     value_ranks(base, columns, partial, method).write.partitionBy("metric").parquet(path)
     names = [f"r_{p}" for p in ["all", *partial]]
     reader = df.sparkSession.read.schema(", ".join(f"`{n}` double" for n in ["v", *names]))

@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 
 from wattlane.operators.features import FeatureConfig, FeatureModel, build_features
 from wattlane.plans.cleaning import Cleaned, clean
+from wattlane.plans.eda import eda_tables
+from wattlane.plans.evaluation import evaluate
 from wattlane.plans.models import DEFAULT_CONFIG
-from wattlane.plans.training import TrainingResult, train
+from wattlane.plans.scoring import Scorer
+from wattlane.plans.training import TrainingResult, load_result, train
+from wattlane.session import job_folder
 from wattlane.sources.ledger import RunLedger
-from wattlane.sources.tables import read_table, read_untidy_csv, write_report, write_table
+from wattlane.sources.tables import read_table, read_untidy_csv, write_report, write_results, write_table
 
 ROW_KEY = "row_key"
 
@@ -21,10 +25,11 @@ ROW_KEY = "row_key"
 def run_cleaning(spark: SparkSession, source: str, out: str, strategy: str = "first", with_grid: bool = False,
                  fmt: str = "parquet") -> Cleaned:
     """Clean a raw CSV; writes ``out/clean``, ``out/counts`` and, when asked, ``out/grid``."""
-    result = clean(read_untidy_csv(spark, source), strategy=strategy, with_grid=with_grid)
-    tables = {"clean": result.clean, "counts": result.counts, "grid": result.grid}
-    return Cleaned(**{name: read_table(spark, write_table(df, f"{out}/{name}", fmt), fmt)
-                      for name, df in tables.items() if df is not None})
+    with job_folder(spark):
+        result = clean(read_untidy_csv(spark, source), strategy=strategy, with_grid=with_grid)
+        tables = {"clean": result.clean, "counts": result.counts, "grid": result.grid}
+        paths = {name: write_table(df, f"{out}/{name}", fmt) for name, df in tables.items() if df is not None}
+    return Cleaned(**{name: read_table(spark, path, fmt) for name, path in paths.items()})
 
 
 def with_row_key(df: DataFrame, ts: str = "date") -> DataFrame:
@@ -41,8 +46,9 @@ def run_features(spark: SparkSession, source: str, out: str, config: FeatureConf
     df = read_table(spark, source)
     if config is None:
         df, config = with_row_key(df, ts), FeatureConfig(drop=(ts,), keep=(ROW_KEY,))
-    built, model = build_features(df, config)
-    path = write_table(built, f"{out}/table")
+    with job_folder(spark):
+        built, model = build_features(df, config)
+        path = write_table(built, f"{out}/table")
     write_report(spark, {"features": model.to_json()}, f"{out}/model")
     return read_table(spark, path), model
 
@@ -50,4 +56,25 @@ def run_features(spark: SparkSession, source: str, out: str, config: FeatureConf
 def run_training(spark: SparkSession, source: str, out: str, features: Sequence[str],
                  config: Mapping[str, Any] = DEFAULT_CONFIG, keys: Sequence[str] = (ROW_KEY,)) -> TrainingResult:
     """Train on a feature table; models, splits, metrics and the run ledger go under ``out``."""
-    return train(read_table(spark, source), config, features, keys, out, RunLedger(spark, f"{out}/ledger"))
+    with job_folder(spark):
+        train(read_table(spark, source), config, features, keys, out, RunLedger(spark, f"{out}/ledger"))
+    return load_result(spark, out)
+
+
+def run_evaluation(spark: SparkSession, trained: str, out: str) -> dict[str, Any]:
+    """Evaluate what ``run_training`` left under ``trained``, in any process; writes figures' tables and report."""
+    with job_folder(spark):
+        return evaluate(spark, load_result(spark, trained), out, RunLedger(spark, f"{trained}/ledger"))
+
+
+def run_report(spark: SparkSession, source: str, out: str, **columns: Any) -> dict[str, str]:
+    """The exploratory tables of a cleaned table, one folder each under ``out``."""
+    with job_folder(spark):
+        return write_results(eda_tables(read_table(spark, source), **columns), out)
+
+
+def run_scoring(spark: SparkSession, scorer: str, source: str, out: str) -> dict[str, str]:
+    """Score a table with a saved scorer; writes ``out/scored`` and ``out/rejected``."""
+    with job_folder(spark):
+        good, rejected = Scorer.load(scorer, spark).score_checked(read_table(spark, source))
+        return write_results({"scored": good, "rejected": rejected}, out)

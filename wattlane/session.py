@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: The folder of the job that owns the intermediate tables written now, if one does.
+_JOB: ContextVar[str | None] = ContextVar("wattlane_job", default=None)
+
 def build_session(app: str = "wattlane", master: str = "local[8]", shuffle_partitions: int = 8,
                   **conf: str) -> SparkSession:
     """A local session for tests and the benchmark; on a cluster pass your own."""
@@ -35,13 +41,35 @@ def shared_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if configured is None:
-            if not sc.master.startswith("local"):
+            if sc.master.split("[")[0] != "local":
                 raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
             configured = tempfile.mkdtemp(prefix="wattlane-")
         sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
+@contextmanager
+def job_folder(spark: SparkSession) -> Iterator[str]:
+    """Intermediate tables written inside the block belong to it and go when it ends. What
+    outlives the block must be written elsewhere before. A nested block belongs to the outer one."""
+    if _JOB.get() is not None:
+        yield _JOB.get()
+        return
+    folder = f"{shared_dir(spark)}/job-{uuid.uuid4().hex}"
+    token = _JOB.set(folder)
+    try:
+        yield folder
+    finally:
+        _JOB.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path for an intermediate table: in the folder of the running job, else in the shared one."""
+    return f"{_JOB.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def settle(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -51,7 +79,7 @@ def settle(df: DataFrame, name: str = "stage") -> DataFrame:
     shuffles otherwise. No broadcast hint is needed anywhere.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
