@@ -210,3 +210,22 @@ def test_sparse_features_have_no_level_bound(spark, monkeypatch):
     new = spark.createDataFrame([("x", "1", 1.0, "7", "other", None, "r", 9)], SCHEMA)
     unseen = features.sparse_features(new, config, fit_on=df)[0].first()
     assert unseen["features"].toArray().tolist()[2:] == [0.0, 0.0]      # a level not learnt
+
+
+def test_training_and_scoring_jobs(spark, tmp_path):
+    from wattlane.plans.jobs import run_evaluation, run_scoring, run_training
+
+    df, _, _ = points(spark)
+    df.write.parquet(str(tmp_path / "in"))
+    config = {**CONFIG, "models": {"Ridge": {"type": "ridge"}}}
+    result = run_training(spark, str(tmp_path / "in"), str(tmp_path / "t"), ["a", "b", "c"], config, ["id"])
+    assert result.best_model == "Ridge" and result.comparison.count() == 1
+    report = run_evaluation(spark, str(tmp_path / "t"), str(tmp_path / "e"))
+    assert report["test_metrics"]["r2"] > 0.99 and report["val_metrics"]["r2"] > 0.99
+
+    features = fit_features(df, FeatureConfig(target="y", drop=(), keep=("id",)))
+    Scorer(features, ["a", "b", "c"], result.models["Ridge"], "id").save(str(tmp_path / "s"), spark)
+    df.select("id", "a", F.when(F.col("id") > 0, F.col("b")).alias("b"), "c").write.parquet(str(tmp_path / "asked"))
+    paths = run_scoring(spark, str(tmp_path / "s"), str(tmp_path / "asked"), str(tmp_path / "o"))
+    assert spark.read.parquet(paths["scored"]).count() == 299
+    assert spark.read.parquet(paths["rejected"]).first()["problems"] == ["b"]
