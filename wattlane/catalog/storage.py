@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wattlane.catalog.modelling import CONFIG, DIRTY_SQL, dirty_orders
-from wattlane.catalog.registry import query, rounded, table
+from wattlane.catalog.registry import EVENTS_K, events_with_k, query, rounded, table
+from wattlane.functions import day_name
 from wattlane.operators.checks import build_checks
 from wattlane.operators.features import build_features
 from wattlane.operators.splits import fit_three_way_split
-from wattlane.session import settle, shared_dir
-from wattlane.sources.tables import read_split, read_table, read_untidy_csv, write_splits, write_table
+from wattlane.plans.eda import eda_tables
+from wattlane.session import job_folder, settle, shared_dir
+from wattlane.sources.tables import read_split, read_table, read_untidy_csv, write_results, write_splits, write_table
 
 
 def fresh(spark, name: str) -> str:
@@ -81,3 +83,34 @@ UNION ALL SELECT 'date_removed', 'o_orderdate', 1, 1, true
 def build_checks_query(spark, d):
     before = settle(dirty_orders(spark, d), "dirty")
     return rounded(build_checks(before, build_features(before, CONFIG)[0], "o_orderdate"))
+
+
+@query("report_bundle", f"""
+WITH e AS (SELECT ts, event_type, value, k, dayname(ts) AS day_of_week FROM ({EVENTS_K})),
+days AS (SELECT unnest(generate_series(CAST(min(ts) AS DATE), CAST(max(ts) AS DATE), INTERVAL 1 DAY))::DATE AS day FROM e)
+SELECT 'daily' AS "table", CAST(day AS VARCHAR) AS item, round(coalesce(sum(value), 0), 4) AS value
+FROM days LEFT JOIN e ON CAST(ts AS DATE) = day GROUP BY day
+UNION ALL SELECT 'mean_by_hour', CAST(hour(ts) AS VARCHAR), round(avg(value), 4) FROM e GROUP BY hour(ts)
+UNION ALL SELECT 'mean_by_day_of_week', day_of_week, round(avg(value), 4) FROM e GROUP BY day_of_week
+UNION ALL SELECT 'mean_by_category', event_type, round(avg(value), 4) FROM e WHERE event_type IS NOT NULL GROUP BY event_type
+UNION ALL SELECT 'ratio_by_month', strftime(ts, '%Y-%m'), round(median(k / value), 4) FROM e WHERE k > 0 AND value > 0 GROUP BY 2
+{' '.join(f"UNION ALL SELECT 'data_quality', '{c}', (count(*) - count({c}))::DOUBLE FROM e" for c in ('ts', 'event_type', 'value', 'k', 'day_of_week'))}
+""")
+def report_bundle(spark, d):
+    """The exploratory tables, written in one go and read back from their folders."""
+    events = events_with_k(spark, d).select("ts", "event_type", "value", "k", day_name(F.col("ts")).alias("day_of_week"))
+    with job_folder(spark):
+        paths = write_results(eda_tables(events, "ts", "value", "k", "event_type", ["value", "k"]), fresh(spark, "report"))
+
+    def lines(name, item, value):
+        return read_table(spark, paths[name]).select(
+            F.lit(name).alias("table"), F.expr(item).cast("string").alias("item"),
+            F.round(F.col(value).cast("double"), 4).alias("value"))
+
+    out = lines("daily", "day", "total")
+    for name, item, value in (("mean_by_hour", "hour", "mean"), ("mean_by_day_of_week", "day_of_week", "mean"),
+                              ("mean_by_category", "event_type", "mean"),
+                              ("ratio_by_month", "date_format(month, 'yyyy-MM')", "median_ratio"),
+                              ("data_quality", "column", "missing")):
+        out = out.unionByName(lines(name, item, value))
+    return out
