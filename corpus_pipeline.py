@@ -1,4 +1,5 @@
-"""A corpus through five stages: language, recurring lines, near duplicates, benchmark leaks, mixture.
+"""A corpus through six stages: language, recurring lines, near duplicates by fingerprint, benchmark
+leaks, near copies by shingles, mixture.
 
 Each stage takes (spark, docs, sf_dir), works on all its predecessor kept and returns a
 DataFrame, which ``run`` writes as Parquet to the shared folder and reads again.
@@ -13,6 +14,7 @@ from wattlane.llm.decontamination import drop_contaminated
 from wattlane.llm.language_id import UNDETERMINED, tag_languages
 from wattlane.llm.line_dedup import line_dedup
 from wattlane.llm.mixing import mix_sources
+from wattlane.llm.near_copies import drop_near_copies
 from wattlane.llm.simhash import drop_near_duplicates
 from wattlane.session import settle
 
@@ -43,6 +45,12 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by five-word Jaccard similarity of 0.8 or more. It follows the
+    leaks, so that a contaminated document never stands for a clean copy."""
+    return drop_near_copies(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every source with the same share of the bytes, in global random order."""
     return mix_sources(docs)
@@ -53,6 +61,7 @@ STAGES = [
     ("line_dedup", drop_lines),
     ("simhash", one_of_each_group),
     ("decontamination", drop_leaks),
+    ("near_copies", one_of_near_copies),
     ("mixing", mix),
 ]
 

@@ -16,6 +16,7 @@ from wattlane.llm import (  # noqa: E402, F401
     license_scan,
     line_dedup,
     mixing,
+    near_copies,
     quality,
     simhash,
     suffix_dedup,

@@ -229,6 +229,11 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     ids the one with the smaller text hash, of rows that repeat id and text any one."""
     prints, of_print = _grouped(docs, id_col, text_col, words, radius, seed, tree)
     least = of_print.groupBy("root").agg(F.min("least").alias("least")).select("least.id", "least.th")
+    return keep_rows(docs, prints, least, id_col, text_col)
+
+
+def keep_rows(docs: DataFrame, prints: DataFrame, least: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` named by ``least`` (id, th), once each; ``prints`` has id and th of all rows."""
     keep = settle(least.select(F.col("id").alias("__id"), F.col("th").alias("__th")), "keepers")
     same = col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(whole_text(text_col)) == F.col("__th"))
     kept = docs.join(keep, same, "left_semi")
