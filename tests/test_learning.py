@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from wattlane.catalog import QUERIES
 from wattlane.operators.checks import build_checks, check_report, jarque_bera
 from wattlane.operators.features import FeatureConfig, FeatureModel, align_to_schema, build_features, fit_features
 from wattlane.operators.metrics import regression_metrics, select_best
@@ -229,3 +230,12 @@ def test_training_and_scoring_jobs(spark, tmp_path):
     paths = run_scoring(spark, str(tmp_path / "s"), str(tmp_path / "asked"), str(tmp_path / "o"))
     assert spark.read.parquet(paths["scored"]).count() == 299
     assert spark.read.parquet(paths["rejected"]).first()["problems"] == ["b"]
+
+
+def test_train_compare_is_the_default_training(spark, sf):
+    rows = {r.model: r for r in QUERIES["train_compare"](spark, sf).collect()}
+    assert set(rows) == set(DEFAULT_CONFIG["models"])
+    folds = DEFAULT_CONFIG["cv_n_splits"] * DEFAULT_CONFIG["cv_n_repeats"]
+    for r in rows.values():
+        assert len(r.cv_rmse_scores) == len(r.cv_mae_scores) == len(r.cv_r2_scores) == folds
+        assert abs(sum(r.cv_rmse_scores) / folds - r.cv_rmse_mean) < 1e-3

@@ -17,7 +17,7 @@ from wattlane.operators.metrics import cv_summary, regression_metrics, select_be
 from wattlane.operators.neighbours import knn_predict
 from wattlane.operators.splits import fit_repeated_folds, fit_three_way_split
 from wattlane.plans.evaluation import actual_vs_predicted, residual_histogram
-from wattlane.plans.models import ModelSpec, assemble, build_estimator
+from wattlane.plans.models import DEFAULT_CONFIG, ModelSpec, assemble, build_estimator
 from wattlane.plans.scoring import Scorer
 from wattlane.plans.training import cross_validate, evaluate_fit, train
 from wattlane.catalog.report import histogram_sql
@@ -420,7 +420,7 @@ def train_forest(spark, d):
 
 @query("train_gbt")
 def train_gbt(spark, d):
-    return fitted(spark, d, ModelSpec("Boosting", "gradient_boosting", {"n_estimators": 20, "max_depth": 3}))
+    return fitted(spark, d, ModelSpec("Boosting", "gradient_boosting", {"n_estimators": 100, "max_depth": 3}))
 
 
 def order_features(spark, d):
@@ -435,23 +435,17 @@ def order_features(spark, d):
 
 
 ORDER_CONFIG = FeatureConfig(target="y", drop=(), keep=("o_orderkey",))
-SMALL_TRAINING = {
-    "target": "y", "models": {
-        "Ridge": {"type": "ridge", "params": {"alpha": 1.0}},
-        "LinearRegression": {"type": "linear_regression"},
-        "RegressionTree": {"type": "decision_tree", "params": {"max_depth": 5, "random_state": 42}}},
-    "test_size": 0.12, "val_size": 0.2, "random_state": 42, "val_random_state": 43,
-    "cv_n_splits": 3, "cv_n_repeats": 1, "cv_random_state": 7,
-}
+TRAINING = {**DEFAULT_CONFIG, "target": "y"}
 
 
 @query("train_compare")
 def train_compare(spark, d):
-    """Split, cross-validate, fit and compare three models on the joined order table."""
+    """Split, cross-validate, fit and compare the default models on the joined order table."""
     built, features = build_features(settle(order_features(spark, d), "orders"), ORDER_CONFIG)
-    result = train(built, SMALL_TRAINING, features.feature_names(), ["o_orderkey"],
+    result = train(built, TRAINING, features.feature_names(), ["o_orderkey"],
                    f"{shared_dir(spark)}/train-{uuid.uuid4().hex}")
-    return rounded(result.comparison.drop("cv_rmse_scores", "cv_mae_scores", "cv_r2_scores"), 4)
+    scores = {c: F.transform(c, lambda x: F.round(x, 4)) for c in ("cv_rmse_scores", "cv_mae_scores", "cv_r2_scores")}
+    return rounded(result.comparison, 4).withColumns(scores)
 
 
 @query("batch_score")
