@@ -25,6 +25,8 @@ LEADING = 3
 MIN_TOKENS = 3
 VARIABLE_SHARE = 0.2
 CONSTANT_SHARE = 0.5
+#: With ``by_leaf``: a token in more than this share of its leaf's lines is a constant.
+LEAF_SHARE = 0.5
 WILD = "<*>"
 BLANKS = r"[ \x09\x0b-\x0d]+"
 
@@ -47,8 +49,21 @@ def _lines(texts: DataFrame, *wanted: str) -> DataFrame:
     return lines.select("id", "th", "at", *[columns[c].alias(c) for c in wanted])
 
 
+def _templates(tokens: DataFrame, constants: DataFrame) -> DataFrame:
+    """``m, template`` of the masked lines ``m`` with few enough variable and enough constant tokens."""
+    return (
+        tokens.join(constants.hint("merge"), ["l", "j", "token"], "left")
+        .groupBy("m").agg(
+            F.array_sort(F.collect_list(F.struct("j", F.when(F.col("constant"), F.col("token")).otherwise(WILD).alias("token")))).alias("x"),
+            F.count(F.lit(1)).alias("size"),
+            F.count_if(F.col("constant").isNull() & (F.col("token") != WILD)).alias("variable"),
+            F.count_if(F.col("constant") & (F.col("token") != WILD)).alias("fixed"))
+        .where((F.col("variable") <= VARIABLE_SHARE * F.col("size")) & (F.col("fixed") >= CONSTANT_SHARE * F.col("size")))
+        .select("m", F.unhex(F.md5(F.array_join(F.expr("x.token"), " "))).alias("template")))
+
+
 def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    min_docs: int = MIN_DOCS) -> DataFrame:
+                    min_docs: int = MIN_DOCS, by_leaf: bool = False) -> DataFrame:
     """``id, th, drop``: per text with something to drop, the sorted numbers of its lines that
     go. ``th`` is the xxhash64 of the text; rows that repeat id and text count as one."""
     texts = docs.select(col(id_col).alias("id"), whole_text(text_col).alias("text")).withColumn("th", F.xxhash64("text"))
@@ -66,18 +81,19 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.unhex(F.md5("leaf")).alias("l"), "m", "docs", F.posexplode(F.split("masked", " ")).alias("j", "token")), "tokens")
     support = settle(tokens.groupBy("l", "j", "token").agg(F.sum("docs").alias("n"))
                      .where(F.col("n") >= min_docs).select("l", "j", "token", F.lit(True).alias("constant")), "support")
-    general = (
-        tokens.where(F.col("docs") < min_docs).select("l", "m", "j", "token").join(support.hint("merge"), ["l", "j", "token"], "left")
-        .groupBy("m").agg(
-            F.array_sort(F.collect_list(F.struct("j", F.when(F.col("constant"), F.col("token")).otherwise(WILD).alias("token")))).alias("x"),
-            F.count(F.lit(1)).alias("size"),
-            F.count_if(F.col("constant").isNull() & (F.col("token") != WILD)).alias("variable"),
-            F.count_if(F.col("constant") & (F.col("token") != WILD)).alias("fixed"))
-        .where((F.col("variable") <= VARIABLE_SHARE * F.col("size")) & (F.col("fixed") >= CONSTANT_SHARE * F.col("size")))
-        .select("m", F.unhex(F.md5(F.array_join(F.expr("x.token"), " "))).alias("template")))
+    general = _templates(tokens.where(F.col("docs") < min_docs).select("l", "m", "j", "token"), support)
+    if by_leaf:
+        sizes = tokens.where("j = 0").groupBy("l").agg(F.sum("docs").alias("lines"))
+        common = settle(tokens.groupBy("l", "j", "token").agg(F.sum("docs").alias("n")).where(F.col("n") >= min_docs)
+                        .join(sizes.hint("merge"), "l").where(F.col("n") > LEAF_SHARE * F.col("lines"))
+                        .select("l", "j", "token", F.lit(True).alias("constant")), "common")
+        broad = settle(_templates(tokens.select("l", "m", "j", "token"), common), "broad")
+        general = general.join(broad.select("m").hint("merge"), "m", "left_anti")
     as_is = unique.where(F.col("docs") >= min_docs).where(
         F.expr(f"size(filter(split(masked, ' '), x -> x != '{WILD}')) >= {CONSTANT_SHARE} * size(split(masked, ' '))")
     ).select("m", F.col("m").alias("template"))
+    if by_leaf:
+        as_is = as_is.join(broad.select("m").hint("merge"), "m", "left_anti").unionByName(broad)
     template = settle(general.unionByName(as_is), "templates")
 
     placed = settle(lines.select("id", "th", "at", "m").join(template.hint("merge"), "m").select("id", "th", "at", "template"), "placed")
@@ -90,7 +106,7 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               min_docs: int = MIN_DOCS) -> DataFrame:
+               min_docs: int = MIN_DOCS, by_leaf: bool = False) -> DataFrame:
     """The columns of ``docs`` with recurring lines taken out of the text, and ``n_lines`` and
     ``n_dropped`` (columns of these names in the input are replaced).
 
@@ -98,8 +114,13 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     a template, by smallest id (null ids first), then text hash and line, stays. Null
     text counts as empty: it has one line and comes back as it was. Rows that repeat id and
     text count as one document and are cut alike. An empty table gives an empty result.
+
+    A line in fewer than ``min_docs`` documents stays, however long. By default a line that is mostly digit
+    tokens stays however often it recurs. By
+    default a token that recurs in ``min_docs`` lines of its leaf is a constant; ``by_leaf`` asks more than half of the leaf's lines first, so that fields whose values
+    each recur still generalise. A line without such a template keeps the default one.
     """
-    drop = recurring_lines(docs, id_col, text_col, min_docs).select(
+    drop = recurring_lines(docs, id_col, text_col, min_docs, by_leaf).select(
         F.col("id").alias("__id"), F.col("th").alias("__th"), F.col("drop").alias("__drop"))
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     text = whole_text(text_col)
