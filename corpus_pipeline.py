@@ -30,7 +30,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Recurring lines go; a document that loses all its text goes with them."""
-    cut = line_dedup(docs, by_leaf=True)
+    cut = line_dedup(docs, exact=True, by_leaf=True)
     left = cut.where((F.col("n_dropped") == 0) | (F.trim("text") != ""))
     return left.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 

@@ -9,6 +9,12 @@ def left(spark, texts):
     return [r.text for r in corpus_pipeline.drop_lines(spark, docs, "").orderBy("doc_id").collect()]
 
 
+def test_identical_lines_go_whatever_their_digits(spark):
+    line = "Tel. 030 1234 5678"
+    assert left(spark, [f"own {w}\n{line}" for w in ("a", "b", "c")] + ["own d\nTel. 030 9999 5678"]) == [
+        f"own a\n{line}", "own b", "own c", "own d\nTel. 030 9999 5678"]
+
+
 def test_fields_whose_values_recur_generalise(spark):
     lines = [f"Posted on this public site by {n} in {c} early today" for n in ("Ann", "Bob", "Eve") for c in ("Bonn", "Kiel", "Ulm")]
     assert [t.count("Posted") for t in left(spark, [f"own {i}\n{x}" for i, x in enumerate(lines)])] == [1] + [0] * 8

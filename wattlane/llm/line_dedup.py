@@ -41,10 +41,10 @@ def _masked(words: str) -> str:
 
 def _lines(texts: DataFrame, *wanted: str) -> DataFrame:
     """``id, th, at`` and what is ``wanted`` (``leaf``; ``masked``, the line with its digit tokens
-    masked) of the lines long enough; ``at`` counts all lines from 0."""
+    masked; ``line``; ``digits``, are there any) of the lines long enough; ``at`` counts all lines from 0."""
     lines = texts.select("id", "th", F.posexplode(F.split("text", "\n")).alias("at", "line")).select(
-        "id", "th", "at", F.expr(_words("line")).alias("w")).where(F.size("w") >= MIN_TOKENS)
-    columns = {"leaf": F.concat_ws(" ", F.size("w").cast("string"), F.expr(_masked(f"slice(w, 1, {LEADING})"))),
+        "id", "th", "at", "line", F.expr(_words("line")).alias("w")).where(F.size("w") >= MIN_TOKENS)
+    columns = {"line": F.col("line"), "digits": F.expr("exists(w, x -> x rlike '[0-9]')"), "leaf": F.concat_ws(" ", F.size("w").cast("string"), F.expr(_masked(f"slice(w, 1, {LEADING})"))),
                "masked": F.array_join(F.expr(_masked("w")), " ")}
     return lines.select("id", "th", "at", *[columns[c].alias(c) for c in wanted])
 
@@ -62,8 +62,17 @@ def _templates(tokens: DataFrame, constants: DataFrame) -> DataFrame:
         .select("m", F.unhex(F.md5(F.array_join(F.expr("x.token"), " "))).alias("template")))
 
 
+def _identical(texts: DataFrame) -> DataFrame:
+    """Places of identical lines that hold digits, with a template of their own. Copies of a line share
+    their other template too, so the first of that one is the first here."""
+    lines = settle(_lines(texts, "line", "digits").where("digits").select(
+        "id", "th", "at", F.unhex(F.sha2(F.concat(F.lit("="), "line"), 256)).alias("template")), "identical")
+    again = lines.groupBy("template").count().where("count > 1").select("template")
+    return settle(lines.join(again.hint("merge"), "template").select("id", "th", "at", "template"), "again")
+
+
 def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    min_docs: int = MIN_DOCS, by_leaf: bool = False) -> DataFrame:
+                    min_docs: int = MIN_DOCS, exact: bool = False, by_leaf: bool = False) -> DataFrame:
     """``id, th, drop``: per text with something to drop, the sorted numbers of its lines that
     go. ``th`` is the xxhash64 of the text; rows that repeat id and text count as one."""
     texts = docs.select(col(id_col).alias("id"), whole_text(text_col).alias("text")).withColumn("th", F.xxhash64("text"))
@@ -97,6 +106,8 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     template = settle(general.unionByName(as_is), "templates")
 
     placed = settle(lines.select("id", "th", "at", "m").join(template.hint("merge"), "m").select("id", "th", "at", "template"), "placed")
+    if exact:
+        placed = placed.unionByName(_identical(texts))
     recurring = settle(
         placed.select("template", "id", "th", "at").groupBy("template", "id", "th").agg(F.min("at").alias("at"))
         .groupBy("template").agg(F.count(F.lit(1)).alias("docs"), F.min(F.struct("id", "th", "at")).alias("first"))
@@ -106,7 +117,7 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               min_docs: int = MIN_DOCS, by_leaf: bool = False) -> DataFrame:
+               min_docs: int = MIN_DOCS, exact: bool = False, by_leaf: bool = False) -> DataFrame:
     """The columns of ``docs`` with recurring lines taken out of the text, and ``n_lines`` and
     ``n_dropped`` (columns of these names in the input are replaced).
 
@@ -116,11 +127,11 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text count as one document and are cut alike. An empty table gives an empty result.
 
     A line in fewer than ``min_docs`` documents stays, however long. By default a line that is mostly digit
-    tokens stays however often it recurs. By
+    tokens stays however often it recurs; ``exact`` lets identical lines recur whatever their digits. By
     default a token that recurs in ``min_docs`` lines of its leaf is a constant; ``by_leaf`` asks more than half of the leaf's lines first, so that fields whose values
     each recur still generalise. A line without such a template keeps the default one.
     """
-    drop = recurring_lines(docs, id_col, text_col, min_docs, by_leaf).select(
+    drop = recurring_lines(docs, id_col, text_col, min_docs, exact, by_leaf).select(
         F.col("id").alias("__id"), F.col("th").alias("__th"), F.col("drop").alias("__drop"))
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     text = whole_text(text_col)
