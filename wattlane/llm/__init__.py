@@ -13,6 +13,7 @@ from wattlane.llm import (  # noqa: E402, F401
     decontamination,
     exact_dedup,
     language_id,
+    lexical_search,
     license_scan,
     line_dedup,
     mixing,
