@@ -10,12 +10,14 @@ from pyspark import cloudpickle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 from wattlane.llm import (  # noqa: E402, F401
+    conversation_trie,
     decontamination,
     exact_dedup,
     language_id,
     lexical_search,
     license_scan,
     line_dedup,
+    lm_scoring,
     mixing,
     near_copies,
     quality,
