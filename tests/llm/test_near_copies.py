@@ -3,8 +3,8 @@
 import random
 
 import pytest
-from test_operators import WORDS as FEW
-from test_operators import brute_print
+from llm_brute import WORDS as FEW
+from llm_brute import brute_print
 
 import corpus_pipeline
 from wattlane.llm import near_copies

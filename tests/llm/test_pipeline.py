@@ -1,7 +1,7 @@
 """The pipeline's stages, each held against brute force on its own input."""
 
 import pytest
-from test_operators import brute_components, brute_print
+from llm_brute import brute_components, brute_print
 
 import __spark_entry__ as entry
 import corpus_pipeline
