@@ -32,6 +32,18 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each made different from every column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def whole_text(name: str) -> Column:
     """The whole text; null counts as empty."""
     return F.coalesce(col(name), F.lit(""))
