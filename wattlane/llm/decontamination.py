@@ -2,10 +2,15 @@
 
 Texts become tokens; numbers, units after a number and names (capitals inside a sentence)
 become typed placeholders. Windows of five template tokens are hashed and joined with the
-windows of the benchmark. Along each diagonal (same distance between document and item)
-the slots must be consistent: one value in the item stands for one value in the document
-and the other way round, so a re-parameterised question matches and a mere look-alike does
-not. A document is contaminated when consistent windows cover 0.8 of an item.
+windows of the benchmark, and so are the same windows of plain lower-cased words.
+
+A place of an item is covered when its words stand in the document, in whatever case and
+wherever; or when its template does, and its slots agree with the others of their diagonal
+(same distance between document and item): there each value of the item stands for the value
+of the document it most often meets, and the other way round. So a re-parameterised question
+matches, a mere look-alike does not, and one altered number spoils only the windows it is
+in. A window of nothing but placeholders says nothing and is matched by its words alone. A
+document is contaminated when 0.8 of an item's places are covered.
 """
 
 from __future__ import annotations
@@ -13,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattlane.llm.common import col, documents, query, whole_text
+from wattlane.llm.common import col, documents, fresh, query, whole_text
 from wattlane.session import settle
 
 WORDS = 5
@@ -28,29 +33,45 @@ GLUE = "|"
 
 
 def _templates(df: DataFrame, text_col: str, keys: list[str]) -> DataFrame:
-    """``keys``, ``c`` (template tokens) and ``raw`` (the value where a token is a slot)."""
+    """``keys`` and, token by token, ``c`` (template), ``w`` (lower-cased word), ``raw`` (the value of a slot)."""
     units = ", ".join(f"'{u}'" for u in UNITS)
     tokens = df.withColumn("t", F.expr(f"regexp_extract_all({text_col}, r'{TOKEN}', 0)"))
     typed = tokens.withColumn("s", F.expr(f"""
         filter(transform(t, (x, i) -> case
             when x in ('.', '!', '?') then null
-            when x < ':' then named_struct('c', '<n>', 'raw', x)
+            when x < ':' then named_struct('c', '<n>', 'w', x, 'raw', x)
             when i > 0 and get(t, i - 1) between '0' and '9:' and lower(x) in ({units})
-                then named_struct('c', '<u>', 'raw', lower(x))
+                then named_struct('c', '<u>', 'w', lower(x), 'raw', lower(x))
             when i > 0 and get(t, i - 1) not in ('.', '!', '?') and left(x, 1) != lower(left(x, 1))
-                then named_struct('c', '<p>', 'raw', x)
-            else named_struct('c', lower(x), 'raw', cast(null as string)) end), x -> x is not null)"""))
-    return typed.select(*keys, F.expr("s.c").alias("c"), F.expr("s.raw").alias("raw"))
+                then named_struct('c', '<p>', 'w', lower(x), 'raw', x)
+            else named_struct('c', lower(x), 'w', lower(x), 'raw', cast(null as string)) end), x -> x is not null)"""))
+    return typed.select(*keys, F.expr("s.c").alias("c"), F.expr("s.w").alias("w"), F.expr("s.raw").alias("raw"))
 
 
 def _windows(templates: DataFrame, keys: list[str], prefix: str) -> DataFrame:
-    """One row per window: its place, hash, and its slot values joined (empty: no slot)."""
+    """Two rows per window, of its words (``slots`` null) and of its template, but one if it has no
+    slot: then the template is the words. ``h`` is the hash, ``at`` the place, ``slots`` the values joined."""
     at = lambda a: ", ".join(f"{a}[i + {k}]" if k else f"{a}[i]" for k in range(WORDS))
+    hashed = templates.withColumn("hc", F.expr("transform(c, x -> xxhash64(x))")).withColumn("hw", F.expr("transform(w, x -> xxhash64(x))"))
     each = F.expr(f"""
         transform(if(size(c) >= {WORDS}, sequence(0, size(c) - {WORDS}), cast(array() as array<int>)),
-                  i -> named_struct('at', i, 'h', xxhash64({at('c')}), 'slots', concat_ws('{GLUE}', {at('raw')})))""")
-    return templates.select(*keys, F.explode(each).alias("w")).select(
-        *keys, F.col("w.h").alias("h"), F.col("w.at").alias(f"{prefix}_at"), F.col("w.slots").alias(f"{prefix}_slots"))
+                  i -> named_struct('at', i, 'h', xxhash64({at('hw')}), 't',
+                      if(array({at('hw')}) = array({at('hc')}), null,
+                         named_struct('h', xxhash64({at('hc')}), 'slots', concat_ws('{GLUE}', {at('raw')}),
+                                      'empty', not exists(array({at('c')}), x -> x not in ('<n>', '<u>', '<p>'))))))""")
+    windows = hashed.select(*keys, F.explode(each).alias("x"))
+    both = F.expr("""
+        array_compact(array(named_struct('h', x.h, 'slots', cast(null as string)),
+                            if(x.t is null or x.t.empty, null, named_struct('h', x.t.h, 'slots', x.t.slots))))""")
+    return windows.select(*keys, F.col("x.at").alias(f"{prefix}_at"), F.explode(both).alias("y")).select(
+        *keys, f"{prefix}_at", F.col("y.slots").isNull().alias("plain"), F.col("y.h").alias("h"), F.col("y.slots").alias(f"{prefix}_slots"))
+
+
+#: Of the pairs (value of the item, value of the document) of a diagonal those that no pair with one
+#: of the two values outnumbers; of equals the smaller pair counts.
+AGREED = """
+    filter(counted, x -> not exists(counted, z ->
+        ((z.i = x.i) != (z.d = x.d)) and (z.n > x.n or (z.n = x.n and (z.i < x.i or (z.i = x.i and z.d < x.d))))))"""
 
 
 def _overlaps(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str,
@@ -60,20 +81,23 @@ def _overlaps(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, ite
     texts = docs.select(col(id_col).alias("id"), whole_text(text_col).alias("text")).withColumn("th", F.xxhash64("text"))
     asked = items.select(col(item_col).alias("item"), whole_text(item_text_col).alias("text"))
     wanted = settle(_windows(_templates(asked, "text", ["item"]), ["item"], "i"), "items")
-    sizes = wanted.groupBy("item").agg(F.countDistinct("i_at").alias("windows"))
+    sizes = wanted.where("plain").groupBy("item").agg(F.countDistinct("i_at").alias("windows"))
 
-    found = _windows(_templates(texts, "text", keys), keys, "d").join(wanted, "h")
+    found = settle(_windows(_templates(texts, "text", keys), keys, "d").join(wanted, ["h", "plain"]).select(
+        *keys, "item", "plain", "d_at", "i_at", "d_slots", "i_slots").distinct(), "found")
     # Documents and items agree on the template of a window, so their slots pair off in order.
-    pairs = F.expr(f"""
-        if(i_slots = '', cast(array() as array<struct<i string, d string>>),
-           transform(arrays_zip(split(i_slots, '[{GLUE}]'), split(d_slots, '[{GLUE}]')),
-                     x -> named_struct('i', x['0'], 'd', x['1'])))""")
-    diagonal = found.select(*keys, "item", "i_at", (F.col("d_at") - F.col("i_at")).alias("shift"), pairs.alias("pairs")) \
-        .groupBy(*keys, "item", "shift") \
-        .agg(F.collect_set("i_at").alias("places"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("p"))
-    consistent = diagonal.where("size(array_distinct(p.i)) = size(p) and size(array_distinct(p.d)) = size(p)")
-    hits = (consistent.groupBy(*keys, "item")
-            .agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("n"))
+    pairs = F.expr(f"""transform(arrays_zip(split(i_slots, '[{GLUE}]'), split(d_slots, '[{GLUE}]')),
+                                 x -> named_struct('i', x['0'], 'd', x['1']))""")
+    # A place of the item stands once on a diagonal, so what is gathered here is bounded by the item.
+    diagonal = found.where("not plain").select(*keys, "item", "i_at", (F.col("d_at") - F.col("i_at")).alias("shift"), pairs.alias("pairs")) \
+        .groupBy(*keys, "item", "shift").agg(F.collect_set(F.struct("i_at", "pairs")).alias("seen"))
+    agreed = diagonal.withColumn("all", F.flatten("seen.pairs")) \
+        .withColumn("counted", F.expr("transform(array_distinct(all), x -> named_struct('i', x.i, 'd', x.d, 'n', size(filter(all, z -> z = x))))")) \
+        .withColumn("agreed", F.expr(f"transform({AGREED}, x -> named_struct('i', x.i, 'd', x.d))")) \
+        .select(*keys, "item", F.explode(F.expr("filter(seen, s -> size(array_except(s.pairs, agreed)) = 0)")).alias("s")) \
+        .select(*keys, "item", "s.i_at")
+    covered = found.where("plain").select(*keys, "item", "i_at").union(agreed).distinct()
+    hits = (covered.groupBy(*keys, "item").agg(F.count(F.lit(1)).alias("n"))
             .join(sizes.withColumnRenamed("item", "of"), F.col("item").eqNullSafe(F.col("of")))
             .select(*keys, "item", (F.col("n") / F.col("windows")).alias("share")))
     per_doc = hits.groupBy(*keys).agg(
@@ -86,7 +110,7 @@ def benchmark_overlap(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
                       item_col: str = "item_id", item_text_col: str = "text",
                       similarity: float = SIMILARITY) -> DataFrame:
     """One row per input row: its id, ``contaminated``, ``n_items``, ``item_ids`` (comma-joined,
-    ascending) and ``overlap``, the largest share of an item's windows found consistently.
+    ascending) and ``overlap``, the largest share of an item's places that are covered.
 
     Null and empty texts have no window and are clean; so is everything when the benchmark
     is empty. An item of fewer than five tokens has no window and matches nothing; items that
@@ -106,10 +130,12 @@ def benchmark_overlap(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       item_col: str = "item_id", item_text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, with all their columns."""
+    """The rows of ``docs`` that are not contaminated, with all their columns, whatever their names; see
+    ``benchmark_overlap`` for null and empty texts, repeated rows and an empty benchmark."""
     _, per_doc = _overlaps(docs, items, id_col, text_col, item_col, item_text_col, similarity)
-    bad = settle(per_doc.where(F.size("items") > 0).select(F.col("id").alias("__id"), F.col("th").alias("__th")), "leaks")
-    return docs.join(bad, col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(whole_text(text_col)) == F.col("__th")), "left_anti")
+    of, th = fresh(docs, "of", "th")
+    bad = settle(per_doc.where(F.size("items") > 0).select("id", "th"), "leaks").toDF(of, th)
+    return docs.join(bad, col(id_col).eqNullSafe(F.col(of)) & (F.xxhash64(whole_text(text_col)) == F.col(th)), "left_anti")
 
 
 def _sql_templates(table: str, key: str) -> str:
@@ -124,22 +150,30 @@ def _sql_templates(table: str, key: str) -> str:
         FROM (SELECT {key}, regexp_extract_all(coalesce(text, ''), '{TOKEN}') AS t FROM {table})"""
 
 
+def _sql_windows(table: str, key: str) -> str:
+    return f"""
+        SELECT k AS {key}, i, list_transform(s[i:i + {WORDS - 1}], lambda x: x.c) AS c,
+               list_transform(s[i:i + {WORDS - 1}], lambda x: lower(coalesce(x.raw, x.c))) AS w,
+               list_filter(list_transform(s[i:i + {WORDS - 1}], lambda x: x.raw), lambda x: x IS NOT NULL) AS slots
+        FROM (SELECT k, s, unnest(range(1, len(s) - {WORDS - 2})) AS i FROM {table} WHERE len(s) >= {WORDS})"""
+
+
 ORACLE = f"""
     WITH dt AS ({_sql_templates('documents', 'doc_id')}), it AS ({_sql_templates('benchmark', 'item_id')}),
-    dw AS (SELECT k, unnest(range(1, len(s) - {WORDS - 2})) AS i, s FROM dt WHERE len(s) >= {WORDS}),
-    iw AS (SELECT k, unnest(range(1, len(s) - {WORDS - 2})) AS i, s FROM it WHERE len(s) >= {WORDS}),
-    d AS (SELECT k AS doc_id, i, list_transform(s[i:i + {WORDS - 1}], lambda x: x.c) AS w,
-                 list_filter(list_transform(s[i:i + {WORDS - 1}], lambda x: x.raw), lambda x: x IS NOT NULL) AS slots FROM dw),
-    b AS (SELECT k AS item, i, list_transform(s[i:i + {WORDS - 1}], lambda x: x.c) AS w,
-                 list_filter(list_transform(s[i:i + {WORDS - 1}], lambda x: x.raw), lambda x: x IS NOT NULL) AS slots FROM iw),
-    f AS (SELECT doc_id, item, b.i AS place, d.i - b.i AS shift, b.slots AS bs, d.slots AS ds FROM d JOIN b ON d.w = b.w),
-    slots AS (SELECT DISTINCT doc_id, item, shift, bs[n] AS bv, ds[n] AS dv
-              FROM (SELECT *, unnest(range(1, len(bs) + 1)) AS n FROM f)),
-    bad AS (SELECT doc_id, item, shift FROM slots GROUP BY ALL
-            HAVING count(*) != count(DISTINCT bv) OR count(*) != count(DISTINCT dv)),
+    d AS ({_sql_windows('dt', 'doc_id')}), b AS ({_sql_windows('it', 'item')}),
+    f AS (SELECT doc_id, item, b.i AS place, d.i - b.i AS shift, b.slots AS bs, d.slots AS ds
+          FROM d JOIN b ON d.c = b.c WHERE len(b.slots) BETWEEN 1 AND {WORDS - 1}),
+    pairs AS (SELECT doc_id, item, shift, place, bs[n] AS bv, ds[n] AS dv FROM (SELECT *, unnest(range(1, len(bs) + 1)) AS n FROM f)),
+    counted AS (SELECT doc_id, item, shift, bv, dv, count(*) AS n FROM pairs GROUP BY ALL),
+    beaten AS (SELECT DISTINCT x.doc_id, x.item, x.shift, x.bv, x.dv
+               FROM counted x JOIN counted z ON x.doc_id = z.doc_id AND x.item = z.item AND x.shift = z.shift
+               WHERE (z.bv = x.bv) != (z.dv = x.dv) AND (z.n > x.n OR z.n = x.n AND (z.bv < x.bv OR z.bv = x.bv AND z.dv < x.dv))),
+    bad AS (SELECT DISTINCT doc_id, item, shift, place FROM pairs JOIN beaten USING (doc_id, item, shift, bv, dv)),
+    covered AS (SELECT doc_id, item, b.i AS place FROM d JOIN b USING (w)
+                UNION SELECT doc_id, item, place FROM f ANTI JOIN bad USING (doc_id, item, shift, place)),
     sizes AS (SELECT item, count(DISTINCT i) AS n FROM b GROUP BY item),
     hits AS (SELECT doc_id, item, count(DISTINCT place) * 1.0 / any_value(n) AS share
-             FROM f ANTI JOIN bad USING (doc_id, item, shift) JOIN sizes USING (item) GROUP BY doc_id, item),
+             FROM covered JOIN sizes USING (item) GROUP BY doc_id, item),
     per AS (SELECT doc_id, max(share) AS overlap, count(*) FILTER (share >= {SIMILARITY}) AS n_items,
                    string_agg(CAST(item AS VARCHAR), ',' ORDER BY item) FILTER (share >= {SIMILARITY}) AS item_ids
             FROM hits GROUP BY doc_id)
