@@ -7,7 +7,10 @@ a pair at 0.8 shares none with a chance of (1 - 0.8 ** 6) ** 32, or 6 in 100,000
 
 Candidates are compared in two rounds, which keep a large group of copies linear. First every
 member of a band meets the least member of that band. Then, in bands whose members are not
-all connected yet, members of different components meet. Each pair is confirmed by the exact
+all connected yet, members of different components meet if they share one of their rarest
+shingles: two sets at 0.8 have more than 0.8 of their shingles in common, so whatever order
+all sets are read in, the first fifth of each holds a common one. With rare shingles first,
+texts that merely share a passage do not meet at all. Each pair is confirmed by the exact
 Jaccard similarity of the two sets, and components are those of the confirmed pairs.
 """
 
@@ -69,6 +72,29 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFram
     return both.where(shared >= similarity * (F.size("fa") + F.size("fb") - shared)).select("a", "b")
 
 
+def rare_pairs(loose: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Pairs ``a, b`` of the sets ``loose`` (sid, n, root) with different roots which, read by rising
+    frequency, share one of the first shingles that a pair this similar cannot do without."""
+    tokens = loose.join(sets.hint("merge"), "sid").select("sid", "n", "root", F.explode("found").alias("s"))
+    often = tokens.groupBy("s").agg(F.count(F.lit(1)).alias("often"))
+    lead = F.col("n") - F.ceil(similarity * F.col("n") - 1e-9) + 1
+    first = settle(tokens.join(often.hint("merge"), "s").groupBy("sid", "n", "root").agg(
+        F.array_sort(F.collect_list(F.struct("often", "s"))).alias("all"))
+        .select("sid", "n", "root", F.explode(F.slice("all", F.lit(1), lead.cast("int"))).alias("x"))
+        .where("x.often > 1").select("sid", "n", "root", "x.s"), "rare")
+    mixed = settle(first.groupBy("s").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("s"), "mixed")
+    rest = first.join(mixed.hint("merge"), "s")
+    x, y = (rest.select("s", *[F.col(c).alias(c + e) for c in ("sid", "n", "root")]) for e in ("_a", "_b"))
+    return x.join(y.hint("merge"), "s").where(
+        (F.col("sid_a") < F.col("sid_b")) & (F.col("root_a") != F.col("root_b")) & _close(F.col("n_a"), F.col("n_b"), similarity)
+    ).select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b")).distinct()
+
+
+def _close(m, n, similarity: float):
+    """Sets whose sizes are further apart cannot be similar enough."""
+    return F.least(m, n) >= similarity * F.greatest(m, n)
+
+
 def near_copy_roots(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
                     similarity: float = SIMILARITY) -> DataFrame:
     """``id, th, root``: rows with one ``root`` are near copies, linked by pairs of at least ``similarity``."""
@@ -98,13 +124,11 @@ def near_copy_roots(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = settle(members.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("sid", "n")).alias("first"))
                     .where("size > 1").select("band", "first"), "shared")
     members = settle(members.join(shared.hint("merge"), "band"), "crowded")
-    # Sets whose sizes are further apart cannot be similar enough.
-    close = lambda m, n: F.least(m, n) >= similarity * F.greatest(m, n)
     wanted = members.select("th").distinct()
     sets = settle(texts.join(wanted.hint("merge"), "th", "left_semi").select("text")
                   .mapInArrow(spell, "sid binary, found array<bigint>").dropDuplicates(["sid"]), "sets")
 
-    first = members.where((F.col("sid") != F.col("first.sid")) & close(F.col("n"), F.col("first.n"))) \
+    first = members.where((F.col("sid") != F.col("first.sid")) & _close(F.col("n"), F.col("first.n"), similarity)) \
         .select(F.col("first.sid").alias("a"), F.col("sid").alias("b")).distinct()
     edges = settle(_confirmed(first, sets, similarity), "links")
     stars = components(edges)
@@ -114,11 +138,8 @@ def near_copy_roots(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest = placed.where("not met")
     open_ = settle(rest.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"))
                    .where("low != high").select("band"), "open")
-    rest = rest.join(open_.hint("merge"), "band")
-    x, y = (rest.select("band", *[F.col(c).alias(c + s) for c in ("sid", "n", "root")]) for s in ("_a", "_b"))
-    others = x.join(y.hint("merge"), "band").where((F.col("sid_a") < F.col("sid_b")) & (F.col("root_a") != F.col("root_b"))
-                                                   & close(F.col("n_a"), F.col("n_b"))) \
-        .select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b")).distinct()
+    loose = settle(rest.join(open_.hint("merge"), "band").select("sid", "n", "root").distinct(), "loose")
+    others = rare_pairs(loose, sets, similarity)
     more = settle(_confirmed(others, sets, similarity), "links")
     stars = components(edges.unionByName(more))
     return settle(prints.select("id", "th", "sid").join(stars.hint("merge"), F.col("sid") == stars.node, "left")

@@ -5,8 +5,9 @@ pigeonhole: 64 bits cut into ``radius + 1`` blocks, and two fingerprints within
 agree on a whole block, so each goes to one shard per block. In a shard they form a
 BK-tree, whose children hang on edges keyed by their integer Hamming distance to the
 parent, and a query follows only the edges within the radius of its own distance. A shard
-of more than ``TREE`` members is cut into trees of that size and its members are sent to
-each of them as queries, so a tree has a proven bound and no task holds a whole hot shard.
+of more than ``TREE`` members is cut into trees of that size, and its members as queries
+into pieces of about ``TASK_ROWS``; each piece meets a copy of each tree, so both have a
+proven bound and no task holds a whole hot shard.
 
 A task answers many shards at once: building and searching are done level by level over a
 forest, in numpy. It returns, instead of every pair, one star per set of linked
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattlane.llm.common import buckets, col, documents, query, whole_text
+from wattlane.llm.common import buckets, col, documents, fresh, query, whole_text
 from wattlane.session import settle
 
 #: Most members of one tree, and about how many rows a task searches.
@@ -139,12 +140,13 @@ def _stars(radius: int):
     def run(table: pa.Table) -> pa.Table:
         keys = table.column("tree").to_numpy()
         fps = table.column("fp").to_numpy().view(np.uint64)
-        inside = table.column("inside").to_numpy(zero_copy_only=False)
+        inside, asks = (table.column(c).to_numpy(zero_copy_only=False) for c in ("inside", "asks"))
         forest = Forest(keys[inside], fps[inside])
         values, position = np.unique(fps, return_inverse=True)
         label = np.arange(len(values))
-        for start in range(0, len(fps), 8192):
-            part = slice(start, start + 8192)
+        queries = np.flatnonzero(asks)
+        for start in range(0, len(queries), 8192):
+            part = queries[start:start + 8192]
             for q, near in forest.search(keys[part], fps[part], radius):
                 label = least_labels(position[part][q], np.searchsorted(values, near), label)
         linked = np.flatnonzero(label != np.arange(len(values)))
@@ -153,7 +155,7 @@ def _stars(radius: int):
     return run
 
 
-def link_stars(nodes: DataFrame, radius: int = 2, tree: int = TREE) -> DataFrame:
+def link_stars(nodes: DataFrame, radius: int = 2, tree: int = TREE, task_rows: int = TASK_ROWS) -> DataFrame:
     """Edges (a, b) that connect whatever values of ``fp`` lie within the radius."""
     blocks = radius + 1
     cut = [round(i * 64 / blocks) for i in range(blocks + 1)]
@@ -163,14 +165,20 @@ def link_stars(nodes: DataFrame, radius: int = 2, tree: int = TREE) -> DataFrame
         for i, (lo, hi) in enumerate(zip(cut, cut[1:]))])
     shards = nodes.select("fp", F.explode(key).alias("k")).select("fp", "k.block", "k.part")
     crowded = settle(shards.groupBy("block", "part").count().where("count > 1"), "shards")
-    rows = int(crowded.agg(F.sum(F.col("count") * F.ceil(F.col("count") / tree))).first()[0] or 0)
-    n = buckets(rows, TASK_ROWS)
     trees = F.expr(f"cast(ceil(count / {tree}) as int)")
+    pieces = F.expr(f"cast(ceil(count / {task_rows}) as int)")
+    rows = int(crowded.agg(F.sum(F.col("count") * (trees + pieces - 1))).first()[0] or 0)
+    n = buckets(rows, task_rows)
     dealt = (
         shards.join(crowded, ["block", "part"])
         .withColumn("own", F.pmod(F.xxhash64("fp"), trees).cast("int"))
-        .withColumn("sub", F.explode(F.sequence(F.lit(0), trees - 1)))
-        .select(F.xxhash64("block", "part", "sub").alias("tree"), "fp", (F.col("own") == F.col("sub")).alias("inside")))
+        .withColumn("mine", F.pmod(F.xxhash64("fp", F.lit("piece")), pieces).cast("int"))
+        # A member asks every tree, in its own piece, and stands in its own tree, in every piece.
+        .withColumn("at", F.explode(F.array_distinct(F.concat(
+            F.transform(F.sequence(F.lit(0), trees - 1), lambda t: F.struct(t.alias("tree"), F.col("mine").alias("piece"))),
+            F.transform(F.sequence(F.lit(0), pieces - 1), lambda p: F.struct(F.col("own").alias("tree"), p.alias("piece")))))))
+        .select(F.xxhash64("block", "part", "at.tree", "at.piece").alias("tree"), "fp",
+                (F.col("own") == F.col("at.tree")).alias("inside"), (F.col("mine") == F.col("at.piece")).alias("asks")))
     return (dealt.withColumn("bucket", F.pmod("tree", F.lit(n)))
             .groupBy("bucket").applyInArrow(_stars(radius), "a long, b long").distinct())
 
@@ -234,13 +242,13 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
 def keep_rows(docs: DataFrame, prints: DataFrame, least: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The rows of ``docs`` named by ``least`` (id, th), once each; ``prints`` has id and th of all rows."""
-    keep = settle(least.select(F.col("id").alias("__id"), F.col("th").alias("__th")), "keepers")
-    same = col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(whole_text(text_col)) == F.col("__th"))
-    kept = docs.join(keep, same, "left_semi")
+    of, th = fresh(docs, "of", "th")
+    keep = settle(least.select("id", "th"), "keepers").toDF(of, th)
+    kept = docs.join(keep, col(id_col).eqNullSafe(F.col(of)) & (F.xxhash64(whole_text(text_col)) == F.col(th)), "left_semi")
     twice = prints.groupBy("id", "th").count().where("count > 1")
     if twice.isEmpty():
         return kept
-    return kept.withColumn("__th", F.xxhash64(whole_text(text_col))).dropDuplicates([id_col, "__th"]).drop("__th")
+    return kept.withColumn(th, F.xxhash64(whole_text(text_col))).dropDuplicates([id_col, th]).drop(th)
 
 
 @query("op6_simhash")
