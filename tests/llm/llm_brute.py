@@ -35,11 +35,11 @@ def answers(df, *names):
     return sorted((tuple(r[n] for n in names) for r in df.collect()), key=repr)
 
 
-def brute_print(text):
+def brute_print(text, wide=3):
     words = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text))
     if not words:
         return 0
-    shingles = [" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))]
+    shingles = [" ".join(words[i:i + wide]) for i in range(max(1, len(words) - wide + 1))]
     hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 

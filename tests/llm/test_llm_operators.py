@@ -109,8 +109,8 @@ def test_near_duplicates_of_the_tables(spark, sf):
     assert answers(entry.queries()["op6_simhash"](spark, sf), "doc_id", "fingerprint", "component_id") == brute_near(texts_of(docs))
 
 
-@pytest.mark.parametrize("tree", [20_000, 7])
-def test_trees_lose_no_link(spark, tree):
+@pytest.mark.parametrize("tree, task_rows", [(20_000, 50_000), (7, 50_000), (7, 11), (20_000, 5)])
+def test_trees_lose_no_link(spark, tree, task_rows):
     rng = random.Random(tree)
     values = set()
     for _ in range(30):
@@ -119,7 +119,7 @@ def test_trees_lose_no_link(spark, tree):
             values.add(x)
             x ^= 1 << rng.randrange(64) | 1 << rng.randrange(64)
     rows = [(v - (1 << 64) if v >> 63 else v,) for v in values]
-    stars = simhash.components(simhash.link_stars(spark.createDataFrame(rows, "fp long"), tree=tree))
+    stars = simhash.components(simhash.link_stars(spark.createDataFrame(rows, "fp long"), tree=tree, task_rows=task_rows))
     got = {r.node: r.root for r in stars.collect()}
     mark = lambda v: v % (1 << 64)
     groups = defaultdict(set)
@@ -257,14 +257,68 @@ def test_labels_of_held_out_rows_are_not_learnt(spark, sf):
 
 # --- lines, leaks, mixture ----------------------------------------------------------------------
 
+def lines_left(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r.text for r in line_dedup.line_dedup(docs).orderBy("doc_id").collect()]
+
+
 def test_lines_generalise(spark):
     texts = [f"only here {w} stands this line of its own\nPosted at {i} by user nr {i * 7} on the board\nsee also the page of {w} for more" for i, w in
              enumerate(["sun", "moon", "star", "sky"])]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    rows = {r.doc_id: r for r in line_dedup.line_dedup(docs).collect()}
-    assert rows[0].text == texts[0] and rows[0].n_dropped == 0
-    assert [rows[i].text for i in (1, 2, 3)] == [""] * 3 or all(rows[i].n_dropped >= 2 for i in (1, 2, 3))
-    assert all("Posted" not in rows[i].text and "see also" not in rows[i].text for i in (1, 2, 3))
+    left = lines_left(spark, texts)
+    assert left[0] == texts[0]
+    assert all("Posted" not in t and "see also" not in t for t in left[1:])
+
+
+@pytest.mark.parametrize("names, cities", [(3, 3), (9, 9), (2, 30)])
+def test_fields_whose_values_recur_generalise(spark, names, cities):
+    """Whether a token is a constant depends on its share of the leaf, not on how often it recurs."""
+    pairs = [(n, c) for n in range(names) for c in range(cities) if names * cities < 20 or n == c or names == 2]
+    texts = [f"own {chr(97 + i % 26)}{chr(97 + i // 26)}\nPosted on this public site by {'ABCDEFGHI'[n]}nn in {chr(97 + c % 26)}{chr(97 + c // 26)}city early today" for i, (n, c) in enumerate(pairs)]
+    assert [t.count("Posted") for t in lines_left(spark, texts)] == [1] + [0] * (len(texts) - 1)
+
+
+def test_identical_lines_go_whatever_they_hold(spark):
+    tel, short, rare = "Tel. 030 1234 5678", "Thank you", "Good bye"
+    texts = [f"mine {i:02d}a\n{short}" + (f"\n{tel}" if i < 3 else "") + (f"\n{rare}" if i < 19 else "") for i in range(20)]
+    left = lines_left(spark, texts)
+    assert [short in t for t in left] == [True] + [False] * 19
+    assert [tel in t for t in left] == [True] + [False] * 19
+    assert [rare in t for t in left] == [True] * 19 + [False]
+
+
+@pytest.mark.parametrize("words, stays", [(51, False), (50, True)])
+def test_long_lines_recur_from_two_documents(spark, words, stays):
+    line = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(words))
+    assert lines_left(spark, [f"one\n{line}", f"two\n{line}", "three"]) == [f"one\n{line}", f"two\n{line}" if stays else "two", "three"]
+
+
+def test_awkward_lines(awkward, spark):
+    """Only texts that hold a recurring line change: the long text and the shared one stand in two
+    documents each, and of each the one with the smaller id (null first) keeps it."""
+    before, after = texts_of(awkward), line_dedup.line_dedup(awkward)
+    assert after.columns == awkward.columns + ["n_lines", "n_dropped"]
+    rows = [(r.doc_id, r.text, r.n_dropped) for r in after.collect()]
+    awk = awkward_texts()
+    first, changed = {}, []
+    for i, t in sorted(before, key=lambda r: (r[0] is not None, r[0] or 0)):
+        if len(t.split()) > 50 and "\n" not in t:
+            (changed if t in first and first[t] != i else [first.setdefault(t, i)]).append((i, t))
+    want = sorted([(i, "" if (i, t or "") in changed else t) for i, t in [(r.doc_id, r.text) for r in awkward.collect()]], key=repr)
+    assert sorted([(i, t) for i, t, _ in rows], key=repr) == want and len(awk) + 1 == len(rows) and len(changed) >= 2
+
+
+CLASHING = ["of", "th", "gone", "mix_source", "mix_first", "mix_cdf", "mix_draw", "lang_pred", "found_lang", "found_score", "_of", "at", "m", "leaf"]
+
+
+def test_clashing_names(spark, bench):
+    docs = spark.createDataFrame([(1, "a b c d e\nf"), (2, "a b c d e\nf g"), (2, None)], "doc_id long, text string").withColumns(
+        {c: F.lit(c) for c in CLASHING} | {"source": F.lit("s"), "lang": F.lit("en")})
+    for name, df in {"lines": line_dedup.line_dedup(docs), "leaks": decontamination.drop_contaminated(docs, bench.withColumns({c: F.lit(1) for c in CLASHING})),
+                     "near": simhash.drop_near_duplicates(docs), "mix": mixing.mix_sources(docs),
+                     "language": language_id.tag_languages(docs, "found", "found_2")}.items():
+        assert df.columns[:len(docs.columns)] == docs.columns, name
+        assert all(r[c] == c for r in df.collect() for c in CLASHING), name
 
 
 def test_reparameterised_questions(spark, bench):
@@ -281,6 +335,23 @@ def test_slots_must_agree(spark):
     assert {r.doc_id: r.contaminated for r in decontamination.benchmark_overlap(docs, items).collect()} == {1: True, 2: False}
 
 
+def test_one_altered_slot_spoils_only_its_windows(spark):
+    rng = random.Random(6)
+    words = [rng.choice("abcdefgh") * rng.randrange(3, 9) for _ in range(200)]
+    words[20] = words[120] = "77"
+    words[60], words[61] = "Berlin", "Paris"
+    item = " ".join(words)
+    altered = " ".join("78" if i == 120 else w for i, w in enumerate(words))
+    other = " ".join({"77": "5", "Berlin": "Rome", "Paris": "Oslo"}.get(w, w) for w in words)
+    mixed = " ".join("x" if i % 4 == 0 else w for i, w in enumerate(words))
+    docs = [(1, altered), (2, item.upper()), (3, item.title()), (4, item.lower()), (5, other), (6, "so " + item + " it is"), (7, mixed), (8, "77 " * 3_000)]
+    items = [(1, item), (2, "1 2 3 4 5 6 7 8 9 10 11 12")]
+    got = {r.doc_id: r for r in decontamination.benchmark_overlap(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert [i for i, r in sorted(got.items()) if r.contaminated] == [1, 2, 3, 4, 5, 6]
+    assert got[1].overlap >= 190 / 196 and got[7].overlap < 0.2 and got[8].overlap == 0
+
+
 def test_leaks_are_found_and_clean_documents_stay(spark, sf):
     docs, items = small(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet")
     asked = [r.text for r in items.collect()]

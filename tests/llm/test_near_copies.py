@@ -79,10 +79,39 @@ def test_pipeline_drops_copies_beyond_two_bits(spark, sf, planted):
     assert sum((brute_print(rows[0][1]) ^ brute_print(t)).bit_count() > 2 for _, t in rows[1:8]) > 3
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], docs.schema)
     for name, stage in corpus_pipeline.STAGES:
-        if name in ("simhash", "decontamination", "near_copies"):
+        if name in ("simhash", "decontamination"):
             docs = stage(spark, docs, sf)
     assert brute_links([(r.doc_id, r.text) for r in docs.collect()]) == []
 
 
+@pytest.mark.parametrize("n", [150, 300, 600])
+def test_texts_that_share_a_passage_make_no_pairs(spark, n, monkeypatch):
+    """Documents with 200 of 260 words in common share bands but no rare shingle: compared pairs grow linearly."""
+    rng = random.Random(n)
+    passage = [rng.choice(WORDS) + rng.choice(WORDS) for _ in range(200)]
+    own = lambda: [rng.choice(WORDS) + rng.choice(WORDS) for _ in range(30)]
+    rows = [(i, " ".join(own() + passage + own())) for i in range(n)]
+    compared, confirmed = [], near_copies._confirmed
+    monkeypatch.setattr(near_copies, "_confirmed", lambda pairs, *a: compared.append(pairs.count()) or confirmed(pairs, *a))
+    roots = near_copy_roots(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len({bytes(r.root) for r in roots}) == n
+    assert len(compared) == 2 and compared[0] <= 8 * n and compared[1] <= n
+
+
+def test_rare_pairs_recall_components_that_bands_left_apart(spark):
+    """A chain of edits: the least member of a band links few of its members, the rest meet by rare shingles."""
+    rng = random.Random(12)
+    base = [rng.choice(WORDS) + rng.choice(WORDS) for _ in range(150)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 60):
+        base = list(base)
+        base[rng.randrange(150)] = rng.choice(WORDS) + rng.choice(WORDS)
+        rows.append((i, " ".join(base)))
+    groups = {}
+    for r in near_copy_roots(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        groups.setdefault(bytes(r.root), set()).add(r.id)
+    assert sorted(map(sorted, groups.values())) == brute_groups(rows)
+
+
 def test_empty_table(spark):
     assert drop_near_copies(spark.createDataFrame([], "doc_id long, text string")).count() == 0

@@ -236,21 +236,24 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     are ignored.
     """
     model = fit_language_id(docs, id_col, text_col, lang_col, per_language)
-    return _tag(docs.select(col(id_col), col(text_col)), model, text_col).select(
-        col(id_col), held_out(id_col, 5, 0).alias("held_out"), F.col("__lang").alias("lang_pred"), F.col("__score").alias("score"))
+    texts = docs.select(col(id_col).alias("id"), col(text_col).alias("text"))
+    return _tag(texts, model, "text", "lang_pred", "score").select(
+        F.col("id").alias(id_col), held_out("id", 5, 0).alias("held_out"), "lang_pred", "score")
 
 
-def tag_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                  per_language: int = DOCS_PER_LANGUAGE) -> DataFrame:
-    """The rows of ``docs`` with all their columns, and ``__lang`` and ``__score`` as ``language_id``
-    gives them, without a join."""
-    return _tag(docs, fit_language_id(docs, id_col, text_col, lang_col, per_language), text_col)
+def tag_languages(docs: DataFrame, lang: str = "lang_pred", score: str = "lang_score", id_col: str = "doc_id",
+                  text_col: str = "text", lang_col: str = "lang", per_language: int = DOCS_PER_LANGUAGE) -> DataFrame:
+    """The rows of ``docs`` with all their columns, and as ``lang`` and ``score`` what ``language_id``
+    gives them, without a join. A column of one of these names in the input is an error."""
+    return _tag(docs, fit_language_id(docs, id_col, text_col, lang_col, per_language), text_col, lang, score)
 
 
-def _tag(docs: DataFrame, model: ByteTagger | None, text_col: str) -> DataFrame:
+def _tag(docs: DataFrame, model: ByteTagger | None, text_col: str, lang: str, score: str) -> DataFrame:
     names = docs.columns
+    if {lang, score} & set(names):
+        raise ValueError(f"the input has a column {lang!r} or {score!r} already")
     place = names.index(text_col)
-    schema = T.StructType([*docs.schema.fields, T.StructField("__lang", T.StringType()), T.StructField("__score", T.DoubleType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(lang, T.StringType()), T.StructField(score, T.DoubleType())])
 
     def run(batches):
         for batch in batches:
@@ -266,7 +269,8 @@ def _tag(docs: DataFrame, model: ByteTagger | None, text_col: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(found, pa.string()), pa.array(scores, pa.float64())], schema.names)
 
-    return docs.mapInArrow(run, schema)
+    # By place: names with dots or blanks cannot be looked up.
+    return docs.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(run, schema)
 
 
 @query("op10_language_id")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wattlane.llm.common import col, documents, query, whole_text
+from wattlane.llm.common import col, documents, fresh, query, whole_text
 from wattlane.session import settle
 
 #: Hex digits of the hash that make the uniform number: 52 bits are exact in a double.
@@ -77,22 +77,23 @@ def mix_sources(docs: DataFrame, targets: DataFrame | None = None, id_col: str =
 
     Rows are dealt to partitions by ``mix_key`` and sorted by it inside each, so every
     partition is a random sample of the mixture and every run gives the same one. Columns
-    of these names in the input are replaced. Rows that repeat an id draw the same count; a
+    of these names in the input are replaced, others may have any name. Rows that repeat an id draw the same count; a
     null id draws like an id of its own; null and empty texts have size 0; an empty table
     gives an empty result.
     """
-    rates = settle(_poisson(source_rates(docs, targets, source_col, text_col, amount)).select(
-        F.col("source").alias("mix_source"), F.col("rate").alias("mix_rate"), F.col("first").alias("mix_first"),
-        F.col("cdf").alias("mix_cdf")), "rates")
     names = [c for c in docs.columns if c not in ("mix_copy", "mix_copies", "mix_rate", "mix_key")]
+    source, first, cdf, draw = fresh(docs, "mix_source", "mix_first", "mix_cdf", "mix_draw")
+    rates = settle(_poisson(source_rates(docs, targets, source_col, text_col, amount)).select(
+        F.col("source").alias(source), F.col("rate").alias("mix_rate"), F.col("first").alias(first),
+        F.col("cdf").alias(cdf)), "rates")
     key = F.coalesce(col(id_col).cast("string"), F.lit(""))
     # The table of rates is a file by now: Spark broadcasts it only if it is below the session's threshold.
     # The draw is zipped to the table: a lambda that captures a column of the other side would let the
     # optimiser move the filter on the count below the join.
-    drawn = docs.select(*map(col, names)).join(rates, col(source_col).eqNullSafe(F.col("mix_source"))).withColumn(
-        "mix_u", _uniform(F.concat(F.lit(f"{seed}:"), key))).withColumn(
+    drawn = docs.select(*map(col, names)).join(rates, col(source_col).eqNullSafe(F.col(source))).withColumn(
+        draw, _uniform(F.concat(F.lit(f"{seed}:"), key))).withColumn(
         "mix_copies", F.expr(
-            "int(mix_first + size(filter(arrays_zip(mix_cdf, array_repeat(mix_u, size(mix_cdf))), x -> x.mix_cdf <= x['1'])))"))
+            f"int({first} + size(filter(arrays_zip({cdf}, array_repeat({draw}, size({cdf}))), x -> x.{cdf} <= x['1'])))"))
     copies = drawn.where("mix_copies > 0").withColumn("mix_copy", F.explode(F.expr("sequence(0, mix_copies - 1)")))
     keyed = copies.withColumn("mix_key", F.md5(F.concat(F.lit(f"{seed}/"), key, F.lit("/"), F.col("mix_copy").cast("string"))))
     return (keyed.select(*map(col, names), "mix_copy", "mix_copies", "mix_rate", "mix_key")
