@@ -160,7 +160,7 @@ def test_spearman_equals_pandas(skewed, method):
     sp = df.sparkSession.createDataFrame(pdf[["a", "b", "c", "e"]])
     sp = sp.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in sp.columns]).withColumn("none", F.lit(None).cast("double"))
     want = pdf[["a", "b", "c", "e"]].corr(method="spearman")
-    got = spearman_matrix(sp, ["a", "b", "c", "e", "none"], method).collect()
+    got = spearman_matrix(sp, ["a", "b", "c", "e", "none"]).collect()
     assert len(got) == 25
     for r in got:
         if "none" in (r["col_a"], r["col_b"]) or "c" in (r["col_a"], r["col_b"]):

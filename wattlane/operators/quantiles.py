@@ -19,11 +19,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wattlane.session import choose_method, settle
+from wattlane.session import choose_method, gather, settle
 
 #: Size of the sketches (their rank error is about 0.0013) and half width of a bracket in rank.
 SKETCH_SIZE = 4_096
@@ -59,7 +61,7 @@ def group_quantile(df: DataFrame, columns: Sequence[str], probability: float = 0
         return source.groupBy(*by).agg(*aggs)
     long = exact_quantiles(df, columns, [probability], by, method)
     aggs = [F.max(F.when(F.col("metric") == c, F.col("q")[0])).alias(c) for c in columns]
-    return settle(long.groupBy(*by).agg(*aggs), "quantile")
+    return _kept(long.groupBy(*by).agg(*aggs), not by, "quantile")[0]
 
 
 def level_quantile(df: DataFrame, columns: Sequence[str], levels: Sequence[Sequence[str]],
@@ -70,7 +72,7 @@ def level_quantile(df: DataFrame, columns: Sequence[str], levels: Sequence[Seque
     source = df.select(_places(df, levels).alias(PLACES), *columns)
     long = _bracketed(source, columns, [float(probability)], ["_level", "_key"])
     aggs = [F.max(F.when(F.col("metric") == c, F.col("q")[0])).alias(c) for c in columns]
-    wide = settle(long.groupBy("_level", "_key").agg(*aggs), "quantile")
+    wide, _ = _kept(long.groupBy("_level", "_key").agg(*aggs), False, "quantile")
     return [wide.where(F.col("_level") == i).select(*[F.col("_key")[k].alias(k) for k in level], *columns)
             for i, level in enumerate(levels)]
 
@@ -94,6 +96,11 @@ def _at_places(rows: DataFrame) -> DataFrame:
     return rows.select(*[c for c in rows.columns if c != PLACES], F.inline(PLACES))
 
 
+def _kept(table: DataFrame, bounded: bool, name: str) -> tuple[DataFrame, pa.Table | None]:
+    """A table of statistics: inside the plan if it is small, else a file. One known to be small is not written first."""
+    return gather(table if bounded else settle(table, name))
+
+
 def _unpivot_structs(columns: Sequence[str], fields) -> Column:
     return F.inline(F.array(*[F.struct(F.lit(c).alias("metric"), *fields(c)) for c in columns]))
 
@@ -121,9 +128,18 @@ def _long(source: DataFrame, columns, by) -> DataFrame:
 
 def _bracketed(source: DataFrame, columns, probabilities, by, margin: float = MARGIN) -> DataFrame:
     group = [*by, "metric"]
-    brackets = settle(_sketch(source, columns, probabilities, by, margin), "brackets")
+    brackets, few = _kept(_sketch(source, columns, probabilities, by, margin), not by, "brackets")
     counts = settle(_reduce(source, brackets, columns, probabilities, by), "counts")
+    found, rows = _kept(_read_off(counts, brackets, group), few is not None, "found")
+    wanted = len(probabilities) * (brackets.count() if few is None else few.num_rows)
+    got = found.agg(F.sum("got")).first()[0] if rows is None else pc.sum(rows.column("got")).as_py()
+    if (got or 0) < wanted:
+        return _bracketed(source, columns, probabilities, by, margin * 32)  # a bracket has missed its rank
+    return found.drop("got")
 
+
+def _read_off(counts: DataFrame, brackets: DataFrame, group: list[str]) -> DataFrame:
+    """``(*group, n, q, got)`` from the counts inside the brackets; ``got`` ranks were inside."""
     targets = brackets.select(*group, "n", F.posexplode("p").alias("i", "p"))
     position = F.col("p") * (F.col("n") - 1)
     targets = (
@@ -139,21 +155,19 @@ def _bracketed(source: DataFrame, columns, probabilities, by, margin: float = MA
         .withColumn("before", F.col("upto") - F.col("size"))
     )
     holds = (F.col("before") <= F.col("r_high")) & (F.col("upto") > F.col("r_low"))
-    hit = settle(
-        cells.join(targets.select(*group, "r_low", "r_high"), group).where(holds)
-        .groupBy(*group, "gap", "inside", "cell").agg(F.max("before").alias("before")), "cells")
-    if hit.where(~F.col("inside")).limit(1).count():
-        return _bracketed(source, columns, probabilities, by, margin * 32)
+    hit = (cells.join(targets.select(*group, "r_low", "r_high"), group).where(holds)
+           .groupBy(*group, "gap", "inside", "cell").agg(F.max("before").alias("before")))
 
     in_cell = Window.partitionBy(*group, "gap", "cell").orderBy("v")
     ranked = (
-        counts.where("inside").join(hit.drop("inside"), [*group, "gap", "cell"])
+        counts.where("inside").join(hit.where("inside").drop("inside"), [*group, "gap", "cell"])
         .withColumn("upto", F.col("before") + F.sum("m").over(
             in_cell.rowsBetween(Window.unboundedPreceding, 0)))
         .select(*group, "v", "upto", (F.col("upto") - F.col("m")).alias("before"))
     )
     holds_low = (F.col("before") <= F.col("r_low")) & (F.col("upto") > F.col("r_low"))
     holds_high = (F.col("before") <= F.col("r_high")) & (F.col("upto") > F.col("r_high"))
+    # Every value met is a number, infinite or NaN but never null, so a null is a rank that no value held.
     picked = (
         ranked.join(targets, group).where(holds_low | holds_high)
         .groupBy(*group, "n", "i", "pos", "r_low", "r_high")
@@ -161,9 +175,10 @@ def _bracketed(source: DataFrame, columns, probabilities, by, margin: float = MA
     )
     value = F.when(F.col("r_low") == F.col("r_high"), F.col("low")).otherwise(
         (F.col("r_high") - F.col("pos")) * F.col("low") + (F.col("pos") - F.col("r_low")) * F.col("high"))
-    found = picked.groupBy(*group, "n").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("i", value.alias("x")))), lambda s: s["x"]).alias("q"))
-    return found.select(*group, "n", "q")
+    both = F.col("low").isNotNull() & F.col("high").isNotNull()
+    return picked.groupBy(*group, "n").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("i", value.alias("x")))), lambda s: s["x"]).alias("q"),
+        F.count_if(both).alias("got")).select(*group, "n", "q", "got")
 
 
 def _sketch(source, columns, probabilities, by, margin) -> DataFrame:
@@ -202,18 +217,15 @@ def _reduce(source, brackets, columns, probabilities, by) -> DataFrame:
     end below the value; outside a bracket v collapses to null, so a group leaves
     few rows. (gap, inside, cell, v) sorts exactly as the values do."""
     group = [*by, "metric"]
+    # Brackets by rising probability: those whose upper end lies below the value are counted, the next may hold it.
     order = sorted(range(len(probabilities)), key=probabilities.__getitem__)
-    lo, hi = [F.col("lo")[k] for k in order], [F.col("hi")[k] for k in order]
-    v = F.col("v")
-    gap = sum(((v > h).cast("int") for h in hi[1:]), (v > hi[0]).cast("int"))
-    low, high = F.get(F.array(*lo), F.col("gap")), F.get(F.array(*hi), F.col("gap"))
-    place = F.try_divide(v - low, high - low) * CELLS
+    ranked = brackets.select(*group, F.array(*[F.struct(F.col("lo")[k].alias("lo"), F.col("hi")[k].alias("hi")) for k in order]).alias("b"))
+    rows = _long(source, columns, by).join(ranked, group)
+    gap = sum(((F.col("v") > F.col("b")[k]["hi"]).cast("int") for k in range(1, len(order))), (F.col("v") > F.col("b")[0]["hi"]).cast("int"))
+    rows = rows.select(*group, "v", gap.alias("gap"), F.get("b", gap).alias("at"))
+    place = F.try_divide(F.col("v") - F.col("at.lo"), F.col("at.hi") - F.col("at.lo")) * CELLS
     cell = F.when(F.isnan(place), CELLS).otherwise(F.least(F.floor(place), F.lit(CELLS)))
-    rows = _long(source, columns, by).join(brackets.select(*group, "lo", "hi"), group)
-    rows = (
-        rows.withColumn("gap", gap)
-        .withColumn("inside", F.coalesce(v >= low, F.lit(False)))
-        .withColumn("cell", F.when(F.col("inside"), F.coalesce(cell, F.lit(0))).otherwise(0).cast("int"))
-        .withColumn("v", F.when(F.col("inside"), v))
-    )
+    inside = F.coalesce(F.col("v") >= F.col("at.lo"), F.lit(False))
+    rows = rows.select(*group, "gap", inside.alias("inside"), F.when(inside, F.coalesce(cell, F.lit(0))).otherwise(0).cast("int").alias("cell"),
+                       F.when(inside, F.col("v")).alias("v"))
     return rows.groupBy(*group, "gap", "inside", "cell", "v").agg(F.count("*").alias("m"))

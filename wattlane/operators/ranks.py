@@ -1,102 +1,161 @@
 """Average ranks with ties, and the Spearman matrix, without a global sort window.
 
-A column is first reduced to its distinct values and their counts. Large value
-sets are cut into ordered cells at sketch quantiles; ranks are running counts
-inside a cell plus the count before it, so no task sorts a whole column.
+All ranked columns become one long table (row, metric, value) that is dealt once, by ranges
+of (metric, value, row): a value that fills a third of the table is spread like any other, as
+the row is part of the key. Each partition is read in order and gives every row the number
+of smaller and of equal values it has seen there. One small row per partition and metric
+then says how many rows lie before it and how its first and last value go on in the
+neighbours, which turns local numbers into ranks. The long table of ranks is turned back
+into rows once, whatever the number of columns.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wattlane.session import choose_method, scratch, settle
-
-RANK_CELLS = 1000
-
-
-def _value_counts(df: DataFrame, columns: Sequence[str], partial: Sequence[str]) -> DataFrame:
-    """Per column and distinct value: rows, and rows where each ``partial`` column is present."""
-    present = [F.col(p).isNotNull().cast("long").alias(f"n_{p}") for p in partial]
-    rows = df.select(*present, F.inline(F.array(*[
-        F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("v")) for c in columns])))
-    return rows.where(F.col("v").isNotNull()).groupBy("metric", "v").agg(
-        F.count("*").alias("n_all"), *[F.sum(f"n_{p}").alias(f"n_{p}") for p in partial])
-
-
-def value_ranks(df: DataFrame, columns: Sequence[str], partial: Sequence[str] = (),
-                method: str = "auto") -> DataFrame:
-    """``(metric, v, r_all, r_<p>...)``: the average rank of each distinct value, over all rows
-    and over the rows where column ``p`` is present."""
-    counts = _value_counts(df, columns, partial)
-    names = ["all", *partial]
-    if choose_method(df, method) == "direct":
-        counts = counts.withColumn("cell", F.lit(0))
-    else:
-        counts = settle(counts, "values")
-        edges = [F.lit(i / RANK_CELLS) for i in range(1, RANK_CELLS)]
-        splits = counts.groupBy("metric").agg(F.percentile_approx("v", F.array(*edges), 10 * RANK_CELLS).alias("s"))
-        counts = counts.join(settle(splits, "splits"), "metric").withColumn(
-            "cell", F.size(F.filter("s", lambda s: s < F.col("v")))).drop("s")
-
-    inside = Window.partitionBy("metric", "cell").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    # One row per cell: at most RANK_CELLS rows per column reach this window.
-    before = Window.partitionBy("metric").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = counts.groupBy("metric", "cell").agg(*[F.sum(f"n_{p}").alias(f"c_{p}") for p in names])
-    cells = cells.select("metric", "cell", *[
-        F.coalesce(F.sum(f"c_{p}").over(before), F.lit(0)).alias(f"b_{p}") for p in names])
-    ranked = counts.join(cells, ["metric", "cell"])
-    return ranked.select("metric", "v", *[
-        (F.col(f"b_{p}") + F.sum(f"n_{p}").over(inside) - (F.col(f"n_{p}") - 1) / 2.0).alias(f"r_{p}")
-        for p in names])
-
-
-def rank_average(df: DataFrame, column: str, out: str = "rank", method: str = "auto") -> DataFrame:
-    """Adds the 1-based average rank of ``column``; a null has no rank."""
-    ranks = value_ranks(df, [column], method=method).select("v", F.col("r_all").alias(out))
-    return df.join(ranks, F.col(column).cast("double") == F.col("v"), "left").drop("v")
-
-
-def spearman_matrix(df: DataFrame, columns: Sequence[str], method: str = "auto") -> DataFrame:
+from wattlane.session import settle, spread
+
+ROW = "_row"
+
+
+def _tie_runs(metric: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Where a new value or metric begins; NaN equals NaN."""
+    same = (v[1:] == v[:-1]) | (np.isnan(v[1:]) & np.isnan(v[:-1]))
+    return np.concatenate([[True], (metric[1:] != metric[:-1]) | ~same])
+
+
+def _count_in_order(batches, masks: int):
+    """Per row of a partition in order of (metric, v): how many rows of the partition and metric
+    are smaller, and how many equal, among all rows and among those of each mask."""
+    part = TaskContext.get().partitionId()
+    held: list[pa.RecordBatch] = []
+    metric, before = None, np.zeros(masks, np.int64)
+
+    def counted(rows: pa.Table):
+        nonlocal metric, before
+        m, v = rows.column("metric").to_numpy(), rows.column("v").to_numpy()
+        weight = np.column_stack([np.ones(len(m), np.int64), *[
+            rows.column(f"m{i}").to_numpy(zero_copy_only=False).astype(np.int64) for i in range(1, masks)]])
+        start = np.flatnonzero(_tie_runs(m, v))
+        run = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(m))))
+        equal = np.add.reduceat(weight, start, axis=0)
+        smaller = np.cumsum(equal, axis=0) - equal
+        fresh = np.flatnonzero(np.concatenate([[m[start[0]] != metric], m[start[1:]] != m[start[:-1]]]))
+        base = np.zeros_like(smaller)
+        if len(fresh):
+            base[fresh[0]:] = np.repeat(-smaller[fresh], np.diff(np.append(fresh, len(start))), axis=0)
+        base[:fresh[0] if len(fresh) else len(start)] = before
+        smaller = smaller + base
+        metric, before = m[-1], smaller[-1] + equal[-1]
+        columns = [rows.column(c) for c in (ROW, "metric", "v")] + [pa.array(np.full(len(m), part, np.int32))]
+        for i in range(masks):
+            columns += [pa.array(smaller[run, i]), pa.array(equal[run, i])]
+        names = [ROW, "metric", "v", "part", *[f"{k}{i}" for i in range(masks) for k in ("less", "same")]]
+        return pa.table(columns, names=names).combine_chunks().to_batches()
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        rows = pa.Table.from_batches(held)
+        # The last run may go on in the next batch: its rows wait.
+        starts = np.flatnonzero(_tie_runs(rows.column("metric").to_numpy(), rows.column("v").to_numpy()))
+        if starts[-1]:
+            yield from counted(rows.slice(0, starts[-1]))
+        held = rows.slice(starts[-1]).combine_chunks().to_batches()
+    if held:
+        yield from counted(pa.Table.from_batches(held))
+
+
+def _numbered(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """The table written once with a number for each row, which stays the same from then on, and
+    which of its columns have nulls, counted on the way."""
+    seen = Observation()
+    rows = spread(df).observe(seen, F.count(F.lit(1)).alias("rows"), *[
+        F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(df.columns)])
+    out = settle(rows.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+    return out, [c for i, c in enumerate(df.columns) if seen.get[f"n{i}"] < seen.get["rows"]]
+
+
+def row_ranks(numbered: DataFrame, columns: Sequence[str], partial: Sequence[str] = ()) -> DataFrame:
+    """``(_row, metric, r0, r1, ...)``: for every row and column (``metric`` counts the columns) that is
+    not null the average rank among all rows, and among the rows where each ``partial`` column is present."""
+    masks = 1 + len(partial)
+    present = [F.col(f"`{p}`").isNotNull().alias(f"m{i}") for i, p in enumerate(partial, 1)]
+    rows = numbered.select(ROW, *present, F.inline(F.array(*[
+        F.struct(F.lit(i).alias("metric"), (F.col(f"`{c}`").cast("double") + 0.0).alias("v")) for i, c in enumerate(columns)])))
+    ordered = rows.where(F.col("v").isNotNull()).repartitionByRange("metric", "v", ROW).sortWithinPartitions("metric", "v")
+    schema = f"{ROW} long, metric int, v double, part int" + "".join(f", less{i} long, same{i} long" for i in range(masks))
+    local = settle(ordered.mapInArrow(lambda b: _count_in_order(b, masks), schema), "ordered")
+
+    first = F.struct(*[f"same{i}" for i in range(masks)])
+    last = F.struct(*[f"{k}{i}" for i in range(masks) for k in ("less", "same")])
+    cells = settle(local.groupBy("metric", "part").agg(
+        F.min("v").alias("low"), F.max("v").alias("high"), F.min_by(first, "v").alias("first"), F.max_by(last, "v").alias("last")), "cells")
+    # A row per partition and metric, and per value at an edge of a partition, reaches these windows.
+    earlier = Window.partitionBy("metric").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = Window.partitionBy("metric", "v").orderBy("part")
+    size = lambda i: F.col(f"last.less{i}") + F.col(f"last.same{i}")
+    edges = cells.select("metric", "part", F.inline(F.array_distinct(F.array(
+        F.struct(F.col("low").alias("v"), *[F.col(f"first.same{i}").alias(f"n{i}") for i in range(masks)]),
+        F.struct(F.col("high").alias("v"), *[F.col(f"last.same{i}").alias(f"n{i}") for i in range(masks)])))))
+
+    def beyond(i: int, frame) -> Column:
+        return F.coalesce(F.sum(f"n{i}").over(frame), F.lit(0))
+
+    ties = edges.select("metric", "part", "v", *[
+        beyond(i, frame).alias(f"{k}{i}") for i in range(masks)
+        for k, frame in (("ahead", runs.rowsBetween(Window.unboundedPreceding, -1)), ("behind", runs.rowsBetween(1, Window.unboundedFollowing)))])
+    offsets = cells.select("metric", "part", *[F.coalesce(F.sum(size(i)).over(earlier), F.lit(0)).alias(f"offset{i}") for i in range(masks)])
+    placed = local.join(offsets, ["metric", "part"]).join(ties, ["metric", "part", "v"], "left")
+
+    def rank(i: int) -> Column:
+        ahead, behind = (F.coalesce(F.col(f"{k}{i}"), F.lit(0)) for k in ("ahead", "behind"))
+        smaller = F.col(f"offset{i}") + F.col(f"less{i}") - ahead
+        return (smaller + (F.col(f"same{i}") + ahead + behind + 1) / 2.0).alias(f"r{i}")
+
+    return placed.select(ROW, "metric", *[rank(i) for i in range(masks)])
+
+
+def rank_average(df: DataFrame, column: str, out: str = "rank") -> DataFrame:
+    """Adds the 1-based average rank of ``column``; a null has no rank, NaN is the largest value."""
+    numbered, _ = _numbered(df)
+    ranks = row_ranks(numbered, [column]).select(ROW, F.col("r0").alias(out))
+    return numbered.join(ranks, ROW, "left").drop(ROW)
+
+
+def spearman_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(col_a, col_b, rho, n)`` for every ordered pair, over pairwise complete rows.
 
-    A rank within a pair depends on the partner only through its nulls, so columns
-    without nulls share one set of ranks. Each rank table is written once; the join
-    back broadcasts it only when its real size is small.
+    A rank within a pair depends on the partner only through its nulls, so columns without
+    nulls share one set of ranks.
     """
     columns = list(columns)
-    method = choose_method(df, method)
-    base = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    seen = base.agg(F.count("*"), *[F.count(F.col(c)) for c in columns]).first()
-    present = dict(zip(columns, seen[1:]))
-    partial = [c for c in columns if present[c] < seen[0]]
-
-    path = scratch(df.sparkSession, "ranks")
-    value_ranks(base, columns, partial, method).write.partitionBy("metric").parquet(path)
-    names = [f"r_{p}" for p in ["all", *partial]]
-    reader = df.sparkSession.read.schema(", ".join(f"`{n}` double" for n in ["v", *names]))
-    rows = base
-    for i, c in enumerate(columns):
-        if present[c]:
-            table = reader.parquet(f"{path}/metric={c}")
-            rows = rows.join(table.select(F.col("v").alias(c), F.struct(*names).alias(f"_r{i}")), c, "left")
-        else:
-            rows = rows.withColumn(f"_r{i}", F.lit(None).cast(f"struct<{','.join(f'`{n}`:double' for n in names)}>"))
-
-    def rank(i: int, partner: str):
-        return F.col(f"_r{i}").getField(f"r_{partner}" if partner in partial else "r_all")
+    numbered, partial = _numbered(df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns]))
+    masks = 1 + len(partial)
+    ranks = row_ranks(numbered, columns, partial)
+    rows = ranks.groupBy(ROW).agg(*[
+        F.max(F.when(F.col("metric") == m, F.col(f"r{i}"))).alias(f"r{m}_{i}") for m in range(len(columns)) for i in range(masks)])
+
+    def rank(m: int, partner: str) -> Column:
+        return F.col(f"r{m}_{partial.index(partner) + 1 if partner in partial else 0}")
 
     aggs, pairs = [], []
     for i, a in enumerate(columns):
         for j in range(i, len(columns)):
-            x, y = rank(i, columns[j]), rank(j, a)
-            both = x.isNotNull() & y.isNotNull()
+            # Among the rows where the partner is missing a rank means nothing.
+            both = F.col(f"r{i}_0").isNotNull() & F.col(f"r{j}_0").isNotNull()
+            x, y = F.when(both, rank(i, columns[j])), F.when(both, rank(j, a))
             # corr() raises on a constant column in ANSI mode; here that pair is null. Ranks
             # that are not all equal have a variance of at least 1/4, so 1/8 separates rounding.
-            vx, vy = F.var_pop(F.when(both, x)), F.var_pop(F.when(both, y))
+            vx, vy = F.var_pop(x), F.var_pop(y)
             rho = F.when((vx > 0.125) & (vy > 0.125), F.covar_pop(x, y) / F.sqrt(vx * vy))
             aggs += [rho.alias(f"c{i}_{j}"), F.count_if(both).alias(f"n{i}_{j}")]
             pairs += [(i, j)] if i == j else [(i, j), (j, i)]

@@ -50,7 +50,7 @@ def eda_tables(df: DataFrame, ts: str = D.TIMESTAMP, value: str = D.TARGET, othe
                method: str = "auto") -> dict[str, DataFrame]:
     """Named result tables; write them with ``write_results``."""
     method = choose_method(df, method)
-    matrix = stage(spearman_matrix(df, numeric_columns(df), method), method, "spearman")
+    matrix = stage(spearman_matrix(df, numeric_columns(df)), method, "spearman")
     return {
         "data_quality": profile_columns(df),
         "daily": daily_sum(df, ts, value),

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: The folder of the job that owns the intermediate tables written now, if one does.
@@ -80,10 +81,34 @@ def settle(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    with _shuffles_go(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def _shuffles_go(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a write go when it ends: what they led to is in the shared folder by then.
+    Otherwise they stay on the executors' disks until the driver happens to collect its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def gather(df: DataFrame, most: int = 10_000) -> tuple[DataFrame, pa.Table | None]:
+    """A table of at most ``most`` rows becomes part of the plan: no job reads it again, and a join
+    broadcasts it by its known size. Its rows are returned too. A larger one, which should be a
+    written table, stays what it is, without rows."""
+    rows = df.limit(most + 1).toArrow()
+    if rows.num_rows > most:
+        return df, None
+    return df.sparkSession.createDataFrame(rows, df.schema), rows
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use every core for a table that many passes will read but that its files cut
     into too few splits. A table with enough splits is left alone. Call it on a plain
