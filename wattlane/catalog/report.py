@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from wattlane.catalog.cleaning import calendar_sql
 from wattlane.catalog.registry import EVENTS_K, events_with_k, query, rounded, table
 from wattlane.functions import day_name, hour_of_day, in_range_or_null, ratio, slot_floor, z_score
-from wattlane.operators.checks import anova_f, check_report, jarque_bera, ks_normality
+from wattlane.functions.distributions import HART_ABOVE, HART_BELOW
+from wattlane.operators.checks import anova_by, anova_f, check_report, jarque_bera, ks_normality
 from wattlane.operators.dedupe import duplicate_row_share
 from wattlane.operators.grid import calendar_columns
 from wattlane.operators.profile import column_stats, profile_columns, rule_violations
@@ -291,9 +292,54 @@ def jarque_bera_query(spark, d):
     return rounded(out.withColumn("statistic", F.round("statistic", 3)))
 
 
-@query("ks_normality")
+def poly_sql(x: str, coefficients: list[float]) -> str:
+    out = f"{coefficients[0]!r}::DOUBLE"
+    for c in coefficients[1:]:
+        out = f"({out} * {x} + {c!r}::DOUBLE)"
+    return out
+
+
+def ks_sql(c: str) -> str:
+    """Distance from the ranks of the distinct values; the tail by its series. No z here reaches 7."""
+    return f"""
+SELECT '{c}' AS metric, n, round(d, 6) AS statistic,
+       round(CASE WHEN n * d * d < 0.04 THEN 1 ELSE greatest(least(list_sum(list_transform(range(1, 201), lambda j:
+           (CASE WHEN j % 2 = 1 THEN 2.0::DOUBLE ELSE -2.0::DOUBLE END) * exp(-2.0::DOUBLE * j * j * least(n * d * d, 1e4)))), 1), 0) END, 6) AS p_value
+FROM (SELECT any_value(n) AS n, max(greatest(upto / n - normal, normal - (upto - same) / n)) AS d FROM (
+    SELECT n, CAST(upto AS DOUBLE) AS upto, same, CASE WHEN z > 0 THEN 1 - tail ELSE tail END AS normal FROM (
+        SELECT *, exp(-x * x / 2) * {poly_sql('x', HART_ABOVE)} / {poly_sql('x', HART_BELOW)} AS tail FROM (
+            SELECT n, same, upto, z, abs(z) AS x FROM (
+                SELECT n, same, sum(same) OVER (ORDER BY v) AS upto, (v - m) / sd AS z FROM (
+                    SELECT {c} AS v, count(*) AS same FROM t WHERE {c} IS NOT NULL GROUP BY {c}),
+                    (SELECT count({c}) AS n, avg({c}) AS m, stddev_samp({c}) AS sd FROM t))))))"""
+
+
+KS_TABLE = "t AS (SELECT l_quantity, CASE WHEN l_discount > 0.03 THEN l_extendedprice END AS l_extendedprice FROM lineitem)"
+
+
+@query("ks_normality", f"WITH {KS_TABLE}" + " UNION ALL ".join(ks_sql(c) for c in ("l_quantity", "l_extendedprice")))
 def ks(spark, d):
-    return rounded(ks_normality(table(spark, d, "lineitem"), ["l_quantity", "l_extendedprice"]))
+    lines = table(spark, d, "lineitem").select(
+        "l_quantity", F.when(F.col("l_discount") > 0.03, F.col("l_extendedprice")).alias("l_extendedprice"))
+    return rounded(ks_normality(lines, ["l_quantity", "l_extendedprice"]))
+
+
+@query("anova_by", """
+WITH g AS (SELECT o_orderpriority, count(*) AS n, avg(o_totalprice) AS m, var_pop(o_totalprice) AS s FROM orders
+           WHERE o_orderpriority IS NOT NULL AND o_totalprice IS NOT NULL GROUP BY 1),
+t AS (SELECT count(*) AS k, CAST(sum(n) AS BIGINT) AS n, sum(n * m) / sum(n) AS gm, sum(n * s) AS w FROM g),
+b AS (SELECT k, t.n, sum(g.n * pow(g.m - gm, 2)) AS ssb, w AS ssw FROM g, t GROUP BY k, t.n, w),
+f AS (SELECT *, (ssb / (k - 1)) / (ssw / (n - k)) AS f, (n - k) / 2.0 AS a FROM b),
+x AS (SELECT *, 1 / (1 + (k - 1) * f / (n - k)) AS x FROM f)
+SELECT k AS n_groups, n, round(ssb / 1e6, 2) AS ss_between, round(ssw / 1e6, 2) AS ss_within, round(f, 4) AS f_value,
+       round(pow(x, a) * (1 + a * (1 - x)), 6) AS p_value FROM x
+""")
+def anova_by_query(spark, d):
+    """Total price between the five order priorities. With five groups the tail of F is a finite sum, which the
+    SQL takes; the operator has the one form for any number."""
+    out = anova_by(table(spark, d, "orders"), "o_totalprice", "o_orderpriority")
+    return out.select("n_groups", "n", *[F.round(F.col(c) / 1e6, 2).alias(c) for c in ("ss_between", "ss_within")],
+                      F.round("f_value", 4).alias("f_value"), F.round("p_value", 6).alias("p_value"))
 
 
 @query("anova_f", f"""

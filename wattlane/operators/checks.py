@@ -8,11 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattlane.functions import is_infinite, z_score
+from wattlane.functions import clean_nan, is_infinite, z_score
+from wattlane.functions.distributions import f_tail, kolmogorov_tail, normal_cdf
 from wattlane.operators.dedupe import duplicate_row_share
 from wattlane.operators.profile import column_stats, numeric_columns
 from wattlane.operators.quantiles import exact_quantiles
-from wattlane.session import choose_method, stage
+from wattlane.operators.ranks import numbered_rows, row_counts
+from wattlane.session import choose_method, gather, settle, stage
 
 
 def _line(check: str, column: Column | str, value: Column, threshold: Column | float, passed: Column) -> Column:
@@ -131,41 +133,54 @@ def jarque_bera(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def ks_normality(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Kolmogorov-Smirnov distance to a normal with the column's own mean and deviation.
-    One test per column; each test is a distributed Spark ML job."""
-    from pyspark.ml.stat import KolmogorovSmirnovTest
-
-    stats = {r["metric"]: r for r in column_stats(df, columns).collect()}
-    out = None
-    for c in columns:
-        if not stats[c]["sd"]:
-            continue
-        values = df.select(F.col(f"`{c}`").cast("double").alias("x")).where(F.col("x").isNotNull())
-        row = KolmogorovSmirnovTest.test(values, "x", "norm", stats[c]["mean"], stats[c]["sd"]).select(
-            F.lit(c).alias("metric"), F.col("statistic"), F.col("pValue").alias("p_value"))
-        out = row if out is None else out.unionByName(row)
-    return out
+    """Kolmogorov-Smirnov distance to a normal with the column's own mean and deviation:
+    ``(metric, n, statistic, p_value)``, p by the limiting distribution.
+
+    The empirical distribution at each value comes from the counts of smaller and of equal values
+    that the ranks are made of, so the distance is exact and no column is sorted as a whole.
+    Nulls and NaN are passed over; a constant column has no line.
+    """
+    columns = list(columns)
+    values = df.select(*[clean_nan(F.col(f"`{c}`").cast("double")).alias(c) for c in columns])
+    numbered, _ = numbered_rows(values)
+    stats = column_stats(numbered, columns).select("metric", "n", "mean", "sd")
+    number = F.element_at(F.create_map(*[F.lit(x) for i, c in enumerate(columns) for x in (c, i)]), F.col("metric"))
+    stats = gather(stats.select(number.alias("i"), "metric", "n", "mean", "sd"))[0]
+    rows = row_counts(numbered, columns).withColumnRenamed("metric", "i").join(stats.where("sd > 0"), "i")
+    normal = normal_cdf((F.col("v") - F.col("mean")) / F.col("sd"))
+    gap = F.greatest((F.col("below0") + F.col("equal0")) / F.col("n") - normal, normal - F.col("below0") / F.col("n"))
+    return rows.groupBy("metric", "n").agg(F.max(gap).alias("statistic")).withColumn(
+        "p_value", kolmogorov_tail(F.col("statistic"), F.col("n")))
+
+
+def _anova_line(groups: DataFrame) -> DataFrame:
+    """``n_groups, n, ss_between, ss_within, f_value, p_value`` from ``(n, m, s)``: size, mean and population variance."""
+    groups = settle(groups.where("n > 0"), "groups")  # read twice: the grand mean comes first
+    grand = groups.agg(F.try_divide(F.sum(F.col("n") * F.col("m")), F.sum("n"))).scalar()
+    rows = groups.agg(
+        F.count(F.lit(1)).alias("n_groups"), F.sum("n").alias("n"), F.sum(F.col("n") * F.pow(F.col("m") - grand, F.lit(2.0))).alias("ss_between"),
+        F.sum(F.col("n") * F.col("s")).alias("ss_within"))
+    between, within = F.col("n_groups") - 1, F.col("n") - F.col("n_groups")
+    rows = rows.withColumn("f_value", F.try_divide(F.try_divide("ss_between", between), F.try_divide("ss_within", within)))
+    return rows.withColumn("p_value", f_tail(F.col("f_value"), between.cast("double"), within.cast("double")))
 
 
 def anova_f(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One-way ANOVA with each column as a group: sums of squares in one aggregate.
-    With three groups the tail of F has a closed form; otherwise p_value is null."""
-    k = len(columns)
+    """One-way ANOVA with each column as a group: sums of squares in one aggregate, the tail of F from the
+    incomplete beta function. ``(n_groups, n, ss_between, ss_within, f_value, p_value)``."""
     aggs = []
     for i, c in enumerate(columns):
         v = F.col(f"`{c}`").cast("double")
         aggs.append(F.struct(F.count(v).alias("n"), F.avg(v).alias("m"), F.var_pop(v).alias("s")).alias(f"_g{i}"))
-    groups = df.agg(*aggs).select(F.inline(F.array(*[f"_g{i}" for i in range(k)])))
-    total = groups.agg(F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("grand"),
-                       F.sum(F.col("n") * F.col("s")).alias("within"),
-                       F.collect_list(F.struct("n", "m")).alias("_g"))
-    between = F.aggregate("_g", F.lit(0.0), lambda acc, g: acc + g["n"] * (g["m"] - F.col("grand")) ** 2)
-    rows = total.select(F.lit(k).cast("long").alias("n_groups"), "n", between.alias("ss_between"),
-                        F.col("within").alias("ss_within"))
-    f_value = F.try_divide(F.col("ss_between") / (k - 1), F.col("ss_within") / (F.col("n") - k))
-    rows = rows.withColumn("f_value", f_value)
-    tail = F.pow(1 + 2 * F.col("f_value") / (F.col("n") - k), -(F.col("n") - k) / 2.0) if k == 3 else F.lit(None)
-    return rows.withColumn("p_value", tail.cast("double"))
+    return _anova_line(df.agg(*aggs).select(F.inline(F.array(*[f"_g{i}" for i in range(len(columns))]))))
+
+
+def anova_by(df: DataFrame, value: str, by: str) -> DataFrame:
+    """One-way ANOVA of ``value`` between the groups of ``by``, however many; rows with a null on either
+    side are passed over."""
+    v = F.col(value).cast("double")
+    known = df.where(F.col(by).isNotNull() & v.isNotNull())
+    return _anova_line(known.groupBy(by).agg(F.count(v).alias("n"), F.avg(v).alias("m"), F.var_pop(v).alias("s")))
 
 
 def quality_gate(metrics: DataFrame, min_r2: float = 0.5, max_rmse: float = 1000.0) -> DataFrame:

@@ -1,28 +1,37 @@
 """Exact k-nearest-neighbour regression as a distributed join.
 
-Rows are assigned to the nearest of a few pivots. The triangle inequality then
-says which train cells can hold a neighbour of a query cell; only those meet.
-Cells are cut into blocks of bounded size, each block pair keeps its k best per
-query, and a limited window merges them. No pair is emitted that is not among a
-block's best, and no cell is ever handled by a single task.
+Pivots, as many as the square root of the rows, cut the train rows into cells; rows are led to
+a pivot over a coarse level of the square root of those. Any pivot will do for a row, because
+only the true distance to it is used. Two passes answer the queries:
+
+1. a query meets the nearest cells that together hold k rows, and its k-th best distance there
+   is a radius that holds its neighbours;
+2. the triangle inequality leaves the cells that reach into that radius, and only those, less
+   the ones met already, are searched for what lies inside it.
+
+Cells and the queries sent to them are cut into blocks of bounded size. Each block pair keeps
+its k best per query, and a limited window folds them before and after the exchange. No pair
+is emitted that is not among a block's best, and no cell is ever handled by a single task.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wattlane.session import settle
+from wattlane.session import settle, spread
 
 QUERY_BLOCK = 4_096
 TRAIN_BLOCK = 32_768
-MAX_PIVOTS = 256
-PIVOT_ROWS = 1_000
+#: The pivots travel with the tasks: so many at most, which 4 billion rows reach.
+MAX_PIVOTS = 65_536
 SLACK = 1e-9  # relative room for rounding in the triangle inequality
 
 
@@ -35,39 +44,104 @@ def _distances(queries: np.ndarray, rows: np.ndarray, p: float = 2) -> np.ndarra
     return total if p == 1 else np.sqrt(total) if p == 2 else total ** (1 / p)
 
 
-def _with_cell(df: DataFrame, pivots: np.ndarray, p: float) -> DataFrame:
-    """Adds ``cell`` (nearest pivot) and ``r`` (distance to it)."""
+def _matrix(column: pa.Array) -> np.ndarray:
+    return np.stack(column.to_numpy(zero_copy_only=False)) if len(column) else np.zeros((0, 1))
+
+
+class Pivots:
+    """Two levels: coarse pivots, and for each the fine ones that lie nearest to it."""
+
+    def __init__(self, vectors: np.ndarray, p: float):
+        self.vectors, self.p = vectors, p
+        self.coarse = vectors[::max(1, math.isqrt(len(vectors)))]
+        home = np.concatenate([_distances(vectors[i:i + 1024], self.coarse, p).argmin(axis=1) for i in range(0, len(vectors), 1024)])
+        order = np.argsort(home, kind="stable")
+        self.under = np.split(order, np.searchsorted(home[order], np.arange(1, len(self.coarse))))
+
+    def assign(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A near pivot of each row, and the distance to it."""
+        cell, r = np.zeros(len(rows), np.int64), np.zeros(len(rows))
+        for start in range(0, len(rows), 4096):
+            part = slice(start, start + 4096)
+            above = _distances(rows[part], self.coarse, self.p).argmin(axis=1)
+            for c in np.unique(above):
+                here = start + np.flatnonzero(above == c)
+                d = _distances(rows[here], self.vectors[self.under[c]], self.p)
+                best = d.argmin(axis=1)
+                cell[here], r[here] = self.under[c][best], d[np.arange(len(here)), best]
+        return cell, r
+
+
+def _pivots(train: DataFrame, wanted: int, p: float) -> Pivots | None:
+    """One vector per hash bucket: distinct by construction, at most ``wanted`` rows after the partial aggregate."""
+    bucket = F.pmod(F.xxhash64("vec"), F.lit(wanted))
+    picked = train.groupBy(bucket.alias("b")).agg(F.min("vec").alias("vec")).orderBy("b").select("vec").toArrow()
+    return Pivots(_matrix(picked.column("vec").combine_chunks()), p) if picked.num_rows else None
+
+
+def _with_cell(df: DataFrame, pivots: Pivots) -> DataFrame:
+    """Adds ``cell`` and ``r``, the distance to its pivot."""
 
     @F.pandas_udf("cell int, r double")
     def nearest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for vectors in batches:
-            if not len(vectors):
-                yield pd.DataFrame({"cell": [], "r": []})
-                continue
-            d = _distances(np.stack(vectors.to_numpy()), pivots, p)
-            cell = d.argmin(axis=1)
-            yield pd.DataFrame({"cell": cell.astype("int32"), "r": d[np.arange(len(cell)), cell]})
+            cell, r = pivots.assign(np.stack(vectors.to_numpy())) if len(vectors) else (np.zeros(0), np.zeros(0))
+            yield pd.DataFrame({"cell": cell.astype("int32"), "r": r})
 
     return df.withColumn("_p", nearest("vec")).select("*", "_p.cell", "_p.r").drop("_p")
 
 
-def _routes(pivots: np.ndarray, query_cells: list, train_cells: list, k: int,
-            p: float) -> list[tuple]:
-    """(query cell, train cell, smallest useful train radius). Bounded by pivots squared."""
-    between = _distances(pivots, pivots, p)
-    sizes = np.array([c["n"] for c in train_cells])
-    radii = np.array([c["rmax"] for c in train_cells])
-    ids = np.array([c["cell"] for c in train_cells])
-    out = []
-    for q in query_cells:
-        gap = between[q["cell"], ids]
-        furthest = q["rmax"] + gap + radii
-        order = np.argsort(furthest)
-        enough = int(np.searchsorted(np.cumsum(sizes[order]), k))
-        reach = furthest[order[min(enough, len(order) - 1)]] * (1 + SLACK)
-        needed = (gap - q["rmax"] - reach) - SLACK * (gap + q["rmax"] + reach)
-        out += [(int(q["cell"]), int(ids[j]), float(needed[j])) for j in range(len(ids)) if needed[j] <= radii[j]]
-    return out
+class Cells:
+    """Sizes and radii of the cells that have rows."""
+
+    def __init__(self, pivots: Pivots, ids: np.ndarray, sizes: np.ndarray, radii: np.ndarray):
+        self.vectors, self.p = pivots.vectors[ids], pivots.p
+        self.ids, self.sizes, self.radii = ids, sizes, radii
+
+    def home(self, gap: np.ndarray, k: int) -> np.ndarray:
+        """Places of the nearest cells that together hold ``k`` rows, or all."""
+        order = np.argsort(gap, kind="stable")
+        return order[:int(np.searchsorted(np.cumsum(self.sizes[order]), k)) + 1]
+
+    def reached(self, gap: np.ndarray, radius: float) -> np.ndarray:
+        """Which cells can hold a row within ``radius``, of those whose pivots lie ``gap`` away."""
+        return gap - self.radii <= radius + SLACK * (gap + self.radii + radius)
+
+
+def _routed(wanted: DataFrame, cells: Cells, k: int) -> DataFrame:
+    """Each query once per cell to search: without ``reach`` the home cells, with it the others in reach."""
+    second = "reach" in wanted.columns
+
+    def route(batches):
+        for batch in batches:
+            vectors = _matrix(batch.column(1))
+            reach = batch.column(2).to_numpy() if second else None
+            rows, out = [], []
+            for start in range(0, len(vectors), 256):
+                for i, gap in enumerate(_distances(vectors[start:start + 256], cells.vectors, cells.p), start):
+                    chosen = cells.home(gap, k)
+                    if second:
+                        open_ = cells.reached(gap, reach[i])
+                        open_[chosen] = False
+                        chosen = np.flatnonzero(open_)
+                    rows += [i] * len(chosen)
+                    out += cells.ids[chosen].tolist()
+            yield pa.RecordBatch.from_arrays(
+                [*(c.take(pa.array(rows, pa.int64())) for c in batch.columns), pa.array(out, pa.int32())], [*batch.schema.names, "cell"])
+
+    return wanted.mapInArrow(route, "qid long, vec array<double>" + (", reach double" if second else "") + ", cell int")
+
+
+def _best(distances: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the ``top`` smallest of each row, equal ones by column; infinite ones never."""
+    top = min(top, distances.shape[1])
+    last = np.partition(distances, top - 1, axis=1)[:, top - 1]
+    row, column = np.nonzero((distances <= last[:, None]) & np.isfinite(distances))
+    order = np.lexsort((column, distances[row, column], row))
+    row, column = row[order], column[order]
+    first = np.searchsorted(row, row)
+    keep = np.arange(len(row)) - first < top
+    return row[keep], column[keep]
 
 
 def _block_join(k: int, p: float):
@@ -78,71 +152,75 @@ def _block_join(k: int, p: float):
         tid, y = rows["tid"].to_numpy(), rows["y"].to_numpy()
         vectors, qid = np.stack(rows["vec"].to_numpy()), queries["qid"].to_numpy()
         wanted, parts = np.stack(queries["vec"].to_numpy()), []
-        top = min(k, len(tid))
+        reach = queries["reach"].to_numpy() if "reach" in queries else None
         for start in range(0, len(qid), 128):
             d = _distances(wanted[start:start + 128], vectors, p)
-            best = np.argsort(d, axis=1, kind="stable")[:, :top]
-            parts.append(pd.DataFrame({
-                "qid": np.repeat(qid[start:start + 128], top),
-                "dist": np.take_along_axis(d, best, axis=1).ravel(),
-                "tid": tid[best].ravel(), "y": y[best].ravel()}))
+            if reach is not None:
+                d[d > reach[start:start + 128, None]] = np.inf
+            row, best = _best(d, k)
+            parts.append(pd.DataFrame({"qid": qid[start + row], "dist": d[row, best], "tid": tid[best], "y": y[best]}))
         return pd.concat(parts)
 
     return nearest_in_block
 
 
+def _search(rows: DataFrame, routed: DataFrame, sizes: dict[int, int], k: int, p: float, stats: dict, name: str) -> DataFrame:
+    """The k best of every query in each of the cells it was sent to, block pair by block pair."""
+    routed = settle(routed, name)
+    asked = {r["cell"]: r["count"] for r in routed.groupBy("cell").count().collect()}  # a row per cell at most
+    stats[f"{name}_query_copies"] = sum(asked.values())
+    plan = [(c, -(-n // QUERY_BLOCK), -(-sizes[c] // TRAIN_BLOCK)) for c, n in asked.items()]
+    stats[f"{name}_train_copies"] = sum(sizes[c] * q for c, q, _ in plan)
+    blocks = rows.sparkSession.createDataFrame(pa.table(
+        [pa.array(x, pa.int32()) for x in (zip(*plan) if plan else ([], [], []))], names=["cell", "q_blocks", "t_blocks"]))
+    left = routed.join(blocks, "cell").select(
+        "cell", F.pmod(F.xxhash64("qid"), "q_blocks").cast("int").alias("qb"),
+        F.explode(F.sequence(F.lit(0), F.col("t_blocks") - 1)).alias("tb"), *routed.drop("cell").columns)
+    right = rows.join(blocks, "cell").select(
+        "cell", F.pmod(F.xxhash64("tid"), "t_blocks").cast("int").alias("tb"),
+        F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)).alias("qb"), "tid", "vec", "y")
+    keys = ["cell", "qb", "tb"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
+        _block_join(k, p), "qid long, dist double, tid long, y double")
+
+
+def _top(found: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("qid").orderBy("dist", "tid")
+    return found.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= k).drop("_k")
+
+
 def nearest_neighbours(train: DataFrame, queries: DataFrame, vector: str, label: str, train_id: str, query_id: str,
-                       k: int = 50, p: float = 2, n_pivots: int | None = None) -> DataFrame:
+                       k: int = 50, p: float = 2, n_pivots: int | None = None, stats: dict | None = None) -> DataFrame:
     """``(qid, dist, tid, y)``: the k nearest train rows of every query, ties by train id.
-    Both ids must be unique integers. Vectors are arrays of double; ``p`` >= 1 is the Minkowski order."""
-    if n_pivots is None:
-        n_pivots = min(MAX_PIVOTS, 1 + train.count() // PIVOT_ROWS)
+
+    Both ids must be unique integers. Vectors are arrays of double; ``p`` >= 1 is the Minkowski
+    order. ``stats`` is told the rows, queries, cells, and how many copies of either travelled
+    in the first pass (``home``) and the second (``reach``).
+    """
+    stats = {} if stats is None else stats
     rows = train.select(F.col(train_id).cast("long").alias("tid"), F.col(vector).cast("array<double>").alias("vec"),
                         F.col(label).cast("double").alias("y"))
-    # Of identical vectors only the k lowest ids can ever be chosen.
-    rows = rows.withColumn("_c", F.row_number().over(Window.partitionBy("vec").orderBy("tid"))).where(
-        F.col("_c") <= k).drop("_c")
-    wanted = queries.select(F.col(query_id).cast("long").alias("qid"),
-                            F.col(vector).cast("array<double>").alias("vec"))
-
-    # One vector per hash bucket: distinct by construction, at most n_pivots rows after the partial aggregate.
-    bucket = F.pmod(F.xxhash64("vec"), F.lit(n_pivots))
-    picked = train.select(F.col(vector).cast("array<double>").alias("vec")).groupBy(bucket.alias("b")).agg(
-        F.min("vec").alias("vec")).orderBy("b").collect()
-    if not picked:
+    if n_pivots is None:
+        n_pivots = min(MAX_PIVOTS, max(1, math.isqrt(train.count())))
+    pivots = _pivots(rows.select("vec"), n_pivots, p)
+    if pivots is None:
         return rows.select(F.lit(0).cast("long").alias("qid"), F.lit(0.0).alias("dist"), "tid", "y").where("false")
-    pivots = np.array([r["vec"] for r in picked], dtype="float64")
-    rows, wanted = settle(_with_cell(rows, pivots, p), "knn-train"), settle(_with_cell(wanted, pivots, p), "knn-query")
-
-    def cells(df: DataFrame) -> list:
-        return df.groupBy("cell").agg(F.count("*").alias("n"), F.max("r").alias("rmax")).collect()
-
-    train_cells, query_cells = cells(rows), cells(wanted)
-    sizes = {c["cell"]: c["n"] for c in train_cells}
-    routes = _routes(pivots, query_cells, train_cells, k, p)
-    offered: dict[int, int] = {}
-    for cell, t, _ in routes:
-        offered[cell] = offered.get(cell, 0) + sizes[t]
-    plan = [(c["cell"], -(-c["n"] // QUERY_BLOCK), -(-offered.get(c["cell"], 1) // TRAIN_BLOCK)) for c in query_cells]
-
-    spark = train.sparkSession
-    blocks = spark.createDataFrame(plan, "cell int, q_blocks int, t_blocks int")
-    route = spark.createDataFrame(routes, "cell int, t_cell int, r_min double").join(blocks, "cell")
-
-    def spread(n: Column) -> Column:
-        return F.explode(F.sequence(F.lit(0), n - 1))
-
-    left = wanted.join(blocks, "cell").select(
-        "cell", F.pmod(F.xxhash64("qid"), "q_blocks").cast("int").alias("qb"), spread(F.col("t_blocks")).alias("tb"),
-        "qid", "vec")
-    right = rows.withColumnRenamed("cell", "t_cell").join(route, "t_cell").where(F.col("r") >= F.col("r_min")).select(
-        "cell", F.pmod(F.xxhash64("tid"), "t_blocks").cast("int").alias("tb"), spread(F.col("q_blocks")).alias("qb"),
-        "tid", "vec", "y")
-    keys = ["cell", "qb", "tb"]
-    best = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
-        _block_join(k, p), "qid long, dist double, tid long, y double")
-    order = Window.partitionBy("qid").orderBy("dist", "tid")
-    return best.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= k).drop("_k")
+    # Of identical vectors only the k lowest ids can ever be chosen.
+    rows = rows.withColumn("_c", F.row_number().over(Window.partitionBy("vec").orderBy("tid"))).where(F.col("_c") <= k).drop("_c")
+    rows = settle(_with_cell(rows, pivots), "knn-train")
+    wanted = settle(spread(queries.select(F.col(query_id).cast("long").alias("qid"), F.col(vector).cast("array<double>").alias("vec"))), "knn-query")
+
+    found = rows.groupBy("cell").agg(F.count("*").alias("n"), F.max("r").alias("r")).orderBy("cell").toArrow()
+    ids, n, r = (found.column(c).to_numpy() for c in ("cell", "n", "r"))
+    cells, sizes = Cells(pivots, ids, n, r), dict(zip(ids.tolist(), n.tolist()))
+    stats.update(rows=int(n.sum()), cells=len(ids))
+
+    near = settle(_top(_search(rows, _routed(wanted, cells, k), sizes, k, p, stats, "home"), k), "near")
+    # With fewer than k rows in all a query has met them all: nothing lies beyond.
+    reach = near.groupBy("qid").agg(F.max("dist").alias("reach"))
+    bounded = wanted.join(reach, "qid").select("qid", "vec", "reach")
+    more = _search(rows, _routed(bounded, cells, k), sizes, k, p, stats, "reach")
+    return _top(near.unionByName(more), k)
 
 
 def knn_predict(train: DataFrame, queries: DataFrame, vector: str, label: str, train_id: str, query_id: str,

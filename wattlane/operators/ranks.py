@@ -74,7 +74,7 @@ def _count_in_order(batches, masks: int):
         yield from counted(pa.Table.from_batches(held))
 
 
-def _numbered(df: DataFrame) -> tuple[DataFrame, list[str]]:
+def numbered_rows(df: DataFrame) -> tuple[DataFrame, list[str]]:
     """The table written once with a number for each row, which stays the same from then on, and
     which of its columns have nulls, counted on the way."""
     seen = Observation()
@@ -84,9 +84,10 @@ def _numbered(df: DataFrame) -> tuple[DataFrame, list[str]]:
     return out, [c for i, c in enumerate(df.columns) if seen.get[f"n{i}"] < seen.get["rows"]]
 
 
-def row_ranks(numbered: DataFrame, columns: Sequence[str], partial: Sequence[str] = ()) -> DataFrame:
-    """``(_row, metric, r0, r1, ...)``: for every row and column (``metric`` counts the columns) that is
-    not null the average rank among all rows, and among the rows where each ``partial`` column is present."""
+def row_counts(numbered: DataFrame, columns: Sequence[str], partial: Sequence[str] = ()) -> DataFrame:
+    """``(_row, metric, v, below0, equal0, below1, ...)``: for every row and column (``metric`` counts the
+    columns) that is not null how many rows have smaller and how many equal values, itself included,
+    among all rows, and among the rows where each ``partial`` column is present."""
     masks = 1 + len(partial)
     present = [F.col(f"`{p}`").isNotNull().alias(f"m{i}") for i, p in enumerate(partial, 1)]
     rows = numbered.select(ROW, *present, F.inline(F.array(*[
@@ -116,17 +117,22 @@ def row_ranks(numbered: DataFrame, columns: Sequence[str], partial: Sequence[str
     offsets = cells.select("metric", "part", *[F.coalesce(F.sum(size(i)).over(earlier), F.lit(0)).alias(f"offset{i}") for i in range(masks)])
     placed = local.join(offsets, ["metric", "part"]).join(ties, ["metric", "part", "v"], "left")
 
-    def rank(i: int) -> Column:
+    def counts(i: int) -> list[Column]:
         ahead, behind = (F.coalesce(F.col(f"{k}{i}"), F.lit(0)) for k in ("ahead", "behind"))
-        smaller = F.col(f"offset{i}") + F.col(f"less{i}") - ahead
-        return (smaller + (F.col(f"same{i}") + ahead + behind + 1) / 2.0).alias(f"r{i}")
+        return [(F.col(f"offset{i}") + F.col(f"less{i}") - ahead).alias(f"below{i}"), (F.col(f"same{i}") + ahead + behind).alias(f"equal{i}")]
+
+    return placed.select(ROW, "metric", "v", *[c for i in range(masks) for c in counts(i)])
 
-    return placed.select(ROW, "metric", *[rank(i) for i in range(masks)])
+
+def row_ranks(numbered: DataFrame, columns: Sequence[str], partial: Sequence[str] = ()) -> DataFrame:
+    """``(_row, metric, r0, r1, ...)``: the average ranks that follow from ``row_counts``."""
+    return row_counts(numbered, columns, partial).select(ROW, "metric", *[
+        (F.col(f"below{i}") + (F.col(f"equal{i}") + 1) / 2.0).alias(f"r{i}") for i in range(1 + len(partial))])
 
 
 def rank_average(df: DataFrame, column: str, out: str = "rank") -> DataFrame:
     """Adds the 1-based average rank of ``column``; a null has no rank, NaN is the largest value."""
-    numbered, _ = _numbered(df)
+    numbered, _ = numbered_rows(df)
     ranks = row_ranks(numbered, [column]).select(ROW, F.col("r0").alias(out))
     return numbered.join(ranks, ROW, "left").drop(ROW)
 
@@ -138,7 +144,7 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     nulls share one set of ranks.
     """
     columns = list(columns)
-    numbered, partial = _numbered(df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns]))
+    numbered, partial = numbered_rows(df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns]))
     masks = 1 + len(partial)
     ranks = row_ranks(numbered, columns, partial)
     rows = ranks.groupBy(ROW).agg(*[
