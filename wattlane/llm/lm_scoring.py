@@ -9,8 +9,10 @@ The automaton of a corpus grows with the corpus, so no task holds it whole. Docu
 cut into blocks of bounded bytes, each written once as a list of its distinct words and the
 sequence of their numbers. A block sends its distinct n-grams, with its training counts,
 to shards of bounded size; a shard adds up the counts of all blocks and answers each block
-in the order it asked, so answers are bare counts. From them a block compiles the slice of
-the automaton that its texts can reach, and walks all its texts through it at once.
+in the order it asked, so answers are bare counts. Of the n-grams of three words and more only
+those are asked for whose two parts are known to other blocks: the others occur nowhere
+else. From the answers a block compiles the slice of the automaton that its texts can
+reach, and walks all its texts through it at once.
 
 Words are matched by their bytes; longer n-grams by 64-bit names chained along their words.
 """
@@ -137,28 +139,64 @@ class Block:
         return cls(_unzipped(row["words"]).split(b"\n"), unpack(row["sequence"]).astype(np.int64),
                    np.array(row["lengths"], np.int64), np.array(row["held"], bool), order)
 
-    def by_shard(self, n: int, shards: int) -> list[tuple[int, np.ndarray]]:
-        """The n-grams of order n as (shard, their numbers), each shard's in a fixed order."""
-        shard = ((self.distinct[n - 1] >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+    def by_shard(self, n: int, shards: int, which: np.ndarray | None = None) -> list[tuple[int, np.ndarray]]:
+        """The n-grams of order n, or ``which`` of them, as (shard, their numbers), each shard's in a fixed order."""
+        which = np.arange(len(self.distinct[n - 1])) if which is None else which
+        shard = ((self.distinct[n - 1][which] >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
         order = np.argsort(shard, kind="stable")
         cuts = np.flatnonzero(np.diff(shard[order])) + 1
-        return [(int(shard[part[0]]), part) for part in np.split(order, cuts) if len(part)]
-
-
-def _asked(batches, order, shards):
+        return [(int(shard[part[0]]), which[part]) for part in np.split(order, cuts) if len(part)]
+
+    def open(self, n: int, totals: list[np.ndarray]) -> np.ndarray:
+        """The n-grams of order n that other blocks may hold, given the corpus counts of the shorter ones."""
+        if n < 3:
+            return np.arange(len(self.distinct[n - 1]))
+        elsewhere = totals[n - 2] > self.counts[n - 2]
+        first, shorter = self.first[n - 1], self.at[n - 2]
+        return np.flatnonzero(elsewhere[shorter[first - 1]] & elsewhere[shorter[first]])
+
+    def totals(self, orders: int, shards: int, answers: list[dict]) -> list[np.ndarray]:
+        """Corpus counts of the n-grams of one to ``orders`` words."""
+        told = {(a["n"], a["shard"]): a["counts"] for a in answers}
+        out: list[np.ndarray] = []
+        for n in range(1, orders + 1):
+            total = self.counts[n - 1].copy()
+            for shard, part in self.by_shard(n, shards, self.open(n, out)):
+                total[part] = unpack(told[n, shard]).astype(np.int64)
+            out.append(total)
+        return out
+
+
+ASKED = "n int, shard long, block long, grams binary, counts binary"
+
+
+def _questions(block: Block, number: int, n: int, shards: int, totals: list[np.ndarray]) -> pa.RecordBatch:
+    parts = block.by_shard(n, shards, block.open(n, totals))
+    names = block.distinct[n - 1]
+    grams = [_zipped(b"\n".join([block.words[i] for i in part])) if n == 1 else
+             pack(np.diff(names[part], prepend=np.uint64(0))) for _, part in parts]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([n] * len(parts), pa.int32()), pa.array([s for s, _ in parts], pa.int64()),
+         pa.array([number] * len(parts), pa.int64()), pa.array(grams, pa.binary()),
+         pa.array([pack(block.counts[n - 1][part]) for _, part in parts], pa.binary())],
+        ["n", "shard", "block", "grams", "counts"])
+
+
+def _asked(batches, orders, shards):
     for batch in batches:
         for row in batch.to_pylist():
-            block = Block.read(row, order)
-            for n in range(1, order + 1):
-                parts = block.by_shard(n, shards)
-                names = block.distinct[n - 1]
-                grams = [_zipped(b"\n".join([block.words[i] for i in part])) if n == 1 else
-                         pack(np.diff(names[part], prepend=np.uint64(0))) for _, part in parts]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([n] * len(parts), pa.int32()), pa.array([s for s, _ in parts], pa.int64()),
-                     pa.array([row["block"]] * len(parts), pa.int64()), pa.array(grams, pa.binary()),
-                     pa.array([pack(block.counts[n - 1][part]) for _, part in parts], pa.binary())],
-                    ["n", "shard", "block", "grams", "counts"])
+            block = Block.read(row, orders)
+            for n in range(1, orders + 1):
+                yield _questions(block, row["block"], n, shards, [])
+
+
+def _asked_longer(n: int, shards: int):
+    def ask(block_rows: pa.Table, answers: pa.Table) -> pa.Table:
+        row = block_rows.to_pylist()[0]
+        block = Block.read(row, n)
+        return pa.Table.from_batches([_questions(block, row["block"], n, shards, block.totals(n - 1, shards, answers.to_pylist()))])
+
+    return ask
 
 
 def _answer(table: pa.Table) -> pa.Table:
@@ -273,13 +311,7 @@ class Automaton:
 def _scores(block_rows: pa.Table, answers: pa.Table, order, shards, tokens, known, strength, id_type) -> pa.Table:
     row = block_rows.to_pylist()[0]
     block = Block.read(row, order)
-    told = {(a["n"], a["shard"]): a["counts"] for a in answers.to_pylist()}
-    counts = []
-    for n in range(1, order + 1):
-        total = np.zeros(len(block.distinct[n - 1]), np.int64)
-        for shard, part in block.by_shard(n, shards):
-            total[part] = unpack(told[n, shard]).astype(np.int64)
-        counts.append(total)
+    counts = block.totals(order, shards, answers.to_pylist())
     automaton = Automaton(block, counts, tokens, known, strength)
     sums = np.add.reduceat
     n_docs = len(block.lengths)
@@ -315,12 +347,16 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
     # Written once: a block stays the same whatever is recomputed later.
     blocks = settle(rows.mapInArrow(_blocks, block_row), "blocks")
     shards = buckets(blocks.agg(F.sum("tokens")).first()[0] or 0, SHARD_ENTRIES)
-    asked = blocks.mapInArrow(lambda b: _asked(b, order, shards), "n int, shard long, block long, grams binary, counts binary")
-    answers = settle(asked.groupBy("n", "shard").applyInArrow(
-        _answer, "block long, n int, shard long, counts binary, tokens long, known long"), "answers")
+    answered = "block long, n int, shard long, counts binary, tokens long, known long"
+    asked = blocks.mapInArrow(lambda b: _asked(b, min(order, 2), shards), ASKED)
+    answers = settle(asked.groupBy("n", "shard").applyInArrow(_answer, answered), "answers")
     tokens, known = answers.where("block is null").agg(
         F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("known"), F.lit(0))).first()
     told = answers.where("block is not null").select("block", "n", "shard", "counts")
+    for n in range(3, order + 1):
+        asked = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_asked_longer(n, shards), ASKED)
+        more = settle(asked.groupBy("n", "shard").applyInArrow(_answer, answered), "answers")
+        told = told.unionByName(more.select("block", "n", "shard", "counts"))
     arrow_id = to_arrow_type(id_type)
     out = T.StructType([T.StructField("id", id_type), T.StructField("held_out", T.BooleanType()), T.StructField("n_tokens", T.LongType()),
                         T.StructField("n_known", T.LongType()), T.StructField("train_tokens", T.LongType()),
