@@ -12,10 +12,14 @@ from wattlane.catalog.registry import EVENTS_K, events_with_k, query, rounded, t
 from wattlane.functions import day_name
 from wattlane.operators.checks import build_checks
 from wattlane.operators.features import build_features
+from wattlane.operators.names import unique_names
 from wattlane.operators.splits import fit_three_way_split
 from wattlane.plans.eda import eda_tables
 from wattlane.session import job_folder, settle, shared_dir
-from wattlane.sources.tables import read_split, read_table, read_untidy_csv, write_results, write_splits, write_table
+from wattlane.sources.ledger import RunLedger, compare_runs, payload_lines
+from wattlane.sources.tables import (
+    read_report, read_split, read_table, read_untidy_csv, write_report, write_results, write_splits, write_table,
+)
 
 
 def fresh(spark, name: str) -> str:
@@ -37,6 +41,84 @@ def csv_round_trip(spark, d):
     return read_untidy_csv(spark, f"{path}/*", ordinal=False)
 
 
+@query("csv_many_files", """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS n, CAST(c_nationkey AS VARCHAR) AS n_1,
+       CAST(c_acctbal AS VARCHAR) AS "balance\nof account", CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_mktsegment END AS c_mktsegment
+FROM customer
+""")
+def csv_many_files(spark, d):
+    """Customers as many CSV files, a folder per nation: some begin with a byte-order mark, some name two columns alike,
+    all have a header with a line break, and the order of columns differs."""
+    c = table(spark, d, "customer").select(F.pmod("c_nationkey", F.lit(3)).alias("kind"), F.col("c_nationkey").alias("folder"), F.struct(
+        F.col("c_custkey").cast("string").alias("a"), F.col("c_name").alias("b"), F.col("c_nationkey").cast("string").alias("c"),
+        F.col("c_nationkey").cast("string").alias("d"), F.col("c_acctbal").cast("string").alias("e"),
+        F.when(F.col("c_mktsegment") != "MACHINERY", F.col("c_mktsegment")).otherwise("n/a").alias("f")).alias("r"))
+    names = ["c_custkey", "c_name", "n", "n", '"balance\nof account"', "c_mktsegment"]
+    turned = F.struct(*[F.col(f"r.{x}") for x in "fedcba"])
+    line = F.when(F.col("kind") == 2, F.to_csv(turned)).otherwise(F.to_csv("r"))
+    head = F.when(F.col("kind") == 2, ",".join(names[::-1])).when(F.col("kind") == 1, "\ufeff" + ",".join(names)).otherwise(",".join(names))
+    lines = c.select("folder", F.lit(0).alias("at"), head.alias("line")).distinct().unionByName(c.select("folder", F.lit(1).alias("at"), line.alias("line")))
+    path = fresh(spark, "customers")
+    lines.repartition("folder").sortWithinPartitions("folder", "at").select("folder", "line").write.partitionBy("folder").text(path)
+    out = read_untidy_csv(spark, f"{path}/*", null_tokens=["n/a"], ordinal=False)
+    return out.toDF(*unique_names(out.columns))
+
+
+@query("ledger_round_trip", """
+WITH m AS (SELECT o_orderpriority AS name, count(*)::DOUBLE AS n, avg(o_totalprice) AS mean, max(o_totalprice) AS top FROM orders GROUP BY 1),
+v AS (SELECT *, row_number() OVER (ORDER BY name) AS version FROM m)
+SELECT name, 'metric mean' AS item, round(mean + 1, 4) AS value, true AS passed FROM m
+UNION ALL SELECT name, 'metric n', n, true FROM m
+UNION ALL SELECT name, 'metric top', CASE WHEN name >= '3' THEN top END, name >= '3' FROM m
+UNION ALL SELECT name, 'param source', NULL, true FROM m
+UNION ALL SELECT 'best', 'version ' || (2 * version - 1), NULL, true FROM v
+UNION ALL SELECT 'best', 'version ' || (2 * version), NULL, true FROM v
+""")
+def ledger_round_trip(spark, d):
+    """A run per order priority: started, logged, opened again to change a metric and add another, registered twice, and
+    checked. A metric that is missing or no number fails its check."""
+    rows = table(spark, d, "orders").groupBy(F.col("o_orderpriority").alias("name")).agg(
+        F.count("*").cast("double").alias("n"), F.avg("o_totalprice").alias("mean"), F.max("o_totalprice").alias("top")).orderBy("name").collect()
+    path = fresh(spark, "ledger")
+    ledger = RunLedger(spark, path)
+    started = {r["name"]: ledger.start(r["name"]) for r in rows}
+    ledger.log_many([(started[r["name"]], r["name"], {"source": "orders"}, {"n": r["n"], "mean": r["mean"]}) for r in rows])
+    again = RunLedger(spark, path)
+    again.log_many([(started[r["name"]], r["name"], {}, {"mean": r["mean"] + 1, "top": r["top"] if r["name"] >= "3" else "none"}) for r in rows])
+    for r in rows:
+        again.register("best", started[r["name"]], f"{r['name']}/first")
+        again.register("best", started[r["name"]], f"{r['name']}/second")
+    log = settle(again.read(), "ledger")
+    values = compare_runs(log, ["n", "mean", "top"]).select("run_id", F.inline(F.array(*[
+        F.struct(F.lit(f"metric {m}").alias("check"), F.col(m).alias("value")) for m in ("n", "mean", "top")])))
+    checks = payload_lines(log, ["n", "mean", "top"], ["source"])
+    return checks.join(values, ["run_id", "check"], "left").select(
+        "name", F.col("check").alias("item"), F.round("value", 4).alias("value"), "passed")
+
+
+@query("report_round_trip", """
+SELECT o_orderpriority AS model, count(*) AS n, round(avg(o_totalprice), 4) AS mean, round(min(o_totalprice), 2) AS low,
+       round(max(o_totalprice), 2) AS high, CASE WHEN o_orderpriority >= '3' THEN max(o_orderkey) END AS last_key,
+       (SELECT round(avg(o_totalprice), 4) FROM orders) AS overall, (SELECT count(*) FROM orders) AS total
+FROM orders GROUP BY o_orderpriority
+""")
+def report_round_trip(spark, d):
+    """A nested report over the orders, written as one typed JSON row, read back and taken apart by Spark."""
+    orders = table(spark, d, "orders")
+    rows = orders.groupBy("o_orderpriority").agg(
+        F.count("*").alias("n"), F.avg("o_totalprice").alias("mean"), F.min("o_totalprice").alias("low"), F.max("o_totalprice").alias("high"),
+        F.max("o_orderkey").alias("key")).collect()
+    overall = orders.agg(F.avg("o_totalprice"), F.count("*")).first()
+    report = {"overall": {"mean": overall[0], "rows": overall[1]}, "models": [
+        {"model": r["o_orderpriority"], "n": r["n"], "scores": {"mean": r["mean"], "range": [r["low"], r["high"]]},
+         **({"last_key": r["key"]} if r["o_orderpriority"] >= "3" else {})} for r in rows]}
+    read = read_report(spark, write_report(spark, report, fresh(spark, "report")))
+    return read.select("overall", F.inline("models")).select(
+        "model", "n", F.round("scores.mean", 4).alias("mean"), F.round(F.col("scores.range")[0], 2).alias("low"),
+        F.round(F.col("scores.range")[1], 2).alias("high"), "last_key",
+        F.round("overall.mean", 4).alias("overall"), F.col("overall.rows").alias("total"))
+
+
 @query("sorted_write", """
 SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate, true AS in_order FROM orders
 """)

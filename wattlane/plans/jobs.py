@@ -17,7 +17,7 @@ from wattlane.plans.scoring import Scorer
 from wattlane.plans.training import TrainingResult, load_result, train
 from wattlane.session import job_folder
 from wattlane.sources.ledger import RunLedger
-from wattlane.sources.tables import read_table, read_untidy_csv, write_report, write_results, write_table
+from wattlane.sources.tables import read_table, read_untidy_csv, write_document, write_results, write_table
 
 ROW_KEY = "row_key"
 
@@ -49,7 +49,7 @@ def run_features(spark: SparkSession, source: str, out: str, config: FeatureConf
     with job_folder(spark):
         built, model = build_features(df, config)
         path = write_table(built, f"{out}/table")
-    write_report(spark, {"features": model.to_json()}, f"{out}/model")
+    write_document(spark, {"features": model.to_json()}, f"{out}/model")
     return read_table(spark, path), model
 
 

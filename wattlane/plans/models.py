@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlane.operators.neighbours import knn_predict
-from wattlane.sources.tables import write_report
+from wattlane.sources.tables import write_document
 
 FEATURES, LABEL, KEY = "features", "label", "row_key"
 
@@ -244,10 +244,10 @@ def assemble(df: DataFrame, features: list[str], target: str, key: str | None =
 def save_model(model: Model, path: str, spark: SparkSession) -> str:
     if isinstance(model, KnnModel):
         model.train.write.mode("overwrite").parquet(f"{path}/train")
-        write_report(spark, {"kind": "knn", "k": model.k, "weights": model.weights, "p": model.p}, f"{path}/kind")
+        write_document(spark, {"kind": "knn", "k": model.k, "weights": model.weights, "p": model.p}, f"{path}/kind")
     else:
         PipelineModel([model]).write().overwrite().save(f"{path}/pipeline")
-        write_report(spark, {"kind": "spark"}, f"{path}/kind")
+        write_document(spark, {"kind": "spark"}, f"{path}/kind")
     return path
 
 
