@@ -147,31 +147,33 @@ class Block:
         cuts = np.flatnonzero(np.diff(shard[order])) + 1
         return [(int(shard[part[0]]), which[part]) for part in np.split(order, cuts) if len(part)]
 
-    def open(self, n: int, totals: list[np.ndarray]) -> np.ndarray:
-        """The n-grams of order n that other blocks may hold, given the corpus counts of the shorter ones."""
+    def open(self, n: int, shared: list[np.ndarray]) -> np.ndarray:
+        """The n-grams of order n that other blocks may hold, given which shorter ones they do hold."""
         if n < 3:
             return np.arange(len(self.distinct[n - 1]))
-        elsewhere = totals[n - 2] > self.counts[n - 2]
-        first, shorter = self.first[n - 1], self.at[n - 2]
-        return np.flatnonzero(elsewhere[shorter[first - 1]] & elsewhere[shorter[first]])
-
-    def totals(self, orders: int, shards: int, answers: list[dict]) -> list[np.ndarray]:
-        """Corpus counts of the n-grams of one to ``orders`` words."""
-        told = {(a["n"], a["shard"]): a["counts"] for a in answers}
-        out: list[np.ndarray] = []
+        first, parts, elsewhere = self.first[n - 1], self.at[n - 2], shared[n - 2]
+        return np.flatnonzero(elsewhere[parts[first - 1]] & elsewhere[parts[first]])
+
+    def told(self, orders: int, shards: int, answers: list[dict]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Corpus counts of the n-grams of one to ``orders`` words, and whether other blocks hold them."""
+        heard = {(a["n"], a["shard"]): a["counts"] for a in answers}
+        totals: list[np.ndarray] = []
+        shared: list[np.ndarray] = []
         for n in range(1, orders + 1):
-            total = self.counts[n - 1].copy()
-            for shard, part in self.by_shard(n, shards, self.open(n, out)):
-                total[part] = unpack(told[n, shard]).astype(np.int64)
-            out.append(total)
-        return out
+            total, elsewhere = self.counts[n - 1].copy(), np.zeros(len(self.counts[n - 1]), bool)
+            for shard, part in self.by_shard(n, shards, self.open(n, shared)):
+                answer = unpack(heard[n, shard]).astype(np.int64)
+                total[part], elsewhere[part] = answer >> 1, answer & 1 > 0
+            totals.append(total)
+            shared.append(elsewhere)
+        return totals, shared
 
 
 ASKED = "n int, shard long, block long, grams binary, counts binary"
 
 
-def _questions(block: Block, number: int, n: int, shards: int, totals: list[np.ndarray]) -> pa.RecordBatch:
-    parts = block.by_shard(n, shards, block.open(n, totals))
+def _questions(block: Block, number: int, n: int, shards: int, shared: list[np.ndarray]) -> pa.RecordBatch:
+    parts = block.by_shard(n, shards, block.open(n, shared))
     names = block.distinct[n - 1]
     grams = [_zipped(b"\n".join([block.words[i] for i in part])) if n == 1 else
              pack(np.diff(names[part], prepend=np.uint64(0))) for _, part in parts]
@@ -194,14 +196,15 @@ def _asked_longer(n: int, shards: int):
     def ask(block_rows: pa.Table, answers: pa.Table) -> pa.Table:
         row = block_rows.to_pylist()[0]
         block = Block.read(row, n)
-        return pa.Table.from_batches([_questions(block, row["block"], n, shards, block.totals(n - 1, shards, answers.to_pylist()))])
+        return pa.Table.from_batches([_questions(block, row["block"], n, shards, block.told(n - 1, shards, answers.to_pylist())[1])])
 
     return ask
 
 
 def _answer(table: pa.Table) -> pa.Table:
-    """What a shard's n-grams count in all blocks, told to each block; and in a row without a
-    block, for words, how many training tokens and distinct training words there are."""
+    """What a shard's n-grams count in all blocks, told to each block, doubled, plus one if other blocks
+    hold it; and for words, in a row without a block, how many training tokens and distinct training
+    words there are."""
     n, shard = table.column("n")[0].as_py(), table.column("shard")[0].as_py()
     blocks = table.column("block").to_pylist()
     counts = [unpack(x) for x in table.column("counts").to_pylist()]
@@ -215,9 +218,11 @@ def _answer(table: pa.Table) -> pa.Table:
         distinct, inverse = np.unique(np.concatenate(names), return_inverse=True)
         asked = np.split(inverse, np.cumsum([len(x) for x in names])[:-1])
         total = np.zeros(len(distinct), np.int64)
+    askers = np.zeros(len(total), np.int64)
     for at, c in zip(asked, counts):
         total[at] += c.astype(np.int64)  # a block asks for an n-gram once
-    answers = [pack(total[at]) for at in asked]
+        askers[at] += 1
+    answers = [pack(2 * total[at] + (askers[at] > 1)) for at in asked]
     tokens, known = [None] * len(blocks), [None] * len(blocks)
     if n == 1:
         blocks, answers = blocks + [None], answers + [None]
@@ -311,7 +316,7 @@ class Automaton:
 def _scores(block_rows: pa.Table, answers: pa.Table, order, shards, tokens, known, strength, id_type) -> pa.Table:
     row = block_rows.to_pylist()[0]
     block = Block.read(row, order)
-    counts = block.totals(order, shards, answers.to_pylist())
+    counts, _ = block.told(order, shards, answers.to_pylist())
     automaton = Automaton(block, counts, tokens, known, strength)
     sums = np.add.reduceat
     n_docs = len(block.lengths)
