@@ -70,6 +70,30 @@ def test_repeated_spans(spark, hot):
     assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in got.collect())
 
 
+@pytest.mark.parametrize("n", [200, 800])
+def test_a_hot_passage_makes_no_large_group(spark, n):
+    """One passage in n texts of other words: the largest transform does not grow with n."""
+    rng = random.Random(n)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(1_000))
+    other = lambda size: "".join(rng.choice("ijklmnop ") for _ in range(size))
+    rows = [(i, other(300) + passage + other(300)) for i in range(n)] + [(n, passage[100:600]), (n + 1, other(900))]
+    stats = {}
+    got = answers(suffix_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string"), hot_runs=20, task_bytes=20_000, stats=stats),
+                  "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    texts = [t.encode() for _, t in rows]
+    seen = Counter(hash(t[k:k + 400]) for t in texts for k in range(len(t) - 399))
+    want = []
+    for i, t in enumerate(texts):
+        gone = np.zeros(len(t), bool)
+        for k in range(len(t) - 399):
+            if seen[hash(t[k:k + 400])] > 1:
+                gone[k:k + 400] = True
+        kept = np.frombuffer(t, np.uint8)[~gone].tobytes()
+        want.append((i, len(t), int(gone.sum()), int((np.diff(np.concatenate([[0], gone.astype(np.int8)])) == 1).sum()), hashlib.sha256(kept).hexdigest()))
+    assert got == sorted(want, key=repr) and want[0][2] >= 1_000 and want[-1][2] == 0
+    assert stats["largest"] < 45_000
+
+
 def test_repeated_spans_of_the_tables(spark, sf):
     docs = small(spark, sf)
     rows = [r for r in texts_of(docs) if len(r[1]) < 6000]

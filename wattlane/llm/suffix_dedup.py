@@ -4,9 +4,13 @@ transforms.
 Windows of ``length`` bytes that are equal must meet in one task. Each window is keyed by
 the least hash of the grams inside it, so equal windows have equal keys; a run of windows
 with one key travels as one segment of text. A key seen once in the corpus cannot belong
-to a repeated window, and such segments, the bulk of a clean corpus, never travel. A key
-that very many runs share is refined by further hash functions, as often as its count
-asks, which splits hot passages exactly: equal windows still have equal keys.
+to a repeated window, and such segments, the bulk of a clean corpus, never travel. The runs
+of a key that very many share reach into as many different surroundings. So their windows
+are hashed whole and counted. Only those whose hash occurs very often travel as segments, which
+are the same few in every text; and the key is refined by further hash functions, as often
+as its count asks, which deals them to more tasks: equal windows still have equal keys. The
+windows of such a key whose hash occurs seldom, at the edges of what is shared, would have
+to be gathered with all the others; they are compared by 128-bit digests instead.
 
 In a task the segments form one text with a separator behind each. From its suffix array
 comes the Burrows-Wheeler transform, and backward extension, breadth first, derives the
@@ -65,6 +69,15 @@ class WindowKeys:
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.power[:len(data)], out=sums[1:])
         return (sums[self.gram:] - sums[:-self.gram]) * self.back[:len(data) - self.gram + 1]
 
+    def whole(self, text: bytes, start: int, end: int):
+        """Yields places and hashes of the windows that begin in [start, end)."""
+        for at in range(start, end, CHUNK):
+            data = np.frombuffer(text, np.uint8)[at:min(at + CHUNK, end) + self.length - 1]
+            sums = np.zeros(len(data) + 1, np.uint64)
+            np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.power[:len(data)], out=sums[1:])
+            n = len(data) - self.length + 1
+            yield np.arange(at, at + n), self.mix((sums[self.length:] - sums[:n]) * self.back[:n], 0).view(np.int64)
+
     @staticmethod
     def mix(h: np.ndarray, function: int) -> np.ndarray:
         h = h * np.uint64((0xBF58476D1CE4E5B9 + 2 * function * 0x632BE59BD9B4E019) & ((1 << 64) - 1))
@@ -245,16 +258,78 @@ def _union(begins, stops) -> list[tuple[int, int]]:
     return out
 
 
+def _hot_windows(sources: DataFrame, length: int, gram: int, hot_runs: int) -> tuple[DataFrame, DataFrame]:
+    """Of the texts with runs to refine: ``tid, hot``, the ranges (start, stop, key, levels) of windows in
+    them whose hash occurs more than ``hot_runs`` times, and ``tid, begins, stops``, the bytes under
+    windows whose digest occurs at least twice but not more often. No equal windows have different hashes."""
+    def windows(batch):
+        keys, unpress = WindowKeys(length, gram), zstandard.ZstdDecompressor()
+        for tid, press, copies, its in zip(*(batch.column(c).to_pylist() for c in ("tid", "packed", "copies", "runs"))):
+            text = unpress.decompress(press)
+            for run in its:
+                if run["levels"]:
+                    for at, h in keys.whole(text, run["start"], run["stop"]):
+                        yield tid, copies, run, at, h, text
+
+    def count(batches):
+        for batch in batches:
+            for i in range(0, batch.num_rows, 256):
+                found = [(h, c) for _, c, _, _, h, _ in windows(batch.slice(i, 256))]
+                if found:
+                    values, place = np.unique(np.concatenate([h for h, _ in found]), return_inverse=True)
+                    n = np.bincount(place, np.repeat([c for _, c in found], [len(h) for h, _ in found]))
+                    yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(n.astype(np.int64))], ["h", "n"])
+
+    def places(batches):
+        for batch in batches:
+            for i in range(0, batch.num_rows, 64):
+                for tid, copies, run, at, h, text in windows(batch.slice(i, 64)):
+                    n = len(at)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([tid] * n, pa.binary()), *(pa.array(np.full(n, x)) for x in (copies, run["key"], run["levels"])),
+                         pa.array(at), pa.array(h), pa.array([digest(text[a:a + length]) for a in at.tolist()], pa.binary())],
+                        ["tid", "copies", "key", "levels", "at", "h", "window"])
+
+    def merge(batches):
+        """Neighbouring windows of a run become one range; a range may come in several pieces."""
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            tid = batch.column(0).dictionary_encode().indices.to_numpy()
+            key, at = batch.column(1).to_numpy(), batch.column(3).to_numpy()
+            order = np.lexsort((at, key, tid))
+            new = np.concatenate([[True], (np.diff(tid[order]) != 0) | (np.diff(key[order]) != 0) | (np.diff(at[order]) != 1)])
+            first = order[np.flatnonzero(new)]
+            last = order[np.append(np.flatnonzero(new)[1:], len(order)) - 1]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c).take(pa.array(first)) for c in (0, 1, 2)), pa.array(at[first]), pa.array(at[last] + 1)],
+                ["tid", "key", "levels", "start", "stop"])
+
+    merged = "tid binary, key long, levels long, start long, stop long"
+    hot = sources.where(F.exists("runs", lambda r: r["levels"] > 0))
+    again = settle(hot.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1"), "again")
+    seen = settle(hot.mapInArrow(places, "tid binary, copies long, key long, levels long, at long, h long, window binary").join(again, "h"), "seen")
+    often = seen.where(F.col("n") > hot_runs).select("tid", "key", "levels", "at").mapInArrow(merge, merged)
+    ranges = settle(often.groupBy("tid").agg(
+        F.collect_list(F.struct(F.col("start").cast("int").alias("start"), F.col("stop").cast("int").alias("stop"), "key",
+                                F.col("levels").cast("int").alias("levels"))).alias("hot")), "hot")
+    seldom = seen.where(F.col("n") <= hot_runs)
+    twice = seldom.groupBy("window").agg(F.sum("copies").alias("n")).where("n > 1").select("window")
+    same = seldom.join(twice, "window").select("tid", "key", "levels", "at").mapInArrow(merge, merged)
+    spans = settle(same.groupBy("tid").agg(F.collect_list("start").alias("begins"), F.collect_list(F.col("stop") + length - 1).alias("stops")), "edges")
+    return ranges, spans
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
                    gram: int = GRAM, task_bytes: int = TASK_BYTES, hot_runs: int = HOT_RUNS,
-                   with_text: bool = False) -> DataFrame:
+                   with_text: bool = False, stats: dict | None = None) -> DataFrame:
     """One row per input row: its id, ``n_bytes`` (UTF-8), ``n_removed``, ``n_spans`` (maximal
     removed runs) and ``kept_sha256`` of the bytes left, and with ``with_text`` those bytes
     as ``kept`` (binary: a cut may fall inside a character).
 
     A byte goes when a ``length``-byte string covers it that also starts anywhere else in the
     table, overlaps included; matches never cross rows. Null text counts as empty; texts
-    shorter than ``length`` stay whole. Ids may be null or repeated: rows are told apart by
+    shorter than ``length`` stay whole. ``stats`` is told the bytes of the largest transform. Ids may be null or repeated: rows are told apart by
     their text alone, and copies of a text share one answer. An empty table gives an empty
     result; other columns are ignored.
     """
@@ -309,6 +384,12 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     packed = texts.select("text").mapInArrow(pack, "tid binary, packed binary").groupBy("tid").agg(F.first("packed").alias("packed"))
     sources = settle(packed.join(candidates, "tid"), "sources")
+    edges = None
+    if not sources.where(F.exists("runs", lambda r: r["levels"] > 0)).isEmpty():
+        hot, edges = _hot_windows(sources, length, gram, hot_runs)
+        cold = F.filter("runs", lambda r: r["levels"] == 0)
+        sources = settle(sources.join(hot, "tid", "left").select(
+            "tid", "packed", "copies", F.concat(cold, F.coalesce("hot", F.array().cast(sources.schema["runs"].dataType))).alias("runs")), "sources")
 
     def segments_of(batch):
         windows, unpress = None, zstandard.ZstdDecompressor()
@@ -340,15 +421,19 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     [pa.array([x[0] for x in found], pa.binary()), pa.array([x[1] for x in found], pa.int64()),
                      pa.array([x[2] for x in found], pa.binary())], ["tid", "at", "sid"])
 
-    total = int(candidates.select(F.explode("runs").alias("r")).agg(
+    total = int(sources.select(F.explode("runs").alias("r")).agg(
         F.sum(F.col("r.stop") - F.col("r.start") + length - 1)).first()[0] or 0)
     segments = (sources.mapInArrow(cut_segments, "key long, copies long, sid binary, segment binary")
                 .groupBy("key", "sid", "segment").agg(F.sum("copies").alias("copies"))
                 .withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets(total, task_bytes)))))
+    if stats is not None:  # bytes of the largest transform
+        stats["largest"] = segments.groupBy("bucket").agg(F.sum(F.octet_length("segment") + 1).alias("n")).agg(F.max("n")).first()[0]
     spans = settle(segments.groupBy("bucket").applyInArrow(
         _expand(length), "sid binary, begins array<bigint>, stops array<bigint>"), "spans")
     placed = sources.mapInArrow(place_segments, "tid binary, at long, sid binary").join(spans, "sid").select(
         "tid", F.expr("transform(begins, x -> x + at)").alias("begins"), F.expr("transform(stops, x -> x + at)").alias("stops"))
+    if edges is not None:
+        placed = placed.unionByName(edges)
     cuts = settle(placed.groupBy("tid").agg(F.flatten(F.collect_list("begins")).alias("begins"),
                                             F.flatten(F.collect_list("stops")).alias("stops")), "cuts")
 
