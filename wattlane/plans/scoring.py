@@ -15,7 +15,7 @@ from wattlane.defaults import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from wattlane.functions import coerce_numeric, nonzero_entries
 from wattlane.operators.features import FeatureModel, align_to_schema
 from wattlane.plans.models import KnnModel, assemble, load_model, save_model
-from wattlane.sources.tables import write_report
+from wattlane.sources.tables import write_document
 
 
 def check_input(df: DataFrame, numeric: Sequence[str] = tuple(NUMERIC_FEATURES),
@@ -52,7 +52,7 @@ class Scorer:
         projection, on batch and streaming DataFrames alike, unless the model is a
         nearest-neighbour one, which needs a batch."""
         if df.isStreaming and isinstance(self.model, KnnModel):
-            raise ValueError("a nearest-neighbour model runs jobs of its own; score each batch with foreachBatch")
+            raise ValueError("a nearest-neighbour model runs jobs of its own; use streaming.score_batches")
         built = self.features.transform(df, present_only=True)
         keep = [k for k in self.features.keep if k in built.columns]
         aligned, report = align_to_schema(built, self.expected, keep)
@@ -72,7 +72,7 @@ class Scorer:
 
     def save(self, path: str, spark: SparkSession) -> str:
         save_model(self.model, f"{path}/model", spark)
-        write_report(spark, {"features": json.loads(self.features.to_json()), "expected": self.expected,
+        write_document(spark, {"features": json.loads(self.features.to_json()), "expected": self.expected,
                              "key": self.key}, f"{path}/features")
         return path
 

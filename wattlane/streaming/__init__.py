@@ -1,3 +1,6 @@
-from wattlane.streaming.jobs import clean_stream, dedupe_stream, run_available, score_stream, window_mean
+from wattlane.streaming.jobs import (
+    batch_sink, clean_stream, dedupe_stream, read_batches, run_available, run_batches, score_batches, score_stream, window_mean,
+)
 
-__all__ = ["clean_stream", "dedupe_stream", "run_available", "score_stream", "window_mean"]
+__all__ = ["batch_sink", "clean_stream", "dedupe_stream", "read_batches", "run_available", "run_batches", "score_batches",
+           "score_stream", "window_mean"]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,20 +41,40 @@ def window_mean(stream: DataFrame, ts: str, value: str, width: str = "15 minutes
     return means.select(F.col("window.start").cast("timestamp_ntz").alias("slot"), "n", "mean")
 
 
-def run_available(stream: DataFrame, name: str, mode: str = "append", out: str | None = None) -> DataFrame:
-    """Process everything available now, and return what the sink holds.
+def run_available(stream: DataFrame, name: str, out: str | None = None, state: str | None = None) -> DataFrame:
+    """Process everything available now in append mode, and return what the sink holds.
 
-    Append results go to a Parquet folder. A complete-mode result is rewritten by
-    every batch, so its last batch is the answer.
+    Who passes ``out`` and ``state`` (a checkpoint folder) can run it again: the next run goes on
+    where the last one ended, with its watermark, its windows and its keys.
     """
     spark: SparkSession = stream.sparkSession
     base = f"{shared_dir(spark)}/stream-{name}-{uuid.uuid4().hex}"
     sink = out or f"{base}/out"
-    writer = stream.writeStream.option("checkpointLocation", f"{base}/state").trigger(availableNow=True)
-    if mode == "append":
-        query = writer.outputMode(mode).format("parquet").option("path", sink).start()
-    else:
-        query = writer.outputMode(mode).foreachBatch(
-            lambda batch, _: batch.write.mode("overwrite").parquet(sink)).start()
-    query.awaitTermination()
+    writer = stream.writeStream.option("checkpointLocation", state or f"{base}/state").trigger(availableNow=True)
+    writer.outputMode("append").format("parquet").option("path", sink).start().awaitTermination()
     return spark.read.schema(stream.schema).parquet(sink)
+
+
+def batch_sink(process: Callable[[DataFrame], DataFrame], out: str) -> Callable[[DataFrame, int], None]:
+    """Writes what ``process`` makes of a batch to the folder of its number. A batch that runs again after a
+    failure overwrites its own folder and no other, so each counts once."""
+    def write(batch: DataFrame, number: int) -> None:
+        process(batch).write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    return write
+
+
+def run_batches(stream: DataFrame, process: Callable[[DataFrame], DataFrame], out: str, state: str) -> None:
+    """Process everything available now, batch by batch, with any batch code: jobs, joins, models that need a
+    whole table. Run again with the same folders it goes on where it ended, or repeats the batch that failed."""
+    query = stream.writeStream.option("checkpointLocation", state).trigger(availableNow=True)
+    query.foreachBatch(batch_sink(process, out)).start().awaitTermination()
+
+
+def read_batches(spark: SparkSession, out: str) -> DataFrame:
+    return spark.read.option("basePath", out).parquet(f"{out}/batch=*").drop("batch")
+
+
+def score_batches(stream: DataFrame, scorer: Scorer, out: str, state: str) -> None:
+    """Scores of a stream by any model; a nearest-neighbour one runs its passes in each batch."""
+    run_batches(stream, scorer.score, out, state)
