@@ -28,43 +28,45 @@ UNITS = ["mm", "cm", "m", "km", "mg", "g", "kg", "t", "ml", "cl", "l", "s", "sec
          "hours", "days", "weeks", "months", "years", "miles", "feet", "inches", "pounds", "dollars", "euros", "cents",
          "percent", "usd", "eur", "w", "kw", "kwh", "v", "hz", "degrees"]
 TOKEN = r"[0-9]+(?:[.,][0-9]+)*|\p{L}+|[.!?]"
+#: What stands for a slot of each type where other tokens have the hash of their word.
+NUMBER, UNIT, NAME = 1, 2, 3
 #: Between the slot values of a window; no token contains it.
 GLUE = "|"
 
 
 def _templates(df: DataFrame, text_col: str, keys: list[str]) -> DataFrame:
-    """``keys`` and, token by token, ``c`` (template), ``w`` (lower-cased word), ``raw`` (the value of a slot)."""
+    """``keys`` and, token by token, ``w`` (hash of the lower-cased word) and, where a token is a slot, ``c``
+    (its type) and ``raw`` (its value)."""
     units = ", ".join(f"'{u}'" for u in UNITS)
     tokens = df.withColumn("t", F.expr(f"regexp_extract_all({text_col}, r'{TOKEN}', 0)"))
     typed = tokens.withColumn("s", F.expr(f"""
         filter(transform(t, (x, i) -> case
             when x in ('.', '!', '?') then null
-            when x < ':' then named_struct('c', '<n>', 'w', x, 'raw', x)
+            when x < ':' then named_struct('w', xxhash64(x), 'c', {NUMBER}L, 'raw', x)
             when i > 0 and get(t, i - 1) between '0' and '9:' and lower(x) in ({units})
-                then named_struct('c', '<u>', 'w', lower(x), 'raw', lower(x))
+                then named_struct('w', xxhash64(lower(x)), 'c', {UNIT}L, 'raw', lower(x))
             when i > 0 and get(t, i - 1) not in ('.', '!', '?') and left(x, 1) != lower(left(x, 1))
-                then named_struct('c', '<p>', 'w', lower(x), 'raw', x)
-            else named_struct('c', lower(x), 'w', lower(x), 'raw', cast(null as string)) end), x -> x is not null)"""))
-    return typed.select(*keys, F.expr("s.c").alias("c"), F.expr("s.w").alias("w"), F.expr("s.raw").alias("raw"))
+                then named_struct('w', xxhash64(lower(x)), 'c', {NAME}L, 'raw', x)
+            else named_struct('w', xxhash64(lower(x)), 'c', cast(null as bigint), 'raw', cast(null as string)) end), x -> x is not null)"""))
+    return typed.select(*keys, F.expr("s.w").alias("w"), F.expr("s.c").alias("c"), F.expr("s.raw").alias("raw"))
 
 
 def _windows(templates: DataFrame, keys: list[str], prefix: str) -> DataFrame:
-    """Two rows per window, of its words (``slots`` null) and of its template, but one if it has no
-    slot: then the template is the words. ``h`` is the hash, ``at`` the place, ``slots`` the values joined."""
-    at = lambda a: ", ".join(f"{a}[i + {k}]" if k else f"{a}[i]" for k in range(WORDS))
-    hashed = templates.withColumn("hc", F.expr("transform(c, x -> xxhash64(x))")).withColumn("hw", F.expr("transform(w, x -> xxhash64(x))"))
-    each = F.expr(f"""
-        transform(if(size(c) >= {WORDS}, sequence(0, size(c) - {WORDS}), cast(array() as array<int>)),
-                  i -> named_struct('at', i, 'h', xxhash64({at('hw')}), 't',
-                      if(array({at('hw')}) = array({at('hc')}), null,
-                         named_struct('h', xxhash64({at('hc')}), 'slots', concat_ws('{GLUE}', {at('raw')}),
-                                      'empty', not exists(array({at('c')}), x -> x not in ('<n>', '<u>', '<p>'))))))""")
-    windows = hashed.select(*keys, F.explode(each).alias("x"))
-    both = F.expr("""
-        array_compact(array(named_struct('h', x.h, 'slots', cast(null as string)),
-                            if(x.t is null or x.t.empty, null, named_struct('h', x.t.h, 'slots', x.t.slots))))""")
-    return windows.select(*keys, F.col("x.at").alias(f"{prefix}_at"), F.explode(both).alias("y")).select(
-        *keys, f"{prefix}_at", F.col("y.slots").isNull().alias("plain"), F.col("y.h").alias("h"), F.col("y.slots").alias(f"{prefix}_slots"))
+    """A row for the words of each window (``plain``), and one for its template if it has slots and more than
+    slots. ``h`` is the hash, ``at`` the place, ``slots`` the values joined."""
+    at = lambda a: ", ".join(a.format(k) for k in range(WORDS))
+    last = f"size(w) - {WORDS}"
+    placed = templates.where(f"size(w) >= {WORDS}").withColumn(
+        # Only windows around a slot have a template of their own.
+        "near", F.expr(f"""array_distinct(flatten(transform(filter(transform(c, (x, i) -> if(x is null, null, i)), i -> i is not null),
+                                                            i -> sequence(greatest(i - {WORDS - 1}, 0), least(i, {last})))))"""))
+    words = f"transform(sequence(0, {last}), i -> named_struct('at', i, 'h', xxhash64({at('w[i + {}]')}), 'slots', cast(null as string)))"
+    typed = f"""
+        transform(filter(near, i -> exists(slice(c, i + 1, {WORDS}), x -> x is null)),
+                  i -> named_struct('at', i, 'h', xxhash64({at('coalesce(c[i + {0}], w[i + {0}])')}), 'slots', concat_ws('{GLUE}', {at('raw[i + {}]')})))"""
+    return placed.select(*keys, F.explode(F.expr(f"concat({words}, {typed})")).alias("x")).select(
+        *keys, F.col("x.at").alias(f"{prefix}_at"), F.col("x.slots").isNull().alias("plain"), F.col("x.h").alias("h"),
+        F.col("x.slots").alias(f"{prefix}_slots"))
 
 
 #: Of the pairs (value of the item, value of the document) of a diagonal those that no pair with one
