@@ -62,17 +62,3 @@ def column_or_null(df: DataFrame, name: str, dtype: str = "string"):
 
 def without_time_names(names: Sequence[str], keywords: Sequence[str] = tuple(TIME_KEYWORDS)) -> list[str]:
     return [n.lower() for n in names if not any(k in n.lower() for k in keywords)]
-
-
-def columns_by_type(df: DataFrame, ts: str | None = None) -> dict[str, list[str]]:
-    kinds: dict[str, list[str]] = {"numeric": [], "text": [], "time": [], "other": []}
-    for f in df.schema.fields:
-        if f.name == ts or isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType, T.DateType)):
-            kinds["time"].append(f.name)
-        elif isinstance(f.dataType, T.NumericType):
-            kinds["numeric"].append(f.name)
-        elif isinstance(f.dataType, T.StringType):
-            kinds["text"].append(f.name)
-        else:
-            kinds["other"].append(f.name)
-    return kinds

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,28 +14,35 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
-def text_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-
-
-def other_columns(df: DataFrame, ts: str) -> list[str]:
-    """Neither numeric nor the timestamp."""
-    return [f.name for f in df.schema.fields if f.name != ts and not isinstance(f.dataType, T.NumericType)]
-
-
 def profile_columns(df: DataFrame, exact_distinct: bool = True) -> DataFrame:
-    """Type, rows, missing, percent missing and distinct values per column, in one aggregate."""
-    distinct = F.count_distinct if exact_distinct else F.approx_count_distinct
-    aggs = [F.count("*").alias("_rows")]
-    for i, c in enumerate(df.columns):
-        aggs += [F.count(F.col(f"`{c}`")).alias(f"_n{i}"), distinct(F.col(f"`{c}`")).alias(f"_d{i}")]
-    wide = df.agg(*aggs)
-    missing = {i: F.col("_rows") - F.col(f"_n{i}") for i in range(len(df.columns))}
-    rows = [F.struct(
-        F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("dtype"), F.col("_rows").alias("n"),
-        missing[i].alias("missing"), F.bround(F.try_divide(missing[i] * 100.0, "_rows"), 3).alias("pct_missing"),
-        F.col(f"_d{i}").alias("n_unique")) for i, f in enumerate(df.schema.fields)]
-    return wide.select(F.inline(F.array(*rows))).orderBy(F.desc("pct_missing"), "column")
+    """Type, rows, missing, percent missing and distinct values per column.
+
+    Exact distinct counts come from one long aggregate (column, value) per data type, whose values are
+    folded on the map side, so rows are not copied whole for every column and each pass reads
+    the columns of its type only.
+    """
+    names, fields = df.columns, df.schema.fields
+    if exact_distinct:
+        kinds: dict[str, list[int]] = {}
+        for i, f in enumerate(fields):
+            kinds.setdefault(f.dataType.simpleString(), []).append(i)
+        counts = None
+        for members in kinds.values():
+            rows = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"`{names[i]}`").alias("v")) for i in members])))
+            part = rows.where(F.col("v").isNotNull()).groupBy("i", "v").agg(F.count(F.lit(1)).alias("m")).groupBy("i").agg(
+                F.sum("m").alias("present"), F.count(F.lit(1)).alias("n_unique"))
+            counts = part if counts is None else counts.unionByName(part)
+    else:
+        wide = df.agg(*[F.struct(F.lit(i).alias("i"), F.count(F.col(f"`{c}`")).alias("present"),
+                                 F.approx_count_distinct(F.col(f"`{c}`")).alias("n_unique")).alias(f"_p{i}") for i, c in enumerate(names)])
+        counts = wide.select(F.inline(F.array(*[f"_p{i}" for i in range(len(names))])))
+    columns = df.sparkSession.createDataFrame(pa.table({
+        "i": pa.array(range(len(names)), pa.int32()), "column": names, "dtype": [f.dataType.simpleString() for f in fields]}))
+    missing = F.col("n") - F.coalesce("present", F.lit(0))
+    rows = columns.join(counts, "i", "left").withColumn("n", df.agg(F.count(F.lit(1))).scalar())
+    return rows.select(
+        "column", "dtype", "n", missing.alias("missing"), F.bround(F.try_divide(missing * 100.0, "n"), 3).alias("pct_missing"),
+        F.coalesce("n_unique", F.lit(0)).alias("n_unique")).orderBy(F.desc("pct_missing"), "column")
 
 
 def column_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
