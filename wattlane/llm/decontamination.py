@@ -56,15 +56,19 @@ def _windows(templates: DataFrame, keys: list[str], prefix: str) -> DataFrame:
     slots. ``h`` is the hash, ``at`` the place, ``slots`` the values joined."""
     at = lambda a: ", ".join(a.format(k) for k in range(WORDS))
     last = f"size(w) - {WORDS}"
-    placed = templates.where(f"size(w) >= {WORDS}").withColumn(
-        # Only windows around a slot have a template of their own.
-        "near", F.expr(f"""array_distinct(flatten(transform(filter(transform(c, (x, i) -> if(x is null, null, i)), i -> i is not null),
-                                                            i -> sequence(greatest(i - {WORDS - 1}, 0), least(i, {last})))))"""))
-    words = f"transform(sequence(0, {last}), i -> named_struct('at', i, 'h', xxhash64({at('w[i + {}]')}), 'slots', cast(null as string)))"
+    # No filter on the size: it would be pushed below the templates and evaluate them once more.
+    none = "cast(array() as array<int>)"
+    words = f"""
+        transform(if(size(w) >= {WORDS}, sequence(0, {last}), {none}),
+                  i -> named_struct('at', i, 'h', xxhash64({at('w[i + {}]')}), 'slots', cast(null as string)))"""
+    # Only windows around a slot have a template of their own.
+    near = f"""
+        array_distinct(flatten(transform(filter(transform(c, (x, i) -> if(x is null or size(c) < {WORDS}, null, i)), i -> i is not null),
+                                         i -> sequence(greatest(i - {WORDS - 1}, 0), least(i, {last})))))"""
     typed = f"""
-        transform(filter(near, i -> exists(slice(c, i + 1, {WORDS}), x -> x is null)),
+        transform(filter({near}, i -> exists(slice(c, i + 1, {WORDS}), x -> x is null)),
                   i -> named_struct('at', i, 'h', xxhash64({at('coalesce(c[i + {0}], w[i + {0}])')}), 'slots', concat_ws('{GLUE}', {at('raw[i + {}]')})))"""
-    return placed.select(*keys, F.explode(F.expr(f"concat({words}, {typed})")).alias("x")).select(
+    return templates.select(*keys, F.explode(F.expr(f"concat({words}, {typed})")).alias("x")).select(
         *keys, F.col("x.at").alias(f"{prefix}_at"), F.col("x.slots").isNull().alias("plain"), F.col("x.h").alias("h"),
         F.col("x.slots").alias(f"{prefix}_slots"))
 
