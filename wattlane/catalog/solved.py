@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wattlane.catalog.modelling import LABEL_SQL, LINE_KEYS, MODEL_FEATURES, labelled_lines, metrics_sql
-from wattlane.catalog.registry import EVENTS_K, events_with_k, query, rounded, table
+from wattlane.catalog.registry import EVENTS_K, ORACLES, events_with_k, query, rounded, table
 from wattlane.catalog.stream import event_stream
 from wattlane.operators.features import FeatureConfig, fit_features, sparse_features
 from wattlane.operators.splits import fit_three_way_split
@@ -92,6 +92,20 @@ def evaluate_linear(spark, d):
     return out.withColumns({"rmse": F.round("rmse", 3), "mae": F.round("mae", 3)})
 
 
+def trained_sql(name: str, alpha: float) -> str:
+    """Metrics on every part of the model fitted on the training part."""
+    return f"""
+WITH {LINES_SQL}, {SPLIT_CUTS}, known AS (SELECT * FROM parts WHERE split = 'train'),
+{solve_sql('known', MODEL_FEATURES, alpha)},
+p AS (SELECT split, y AS label, {predicted_sql(MODEL_FEATURES)} AS prediction FROM parts, w),
+q AS ({metrics_sql('p', 'label', 'prediction', ['split'])})
+SELECT split, n, round(rmse, 4) AS rmse, round(mae, 4) AS mae, round(r2, 4) AS r2, '{name}' AS model FROM q"""
+
+
+ORACLES["train_linear"] = trained_sql("LinearRegression", 0.0)
+ORACLES["train_ridge"] = trained_sql("Ridge", 1.0)
+
+
 # ---- trees, by trying every split ---------------------------------------------
 
 TREE_FEATURES = ["l_discount", "l_tax", "l_linenumber"]
