@@ -211,10 +211,97 @@ def brute_scan(text):
     return (len(words), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in places})))
 
 
+def descend(tokens):
+    """The expression by recursive descent: names, level, and is it well formed?"""
+    tokens, names = list(tokens), set()
+
+    def choice():
+        value = both()
+        while tokens[:1] == ["or"]:
+            tokens.pop(0)
+            value = min(value, both())
+        return value
+
+    def both():
+        value = single()
+        while tokens[:1] == ["and"]:
+            tokens.pop(0)
+            value = max(value, single())
+        return value
+
+    def single():
+        if tokens[:1] == ["("]:
+            tokens.pop(0)
+            value = choice()
+            assert tokens.pop(0) == ")"
+            assert tokens[:1] != ["with"]
+            return value
+        name = tokens.pop(0)
+        assert name not in ("or", "and", "with") and name[0].isalnum()
+        names.add(name)
+        value = next((k for k, of in license_scan.IDENTIFIERS.items() if name.rstrip("+") in of and name.count("+") < 2), 3)
+        if tokens[:1] == ["with"]:
+            tokens.pop(0)
+            exception = tokens.pop(0)
+            assert exception not in ("or", "and", "with") and exception[0].isalnum() and tokens[:1] != ["with"]
+            names.add(exception)
+            if value == 2 and exception in license_scan.EXCEPTIONS:
+                value = 1
+        return value
+
+    try:
+        value = choice()
+        assert not tokens
+        return names, value
+    except (AssertionError, IndexError):
+        return None
+
+
+def brute_labels(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+    has = lambda phrase: any(words[i:i + len(phrase.split())] == phrase.split() for i in range(len(words)))
+    base = {x for p, x in license_scan.BASE_PHRASES.items() if has(p)}
+    labels = base | {x for p, x in license_scan.OTHER_PHRASES.items() if has(p)}
+    score = 0.9 if base else 0.6 if labels else 0.0
+    if has("spdx license identifier"):
+        score = max(score, 0.3)
+        for line in text.lower().split("\n"):
+            for found in re.findall(r"spdx[^0-9a-z]+license[^0-9a-z]+identifier[^0-9a-z(]*(.*)", line):
+                tokens = re.findall(r"\(|\)|[a-z0-9][a-z0-9.+:-]*|\S", re.sub(r"(\*/|-->|#+)\s*$", "", found.strip()))
+                value = descend(tokens)
+                if value is None:
+                    labels.add("invalid-expression")
+                    continue
+                known = {n for n in value[0] if any(n.removesuffix("+") in of for of in license_scan.IDENTIFIERS.values())
+                         or n in license_scan.EXCEPTIONS or n.startswith(("licenseref-", "documentref-"))}
+                labels |= known | {("terms-permissive", "terms-weak", "terms-strong", "terms-unknown")[value[1]]}
+                score = 1.0 if known == value[0] else score
+                labels |= set() if known == value[0] else {"unknown-identifier"}
+    return ",".join(sorted(labels)), score
+
+
+def test_labels_of_random_notices(spark):
+    rng = random.Random(13)
+    names = ["MIT", "GPL-2.0-only", "Apache-2.0", "LGPL-2.1+", "CC-BY-NC-4.0", "LicenseRef-x", "hello", "EPL-2.0"]
+    parts = names + ["OR", "AND", "WITH", "(", ")", "Classpath-exception-2.0", "no-exception", ",", "*/"]
+    phrases = [*license_scan.BASE_PHRASES, *license_scan.OTHER_PHRASES]
+    rows = []
+    for i in range(300):
+        expression = " ".join(rng.choice(parts) for _ in range(rng.randrange(1, 6))) if i % 2 else " OR ".join(
+            rng.choice(names) + rng.choice(["", " WITH Classpath-exception-2.0", " AND MIT"]) for _ in range(rng.randrange(1, 4)))
+        notice = rng.choice(phrases).title().replace(" ", rng.choice([" ", ", ", "\n", "-"]))
+        rows.append((i, rng.choice(["", notice + "\n", f"some {notice} here\n"]) + rng.choice(["", f"// SPDX-License-Identifier: {expression}\nnext"])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert answers(license_scan.license_scan(docs), "doc_id", "labels", "score") == sorted([(i, *brute_labels(t)) for i, t in rows], key=repr)
+
+
 def test_license_scan(spark, awkward, sf):
     for docs in (awkward, small(spark, sf)):
         want = sorted([(i, *brute_scan(t)) for i, t in texts_of(docs)], key=repr)
         assert answers(license_scan.license_scan(docs), "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels") == want
+        want = sorted([(i, *brute_labels(t)) for i, t in texts_of(docs)], key=repr)
+        assert answers(license_scan.license_scan(docs), "doc_id", "labels", "score") == want
     rows = {r.doc_id: r for r in license_scan.license_scan(awkward).collect()}
     assert rows[13].labels == "classpath-exception-2.0,gpl-2.0-only,mit,terms-permissive" and rows[13].score == 1.0
     assert rows[14].labels == "apache,cc-by,cc-by-nc,gpl" and rows[14].base_labels == "apache,cc-by,gpl"

@@ -23,26 +23,65 @@ BASE_PHRASES = {
     "cc by": "cc-by",
     "mit license": "mit",
 }
-# Further notices the scan labels by itself.
+# Further notices the scan labels by itself, names first, then the words licences are quoted by.
 OTHER_PHRASES = {
     "gnu lesser general public license": "lgpl",
+    "gnu library general public license": "lgpl",
     "gnu affero general public license": "agpl",
     "mozilla public license": "mpl",
+    "eclipse public license": "epl",
+    "european union public licence": "eupl",
+    "server side public license": "sspl",
+    "business source license": "busl",
+    "boost software license": "bsl",
+    "sil open font license": "ofl",
+    "artistic license": "artistic",
+    "isc license": "isc",
+    "zlib license": "zlib",
     "bsd license": "bsd",
+    "bsd 2 clause": "bsd-2-clause",
+    "bsd 3 clause": "bsd-3-clause",
     "cc by nc": "cc-by-nc",
     "cc by sa": "cc-by-sa",
     "cc by nd": "cc-by-nd",
+    "cc0 1 0 universal": "cc0",
+    "creative commons attribution": "cc-by",
+    "creative commons attribution noncommercial": "cc-by-nc",
+    "creative commons attribution sharealike": "cc-by-sa",
+    "creative commons attribution noderivatives": "cc-by-nd",
     "public domain": "public-domain",
     "all rights reserved": "all-rights-reserved",
+    "permission is hereby granted free of charge to any person obtaining a copy": "mit",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted": "isc",
+    "redistribution and use in source and binary forms with or without modification are permitted": "bsd",
+    "licensed under the apache license version 2 0": "apache-2.0",
+    "this source code form is subject to the terms of the mozilla public license v 2 0": "mpl-2.0",
+    "under the terms of the gnu general public license as published by the free software foundation": "gpl",
+    "under the terms of the gnu lesser general public license as published by the free software foundation": "lgpl",
+    "either version 2 of the license or at your option any later version": "gpl-2.0-or-later",
+    "either version 3 of the license or at your option any later version": "gpl-3.0-or-later",
+    "this is free and unencumbered software released into the public domain": "unlicense",
 }
 TAG = "spdx license identifier"
-# How far an identifier restricts its user, by its first letters; the longest prefix decides.
+# Licence identifiers in lower case by how far they restrict their user, and exceptions.
 PERMISSIVE, WEAK, STRONG, UNKNOWN = range(4)
-LEVELS = {"mit": PERMISSIVE, "apache": PERMISSIVE, "bsd": PERMISSIVE, "isc": PERMISSIVE, "cc0": PERMISSIVE,
-          "cc-by": PERMISSIVE, "lgpl": WEAK, "mpl": WEAK, "epl": WEAK, "gpl": STRONG, "agpl": STRONG,
-          "cc-by-sa": STRONG, "cc-by-nc": STRONG, "cc-by-nd": STRONG}
+IDENTIFIERS = {
+    PERMISSIVE: ["0bsd", "afl-3.0", "apache-1.1", "apache-2.0", "bsd-1-clause", "bsd-2-clause", "bsd-3-clause", "bsd-4-clause",
+                 "bsl-1.0", "cc-by-3.0", "cc-by-4.0", "cc0-1.0", "isc", "mit", "mit-0", "ncsa", "postgresql", "psf-2.0",
+                 "python-2.0", "unicode-3.0", "unlicense", "wtfpl", "x11", "zlib"],
+    WEAK: ["artistic-2.0", "cddl-1.0", "cddl-1.1", "epl-1.0", "epl-2.0", "lgpl-2.0", "lgpl-2.0-only", "lgpl-2.0-or-later", "lgpl-2.1",
+           "lgpl-2.1-only", "lgpl-2.1-or-later", "lgpl-3.0", "lgpl-3.0-only", "lgpl-3.0-or-later", "mpl-1.1", "mpl-2.0", "ms-pl", "ofl-1.1"],
+    STRONG: ["agpl-3.0", "agpl-3.0-only", "agpl-3.0-or-later", "busl-1.1", "cc-by-nc-3.0", "cc-by-nc-4.0", "cc-by-nc-nd-4.0", "cc-by-nc-sa-4.0",
+             "cc-by-nd-4.0", "cc-by-sa-3.0", "cc-by-sa-4.0", "eupl-1.1", "eupl-1.2", "gpl-1.0", "gpl-2.0", "gpl-2.0-only", "gpl-2.0-or-later",
+             "gpl-3.0", "gpl-3.0-only", "gpl-3.0-or-later", "osl-3.0", "sspl-1.0"],
+}
+EXCEPTIONS = ["autoconf-exception-2.0", "autoconf-exception-3.0", "bison-exception-2.2", "bootloader-exception", "classpath-exception-2.0",
+              "font-exception-2.0", "gcc-exception-2.0", "gcc-exception-3.1", "gpl-cc-1.0", "linux-syscall-note", "llvm-exception",
+              "openssl-exception", "qt-gpl-exception-1.0", "u-boot-exception-2.0", "wxwindows-exception-3.1"]
+LEVELS = {name: level for level, names in IDENTIFIERS.items() for name in names}
+OWN = ("licenseref-", "documentref-")
 LEVEL_LABELS = ("terms-permissive", "terms-weak", "terms-strong", "terms-unknown")
-INVALID = "invalid-expression"
+INVALID, FOREIGN = "invalid-expression", "unknown-identifier"
 
 WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -90,13 +129,17 @@ def postfix(expression: str) -> list[str] | None:
 
 
 def level(identifier: str) -> int:
-    fits = [p for p in LEVELS if identifier == p or identifier.startswith(p + "-")]
-    return LEVELS[max(fits, key=len)] if fits else UNKNOWN
+    return LEVELS.get(identifier.removesuffix("+"), UNKNOWN)
+
+
+def is_known(name: str) -> bool:
+    """Is it an identifier of the list, with ``+`` or without, an exception, or a reference of the text's own?"""
+    return name.removesuffix("+") in LEVELS or name in EXCEPTIONS or name.startswith(OWN)
 
 
 def evaluate(expression: str) -> tuple[set[str], int] | None:
     """Its identifiers, and the level of the best choice: all of ``and`` bind (the maximum),
-    ``or`` leaves the choice (the minimum), an exception after ``with`` softens strong terms
+    ``or`` leaves the choice (the minimum), a known exception after ``with`` softens strong terms
     to weak ones. None for a malformed expression."""
     order = postfix(expression)
     if order is None:
@@ -112,7 +155,7 @@ def evaluate(expression: str) -> tuple[set[str], int] | None:
             if exception is None or name is None:
                 return None
             names |= {name, exception}
-            stack.append((WEAK if left == STRONG else left, None))
+            stack.append((WEAK if left == STRONG and exception in EXCEPTIONS else left, None))
         else:
             names |= {x for x in (name, exception) if x}
             stack.append((max(left, right) if piece == "and" else min(left, right), None))
@@ -157,8 +200,12 @@ def scan(text: bytes, automaton) -> tuple:
             if value is None:
                 labels.add(INVALID)
             else:
-                labels |= value[0] | {LEVEL_LABELS[value[1]]}
-                score = 1.0
+                names = {x for x in value[0] if is_known(x)}
+                labels |= names | {LEVEL_LABELS[value[1]]}
+                if names == value[0]:
+                    score = 1.0
+                else:  # words that are no licence say nothing, but a tag stands there
+                    labels.add(FOREIGN)
         score = max(score, 0.3)
     return (len(words), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)),
             ",".join(sorted(labels)), score)
@@ -174,8 +221,9 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  base: dict[str, str] = BASE_PHRASES, other: dict[str, str] = OTHER_PHRASES) -> DataFrame:
     """One row per document: its id, ``n_words``, ``n_base`` (places of base phrases),
     ``first_word``, ``last_word`` (where the first and last of them start, words from 0),
-    ``base_labels``, ``labels`` and ``score``: 1 behind a valid tag, 0.9 with a base phrase,
-    0.6 with another notice, 0.3 with only a malformed tag, else 0.
+    ``base_labels``, ``labels`` and ``score``: 1 behind a tag whose expression is well formed and
+    names known identifiers only, 0.9 with a base phrase, 0.6 with another notice, 0.3 with only some
+    other tag, else 0.
 
     Null text counts as empty: no words, empty labels, null positions, score 0. Ids may be
     null or repeated; each row is scanned by itself. Other columns are ignored.
