@@ -183,7 +183,8 @@ class ByteTagger:
         for i in range(0, len(owner), SIDE_BY_SIDE):
             s = slice(i, i + SIDE_BY_SIDE)
             at = begin[s, None] + place
-            rows = np.where(place < size[s, None], data[np.minimum(at, len(data) - 1)], self.PAD)
+            # As wider numbers first: 256 does not fit into a byte and would wrap to 0.
+            rows = np.where(place < size[s, None], data[np.minimum(at, len(data) - 1)].astype(np.int16), self.PAD)
             np.add.at(sums, owner[s], self.log_probabilities(rows))
         pooled = sums / np.maximum(sizes, 1)[:, None] * np.minimum(sizes, STEPS)[:, None]
         pooled -= pooled.max(axis=1, keepdims=True) if len(texts) else 0
