@@ -10,7 +10,8 @@ member of a band meets the least member of that band. Then, in bands whose membe
 all connected yet, members of different components meet if they share one of their rarest
 shingles: two sets at 0.8 have more than 0.8 of their shingles in common, so whatever order
 all sets are read in, the first fifth of each holds a common one. With rare shingles first,
-texts that merely share a passage do not meet at all. Each pair is confirmed by the exact
+texts that merely share a passage do not meet at all. In a few turns each set first meets one
+of another component only, which joins most of a large group; then the rest meet. Each pair is confirmed by the exact
 Jaccard similarity of the two sets, and components are those of the confirmed pairs.
 """
 
@@ -30,6 +31,8 @@ from wattlane.session import settle
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 6
+#: Turns in which sets meet one other each, before those still apart meet in pairs.
+TURNS = 3
 
 _draw = np.random.default_rng(42)
 FACTORS = _draw.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -72,19 +75,41 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFram
     return both.where(shared >= similarity * (F.size("fa") + F.size("fb") - shared)).select("a", "b")
 
 
-def rare_pairs(loose: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Pairs ``a, b`` of the sets ``loose`` (sid, n, root) with different roots which, read by rising
-    frequency, share one of the first shingles that a pair this similar cannot do without."""
-    tokens = loose.join(sets.hint("merge"), "sid").select("sid", "n", "root", F.explode("found").alias("s"))
+def rare_shingles(loose: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """``s, sid, n``: of each set of ``loose`` (sid, n), read by rising frequency, the first shingles, of which
+    it shares one with any set this similar."""
+    tokens = loose.join(sets.hint("merge"), "sid").select("sid", "n", F.explode("found").alias("s"))
     often = tokens.groupBy("s").agg(F.count(F.lit(1)).alias("often"))
     lead = F.col("n") - F.ceil(similarity * F.col("n") - 1e-9) + 1
-    first = settle(tokens.join(often.hint("merge"), "s").groupBy("sid", "n", "root").agg(
+    return settle(tokens.join(often.hint("merge"), "s").groupBy("sid", "n").agg(
         F.array_sort(F.collect_list(F.struct("often", "s"))).alias("all"))
-        .select("sid", "n", "root", F.explode(F.slice("all", F.lit(1), lead.cast("int"))).alias("x"))
-        .where("x.often > 1").select("sid", "n", "root", "x.s"), "rare")
-    mixed = settle(first.groupBy("s").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("s"), "mixed")
-    rest = first.join(mixed.hint("merge"), "s")
-    x, y = (rest.select("s", *[F.col(c).alias(c + e) for c in ("sid", "n", "root")]) for e in ("_a", "_b"))
+        .select("sid", "n", F.explode(F.slice("all", F.lit(1), lead.cast("int"))).alias("x"))
+        .where("x.often > 1").select("x.s", "sid", "n"), "rare")
+
+
+def _mixed(rare: DataFrame, stars: DataFrame) -> DataFrame:
+    """``s, sid, n, root`` where sets of different roots share the shingle."""
+    placed = settle(rare.join(stars.hint("merge"), rare.sid == stars.node, "left").select(
+        "s", "sid", "n", F.coalesce("root", "sid").alias("root")), "rare")
+    mixed = placed.groupBy("s").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("s")
+    return settle(placed.join(mixed.hint("merge"), "s"), "mixed")
+
+
+def star_pairs(mixed: DataFrame, similarity: float, turn: int) -> DataFrame:
+    """Pairs ``a, b``: every set with one that shares the shingle and has another root. Which one that is
+    depends on a hash of the sets and the turn, so each turn tries others."""
+    place = F.struct(F.xxhash64("sid", F.lit(turn)).alias("h"), "sid", "n", "root")
+    least = mixed.groupBy("s").agg(F.min(place).alias("one"))
+    led = settle(mixed.join(least.hint("merge"), "s"), "led")
+    second = led.where(F.col("root") != F.col("one.root")).groupBy("s").agg(F.min(place).alias("two"))
+    other = F.when(F.col("root") != F.col("one.root"), F.col("one")).otherwise(F.col("two"))
+    return led.join(second.hint("merge"), "s").select("sid", "n", other.alias("o")).where(_close(F.col("n"), F.col("o.n"), similarity)).select(
+        F.least("sid", "o.sid").alias("a"), F.greatest("sid", "o.sid").alias("b")).distinct()
+
+
+def rare_pairs(mixed: DataFrame, similarity: float) -> DataFrame:
+    """All pairs ``a, b`` of different roots that share a shingle."""
+    x, y = (mixed.select("s", *[F.col(c).alias(c + e) for c in ("sid", "n", "root")]) for e in ("_a", "_b"))
     return x.join(y.hint("merge"), "s").where(
         (F.col("sid_a") < F.col("sid_b")) & (F.col("root_a") != F.col("root_b")) & _close(F.col("n_a"), F.col("n_b"), similarity)
     ).select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b")).distinct()
@@ -138,10 +163,21 @@ def near_copy_roots(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest = placed.where("not met")
     open_ = settle(rest.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"))
                    .where("low != high").select("band"), "open")
-    loose = settle(rest.join(open_.hint("merge"), "band").select("sid", "n", "root").distinct(), "loose")
-    others = rare_pairs(loose, sets, similarity)
-    more = settle(_confirmed(others, sets, similarity), "links")
-    stars = components(edges.unionByName(more))
+    loose = settle(rest.join(open_.hint("merge"), "band").select("sid", "n").distinct(), "loose")
+    rare = rare_shingles(loose, sets, similarity)
+    mixed = _mixed(rare, stars)
+    # A group of copies that the first round left in parts grows together by stars, whose number grows with
+    # the sets and not with their pairs; what is still apart then meets pair by pair.
+    for turn in range(TURNS):
+        more = settle(_confirmed(star_pairs(mixed, similarity, turn), sets, similarity), "links")
+        if more.isEmpty():
+            break
+        edges = edges.unionByName(more)
+        stars = components(edges)
+        mixed = _mixed(rare, stars)
+    more = settle(_confirmed(rare_pairs(mixed, similarity), sets, similarity), "links")
+    if not more.isEmpty():
+        stars = components(edges.unionByName(more))
     return settle(prints.select("id", "th", "sid").join(stars.hint("merge"), F.col("sid") == stars.node, "left")
                   .select("id", "th", F.coalesce("root", "sid").alias("root")), "roots")
 
