@@ -1,8 +1,5 @@
 """The pipeline's stages on small tables made for one rule each."""
 
-import pytest
-from llm_brute import SCHEMA
-
 import corpus_pipeline
 from wattlane.session import settle
 
@@ -53,8 +50,3 @@ def test_awkward_table(spark, sf, awkward):
 def test_empty_table(spark, sf, empty):
     assert all(df.count() == 0 for df in run(spark, empty, sf).values())
     assert len(corpus_pipeline.STAGES) in (4, 5)
-
-
-@pytest.mark.parametrize("least", [corpus_pipeline.LEAST_CERTAINTY])
-def test_schema_of_the_awkward_table_has_clashing_names(least):
-    assert {"id", "h"} <= {x.split()[0] for x in SCHEMA.split(", ")} and 0 < least <= 0.5
