@@ -8,7 +8,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wattlane.defaults import HEADER_FIXES, KEY_COLUMNS, TIME_KEYWORDS
 
