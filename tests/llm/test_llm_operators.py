@@ -95,6 +95,21 @@ def test_a_hot_passage(spark, n):
     assert stats["largest"] < 1.5 * 2 * 670 * n
 
 
+@pytest.mark.parametrize("n", [200, 800])
+def test_the_edges_of_a_hot_passage_share_no_transform(spark, n):
+    """However many texts share a passage, the largest transform stays within what one is meant to hold."""
+    rng = random.Random(n)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(1_000))
+    other = lambda size: "".join(rng.choice("ijklmnop ") for _ in range(size))
+    rows = [(i, other(300) + passage + other(300)) for i in range(n)]
+    rows += [(n + i, rows[i][1]) for i in range(3)] + [(n + 3, passage[:700]), (n + 4, "ab" * 9_000 + "c"), (n + 5, "ab" * 15_000)]
+    stats = {}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = answers(suffix_dedup.repeated_spans(docs, hot_runs=20, task_bytes=20_000, stats=stats), *SPANS)
+    assert got == brute_spans(rows, 400)
+    assert stats["largest"] < 3 * 20_000  # keys of at most 20,000 bytes, some of which meet
+
+
 def test_repeated_spans_of_the_tables(spark, sf):
     docs = small(spark, sf)
     rows = [r for r in texts_of(docs) if len(r[1]) < 6000]
