@@ -139,6 +139,34 @@ def test_copies_of_rows_are_bounded(spark):
     assert stats["home_train_copies"] <= 4_000 and stats["reach_train_copies"] <= 4_000
 
 
+def test_queries_travel_once_per_block_where_nothing_can_be_pruned(spark):
+    """In many dimensions every cell is in reach: then copies go by blocks, not by cells, and the result is whole."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(0, 1, (1_500, 24))
+    train = spark.createDataFrame([(i, v.tolist(), float(i)) for i, v in enumerate(x)], "tid long, v array<double>, y double")
+    wanted = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x[:200])], "qid long, v array<double>")
+    stats = {}
+    got = {}
+    for r in neighbours.nearest_neighbours(train, wanted, "v", "y", "tid", "qid", 5, stats=stats).collect():
+        got.setdefault(r["qid"], []).append((r["dist"], r["tid"]))
+    for i in range(200):
+        d = np.sqrt(((x - x[i]) ** 2).sum(axis=1))
+        assert [t for _, t in sorted(got[i])] == sorted(range(1_500), key=lambda j: (d[j], j))[:5]
+    assert stats["cells"] > 10 and stats["home_query_copies"] + stats["reach_query_copies"] == 200
+
+
+def test_cells_share_blocks_and_large_ones_have_several():
+    rng = np.random.default_rng(7)
+    pivots = neighbours.Pivots(rng.normal(0, 1, (12, 2)), 2)
+    sizes = np.array([3, 50, 7, 1, 9, 2, 25, 4, 4, 4, 8, 1])
+    cells = neighbours.Cells(pivots, np.arange(12), sizes, np.full(12, 0.5), 10)
+    assert sorted(cells.ids) == list(range(12)) and max(cells.rows) <= 10 and sum(cells.rows) >= sizes.sum()
+    at = {c: (cells.first[i], cells.pieces[i]) for i, c in enumerate(cells.ids.tolist())}
+    assert at[1][1] == 5 and at[6][1] == 3
+    for c, (first, pieces) in at.items():     # nothing else stands in the blocks of a large cell
+        assert pieces == 1 or not any(first <= f < first + pieces for o, (f, _) in at.items() if o != c)
+
+
 def test_partial_selection_keeps_ties_in_order():
     d = np.array([[3.0, 1.0, 1.0, 1.0, 2.0], [5.0, 5.0, 5.0, 5.0, 5.0], [np.inf, 4.0, np.inf, np.inf, 0.0]])
     row, column = neighbours._best(d, 3)
