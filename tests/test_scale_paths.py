@@ -155,6 +155,13 @@ def test_queries_travel_once_per_block_where_nothing_can_be_pruned(spark):
     assert stats["cells"] > 10 and stats["home_query_copies"] + stats["reach_query_copies"] == 200
 
 
+def test_pivots_lie_among_the_rows(spark):
+    """The least vector of a bucket is one with a small first number: such pivots part nothing."""
+    rows = spark.range(4_000).select(F.array((F.col("id") * 1000 + 0.5).cast("double"), F.lit(1.0)).alias("vec"))
+    first = neighbours._pivots(rows, 20, 2).vectors[:, 0]
+    assert len(first) == 20 and first.max() > 2e6 and 5e5 < np.median(first) < 3.5e6
+
+
 def test_cells_share_blocks_and_large_ones_have_several():
     rng = np.random.default_rng(7)
     pivots = neighbours.Pivots(rng.normal(0, 1, (12, 2)), 2)
