@@ -213,6 +213,59 @@ def test_sparse_features_have_no_level_bound(spark, monkeypatch):
     assert unseen["features"].toArray().tolist()[2:] == [0.0, 0.0]      # a level not learnt
 
 
+def coded(spark, n=240):
+    rows = [(i, f"s{i * 7 % 23}", ["a", "b", None, "Z"][i % 4], float(i % 5) - 1, float(i * 13 % 37)) for i in range(n)]
+    return spark.createDataFrame(rows, "id long, s string, t string, x double, y double")
+
+
+def test_levels_stay_off_the_driver(spark):
+    """They are numbered and looked up as a table; the vectors' metadata has their number, not their names."""
+    from wattlane.operators.features import sparse_features
+
+    df = coded(spark)
+    vectors, fitted = sparse_features(df, FeatureConfig(target="y", drop=(), keep=("id",)))
+    assert vectors.schema["features"].metadata == {"ml_attr": {"num_attrs": 27}}
+    assert fitted.sizes == [23, 3] and fitted.levels.count() == 26
+    order = {v: i for i, v in enumerate(sorted({f"s{i}" for i in range(23)}))}
+    for r in vectors.collect():
+        one = [1 + order[r["s"]], 24 + ["Z", "a", "b"].index(r["t"])]
+        want = dict.fromkeys(one, 1.0) | ({0: float(r["id"] % 5) - 1} if r["id"] % 5 != 1 else {})
+        assert dict(zip(r["features"].indices.tolist(), r["features"].values.tolist())) == want and r["features"].size == 27
+        assert (r["s_index"], r["t_index"]) == (one[0] - 1, one[1] - 24)
+
+
+def test_wide_ridge_equals_closed_form(spark, monkeypatch, tmp_path):
+    from wattlane.operators.features import sparse_features
+    from wattlane.plans import models
+
+    monkeypatch.setattr(models, "MAX_DIRECT", 10)
+    vectors, _ = sparse_features(coded(spark), FeatureConfig(target="y", drop=(), keep=("id",)))
+    data = vectors.select("id", "features", F.col("y").alias("label"))
+    model = build_estimator(ModelSpec("r", "ridge", {"alpha": 2.0})).fit(data)
+    assert isinstance(model, models.WideLinearModel)
+    rows = data.orderBy("id").collect()
+    x, y = np.array([r["features"].toArray() for r in rows]), np.array([r["label"] for r in rows])
+    mx, my = x.mean(axis=0), y.mean()
+    w = np.linalg.solve((x - mx).T @ (x - mx) + 2.0 * np.eye(27), (x - mx).T @ (y - my))
+    want = my + (x - mx) @ w
+    stored = load_model(save_model(model, str(tmp_path / "m"), spark), spark)
+    for m in (model, stored):
+        assert np.allclose([r["prediction"] for r in m.transform(data).orderBy("id").collect()], want, atol=1e-8)
+    alone, _ = sparse_features(coded(spark).drop("t", "x"), FeatureConfig(target="y", drop=(), keep=("id",)))  # one entry a row
+    data = alone.select("id", "features", F.col("y").alias("label"))
+    rows = build_estimator(ModelSpec("r", "ridge", {"alpha": 2.0})).fit(data).transform(data).collect()
+    small = ridge_by_hand(data, 2.0)
+    assert max(abs(r["prediction"] - small[r["id"]]) for r in rows) < 1e-8
+
+
+def ridge_by_hand(data, alpha):
+    rows = data.collect()
+    x, y = np.array([r["features"].toArray() for r in rows]), np.array([r["label"] for r in rows])
+    xc = x - x.mean(axis=0)
+    w = np.linalg.solve(xc.T @ xc + alpha * np.eye(x.shape[1]), xc.T @ (y - y.mean()))
+    return dict(zip([r["id"] for r in rows], y.mean() + xc @ w))
+
+
 def test_training_and_scoring_jobs(spark, tmp_path):
     from wattlane.plans.jobs import run_evaluation, run_scoring, run_training
 

@@ -12,8 +12,6 @@ import json
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field, replace
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +19,8 @@ from pyspark.sql import types as T
 from wattlane.defaults import SENTINELS, TARGET, TIMESTAMP
 from wattlane.functions import clean_nan, coerce_numeric, sentinel_to_null
 from wattlane.operators.names import lower_names
+from wattlane.operators.wide import fill_places, number_levels, sparse_vector
+from wattlane.session import settle
 
 MAX_LEVELS = 5_000
 
@@ -192,29 +192,55 @@ def build_features(df: DataFrame, config: FeatureConfig = FeatureConfig(),
     return model.transform(df), model
 
 
+@dataclass
+class SparseFeatureModel:
+    """What ``sparse_features`` learned; the levels are a table ``(column, value, place)``."""
+
+    model: FeatureModel
+    numeric: list[str]
+    text: list[str]
+    sizes: list[int]
+    levels: DataFrame | None
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        out = self.model.transform(df)
+        kept = out.columns
+        if self.text:
+            out = fill_places(out, self.levels, self.text)
+        starts = [len(self.numeric) + sum(self.sizes[:i]) for i in range(len(self.text))]
+        values = [F.struct(F.lit(i).alias("j"), F.col(f"`{c}`").alias("x")) for i, c in enumerate(self.numeric)]
+        values += [F.struct((F.col(f"_place_{i}") + start).cast("int").alias("j"),
+                            F.when(F.col(f"_place_{i}").isNotNull(), 1.0).otherwise(0.0).alias("x")) for i, start in enumerate(starts)]
+        entries = F.filter(F.array(*values), lambda e: e["x"] != 0)
+        width = len(self.numeric) + sum(self.sizes)
+        features = sparse_vector(width, entries["j"], entries["x"])
+        index = {f"{c}_index": F.coalesce(F.col(f"_place_{i}"), F.lit(self.sizes[i])).cast("double") for i, c in enumerate(self.text)}
+        return out.select(*[F.col(f"`{c}`") for c in kept if c not in self.numeric], *[v.alias(k) for k, v in index.items()],
+                          features.alias("features", metadata={"ml_attr": {"num_attrs": width}}))
+
+
 def sparse_features(df: DataFrame, config: FeatureConfig = FeatureConfig(),
-                    fit_on: DataFrame | None = None) -> tuple[DataFrame, PipelineModel]:
+                    fit_on: DataFrame | None = None) -> tuple[DataFrame, SparseFeatureModel]:
     """Text columns of any number of levels: one sparse vector ``features`` per row, the numeric columns first,
     then a one for each text column's level (levels in alphabetical order). A level not seen in fitting
     has no one. Beside it ``<column>_index``, the filled text columns, the target and the kept columns.
 
-    The caller chooses this form; ``build_features`` gives one column per level. The driver holds the
-    distinct levels, as it holds a coefficient for each of them once a model is fitted.
+    The caller chooses this form; ``build_features`` gives one column per level. The levels are numbered
+    and looked up as a table; the driver holds their number only.
     """
     source = df if fit_on is None else fit_on
     model = fit_features(source, replace(config, one_hot=False))
     numeric = [c for c, kind in model.columns.items() if kind == "numeric"]
     text = [c for c, kind in model.columns.items() if kind == "text"]
-    stages: list = []
+    sizes, levels = [], None
     if text:
-        stages = [
-            StringIndexer(inputCols=text, outputCols=[f"{c}_index" for c in text], stringOrderType="alphabetAsc",
-                          handleInvalid="keep"),
-            OneHotEncoder(inputCols=[f"{c}_index" for c in text], outputCols=[f"{c}_level" for c in text], dropLast=True)]
-    stages.append(VectorAssembler(inputCols=[*numeric, *[f"{c}_level" for c in text]], outputCol="features"))
-    fitted = Pipeline(stages=stages).fit(model.transform(source))
-    out = fitted.transform(model.transform(df))
-    return out.drop(*numeric, *[f"{c}_level" for c in text]), fitted
+        counted = level_counts(source, text, config)
+        places = F.create_map(*[x for i, c in enumerate(text) for x in (F.lit(c), F.lit(i))])
+        levels = settle(number_levels(counted.select(places[F.col("column")].alias("column"), "value")), "places")
+        found = {r["column"]: r["n"] for r in levels.groupBy("column").agg(F.count("*").alias("n")).collect()}
+        sizes = [found.get(i, 0) for i in range(len(text))]
+    fitted = SparseFeatureModel(model, numeric, text, sizes, levels)
+    return fitted.transform(df), fitted
 
 
 def drop_empty_columns(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
