@@ -57,15 +57,19 @@ def entries(features: str) -> Column:
     return F.filter(pairs, lambda e: e["x"] != 0)
 
 
-def products(df: DataFrame, features: str) -> int:
-    """How many products of entries the rows have in all, to tell sparse vectors from dense ones."""
-    n = F.size(entries(features)).cast("long")
-    return df.agg(F.sum(n * n)).first()[0] or 0
+def entry_rows(df: DataFrame, features: str, label: str) -> DataFrame:
+    """``(y, e)``, the label and the entries of each row, written once as several passes read them."""
+    return settle(df.select(F.col(label).alias("y"), entries(features).alias("e")), "entries")
 
 
-def solve_ridge(df: DataFrame, features: str, label: str, alpha: float, fit_intercept: bool) -> tuple[DataFrame, float]:
-    """``(j, w)`` and the intercept. A feature that is 0 in every row has no row: its coefficient is 0."""
-    rows = df.select(F.col(label).alias("y"), entries(features).alias("e"))
+def products(rows: DataFrame) -> float:
+    """How many products of entries a row has in the mean, to tell sparse vectors from dense ones."""
+    n = F.size("e").cast("double")
+    return rows.agg(F.avg(n * n)).first()[0] or 0.0
+
+
+def solve_ridge(rows: DataFrame, alpha: float, fit_intercept: bool) -> tuple[DataFrame, float]:
+    """``(j, w)`` and the intercept, from ``entry_rows``. A feature that is 0 in every row has no row: its coefficient is 0."""
     s = rows.agg(F.count("*").alias("n"), F.count("y").alias("known"), F.avg("y").alias("mean")).first()
     if s["known"] < s["n"]:
         raise ValueError("labels must not be null")

@@ -18,9 +18,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlane.operators.neighbours import knn_predict
+from wattlane.operators.wide import entry_rows, predict_linear, products, solve_ridge
 from wattlane.sources.tables import write_document
 
 FEATURES, LABEL, KEY = "features", "label", "row_key"
+MAX_DIRECT = 4_096  # widest vectors that Spark's direct solver takes
+SPARSE = 64         # vectors with more entries than this, in the mean of squares, count as dense
 
 
 @dataclass
@@ -33,19 +36,44 @@ class ModelSpec:
 class RidgeRegression(Estimator):
     """Squared error plus ``alpha`` times the squared coefficients, intercept not penalised.
 
-    Spark divides the loss by n and by the label's deviation, hence the factor."""
+    Spark divides the loss by n and by the label's deviation, hence the factor. Sparse vectors too wide for its
+    direct solver are solved by ``operators.wide``, whose coefficients are a table."""
 
     def __init__(self, alpha: float = 1.0, fit_intercept: bool = True):
         super().__init__()
         self.alpha, self.fit_intercept = float(alpha), fit_intercept
 
     def _fit(self, dataset: DataFrame):
+        if width(dataset) > MAX_DIRECT:
+            rows = entry_rows(dataset, FEATURES, LABEL)
+            if products(rows) <= SPARSE ** 2:
+                return WideLinearModel(*solve_ridge(rows, self.alpha, self.fit_intercept))
         s = dataset.agg(F.count(LABEL).alias("n"), F.stddev_pop(LABEL).alias("sd")).first()
         reg = self.alpha * (s["sd"] or 0.0) / max(s["n"], 1)
         return LinearRegression(featuresCol=FEATURES, labelCol=LABEL, regParam=reg, elasticNetParam=0.0,
                                 standardization=False, solver="auto", fitIntercept=self.fit_intercept).fit(dataset)
 
 
+class WideLinearModel(Model):
+    """Coefficients as a table ``(j, w)``; a feature that is not in it counts nothing."""
+
+    def __init__(self, coefficients: DataFrame, intercept: float):
+        super().__init__()
+        self.coefficients, self.intercept = coefficients, intercept
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return predict_linear(dataset, FEATURES, self.coefficients, self.intercept)
+
+
+def width(dataset: DataFrame) -> int:
+    """Of the feature vectors, from their metadata or else the first row."""
+    known = dataset.schema[FEATURES].metadata.get("ml_attr", {}).get("num_attrs")
+    if known is None:
+        first = dataset.select(FEATURES).first()
+        known = 0 if first is None or first[0] is None else first[0].size
+    return known
+
+
 class KnnRegressor(Estimator):
     """k nearest neighbours; see ``operators.neighbours``. Rows need a unique integer key."""
 
@@ -245,6 +273,9 @@ def save_model(model: Model, path: str, spark: SparkSession) -> str:
     if isinstance(model, KnnModel):
         model.train.write.mode("overwrite").parquet(f"{path}/train")
         write_document(spark, {"kind": "knn", "k": model.k, "weights": model.weights, "p": model.p}, f"{path}/kind")
+    elif isinstance(model, WideLinearModel):
+        model.coefficients.write.mode("overwrite").parquet(f"{path}/coefficients")
+        write_document(spark, {"kind": "wide", "intercept": model.intercept}, f"{path}/kind")
     else:
         PipelineModel([model]).write().overwrite().save(f"{path}/pipeline")
         write_document(spark, {"kind": "spark"}, f"{path}/kind")
@@ -255,4 +286,6 @@ def load_model(path: str, spark: SparkSession) -> Model:
     kind = json.loads(spark.read.text(f"{path}/kind").first()["value"])
     if kind["kind"] == "knn":
         return KnnModel(spark.read.parquet(f"{path}/train"), kind["k"], kind["weights"], kind["p"])
+    if kind["kind"] == "wide":
+        return WideLinearModel(spark.read.parquet(f"{path}/coefficients"), kind["intercept"])
     return PipelineModel.load(f"{path}/pipeline")
