@@ -61,6 +61,25 @@ def test_ranks_across_partitions(spark, tied, partitions):
     assert matrix["flat", "hot"] == (None, len(tied))
 
 
+def test_long_runs_of_a_value_do_not_wait_in_a_task(spark, tied, monkeypatch):
+    monkeypatch.setattr(ranks, "HOLD", 40)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 30)
+    settle, kept = ranks.settle, {}
+    monkeypatch.setattr(ranks, "settle", lambda df, name="stage": kept.setdefault(name, settle(df, name)))
+    try:
+        numbered, partial = ranks.numbered_rows(to_spark(spark, tied).select("hot", "holes"))
+        got = ranks.row_ranks(numbered, ["hot", "holes"], partial).join(numbered, ranks.ROW).toPandas()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert kept["ordered"].where("same0 is null").count() > 500
+    for i, c in enumerate(("hot", "holes")):
+        mine = got[got["metric"] == i]
+        assert len(mine) == tied[c].notna().sum() and np.allclose(mine["r0"], mine[c].rank())
+    both = got[(got["metric"] == 0) & got["holes"].notna()]
+    assert np.allclose(both["r1"], both["hot"].rank())
+
+
 def test_ranks_have_one_exchange_of_values(spark, tied):
     """The values travel once, by range; what follows is small or keyed by row."""
     numbered, _ = ranks.numbered_rows(to_spark(spark, tied).select("hot"))

@@ -23,6 +23,7 @@ from pyspark.sql.window import Window
 from wattlane.session import settle, spread
 
 ROW = "_row"
+HOLD = 20_000  # rows of one value that wait in a task for its end
 
 
 def _tie_runs(metric: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -31,21 +32,39 @@ def _tie_runs(metric: np.ndarray, v: np.ndarray) -> np.ndarray:
     return np.concatenate([[True], (metric[1:] != metric[:-1]) | ~same])
 
 
-def _count_in_order(batches, masks: int):
+def _count_in_order(batches, masks: int, hold: int):
     """Per row of a partition in order of (metric, v): how many rows of the partition and metric
-    are smaller, and how many equal, among all rows and among those of each mask."""
+    are smaller, and how many equal, among all rows and among those of each mask. Of a run of more
+    than ``hold`` equal values the rows pass on without the second; its last ones have it."""
     part = TaskContext.get().partitionId()
     held: list[pa.RecordBatch] = []
     metric, before = None, np.zeros(masks, np.int64)
+    passed = np.zeros(masks, np.int64)  # rows of the run that goes on that have passed already
+    names = [ROW, "metric", "v", "part", *[f"{k}{i}" for i in range(masks) for k in ("less", "same")]]
+
+    def weights(rows: pa.Table) -> np.ndarray:
+        return np.column_stack([np.ones(rows.num_rows, np.int64), *[
+            rows.column(f"m{i}").to_numpy(zero_copy_only=False).astype(np.int64) for i in range(1, masks)]])
+
+    def open_run(rows: pa.Table):
+        nonlocal passed
+        n = rows.num_rows
+        passed = passed + weights(rows).sum(axis=0)
+        less = before if rows.column("metric")[0].as_py() == metric else np.zeros(masks, np.int64)
+        columns = [rows.column(c) for c in (ROW, "metric", "v")] + [pa.array(np.full(n, part, np.int32))]
+        for i in range(masks):
+            columns += [pa.array(np.full(n, less[i])), pa.nulls(n, pa.int64())]
+        return pa.table(columns, names=names).combine_chunks().to_batches()
 
     def counted(rows: pa.Table):
-        nonlocal metric, before
+        nonlocal metric, before, passed
         m, v = rows.column("metric").to_numpy(), rows.column("v").to_numpy()
-        weight = np.column_stack([np.ones(len(m), np.int64), *[
-            rows.column(f"m{i}").to_numpy(zero_copy_only=False).astype(np.int64) for i in range(1, masks)]])
+        weight = weights(rows)
         start = np.flatnonzero(_tie_runs(m, v))
         run = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(m))))
         equal = np.add.reduceat(weight, start, axis=0)
+        equal[0] += passed
+        passed = np.zeros(masks, np.int64)
         smaller = np.cumsum(equal, axis=0) - equal
         fresh = np.flatnonzero(np.concatenate([[m[start[0]] != metric], m[start[1:]] != m[start[:-1]]]))
         base = np.zeros_like(smaller)
@@ -57,7 +76,6 @@ def _count_in_order(batches, masks: int):
         columns = [rows.column(c) for c in (ROW, "metric", "v")] + [pa.array(np.full(len(m), part, np.int32))]
         for i in range(masks):
             columns += [pa.array(smaller[run, i]), pa.array(equal[run, i])]
-        names = [ROW, "metric", "v", "part", *[f"{k}{i}" for i in range(masks) for k in ("less", "same")]]
         return pa.table(columns, names=names).combine_chunks().to_batches()
 
     for batch in batches:
@@ -69,7 +87,11 @@ def _count_in_order(batches, masks: int):
         starts = np.flatnonzero(_tie_runs(rows.column("metric").to_numpy(), rows.column("v").to_numpy()))
         if starts[-1]:
             yield from counted(rows.slice(0, starts[-1]))
-        held = rows.slice(starts[-1]).combine_chunks().to_batches()
+        rest = rows.slice(starts[-1])
+        if rest.num_rows > hold:
+            yield from open_run(rest.slice(0, rest.num_rows - 1))
+            rest = rest.slice(rest.num_rows - 1)
+        held = rest.combine_chunks().to_batches()
     if held:
         yield from counted(pa.Table.from_batches(held))
 
@@ -94,24 +116,28 @@ def row_counts(numbered: DataFrame, columns: Sequence[str], partial: Sequence[st
         F.struct(F.lit(i).alias("metric"), (F.col(f"`{c}`").cast("double") + 0.0).alias("v")) for i, c in enumerate(columns)])))
     ordered = rows.where(F.col("v").isNotNull()).repartitionByRange("metric", "v", ROW).sortWithinPartitions("metric", "v")
     schema = f"{ROW} long, metric int, v double, part int" + "".join(f", less{i} long, same{i} long" for i in range(masks))
-    local = settle(ordered.mapInArrow(lambda b: _count_in_order(b, masks), schema), "ordered")
+    hold = HOLD
+    local = settle(ordered.mapInArrow(lambda b: _count_in_order(b, masks, hold), schema), "ordered")
 
+    ended = local.where(F.col("same0").isNotNull())
     first = F.struct(*[f"same{i}" for i in range(masks)])
     last = F.struct(*[f"{k}{i}" for i in range(masks) for k in ("less", "same")])
-    cells = settle(local.groupBy("metric", "part").agg(
+    cells = settle(ended.groupBy("metric", "part").agg(
         F.min("v").alias("low"), F.max("v").alias("high"), F.min_by(first, "v").alias("first"), F.max_by(last, "v").alias("last")), "cells")
-    # A row per partition and metric, and per value at an edge of a partition, reaches these windows.
+    # A row per partition and metric, and per long run and value at an edge of a partition, reaches these windows.
     earlier = Window.partitionBy("metric").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     runs = Window.partitionBy("metric", "v").orderBy("part")
     size = lambda i: F.col(f"last.less{i}") + F.col(f"last.same{i}")
     edges = cells.select("metric", "part", F.inline(F.array_distinct(F.array(
         F.struct(F.col("low").alias("v"), *[F.col(f"first.same{i}").alias(f"n{i}") for i in range(masks)]),
         F.struct(F.col("high").alias("v"), *[F.col(f"last.same{i}").alias(f"n{i}") for i in range(masks)])))))
+    long = ended.where(F.col("same0") > hold).groupBy("metric", "part", "v").agg(*[F.max(f"same{i}").alias(f"n{i}") for i in range(masks)])
+    edges = edges.unionByName(long).dropDuplicates(["metric", "part", "v"])
 
     def beyond(i: int, frame) -> Column:
         return F.coalesce(F.sum(f"n{i}").over(frame), F.lit(0))
 
-    ties = edges.select("metric", "part", "v", *[
+    ties = edges.select("metric", "part", "v", *[f"n{i}" for i in range(masks)], *[
         beyond(i, frame).alias(f"{k}{i}") for i in range(masks)
         for k, frame in (("ahead", runs.rowsBetween(Window.unboundedPreceding, -1)), ("behind", runs.rowsBetween(1, Window.unboundedFollowing)))])
     offsets = cells.select("metric", "part", *[F.coalesce(F.sum(size(i)).over(earlier), F.lit(0)).alias(f"offset{i}") for i in range(masks)])
@@ -119,7 +145,7 @@ def row_counts(numbered: DataFrame, columns: Sequence[str], partial: Sequence[st
 
     def counts(i: int) -> list[Column]:
         ahead, behind = (F.coalesce(F.col(f"{k}{i}"), F.lit(0)) for k in ("ahead", "behind"))
-        return [(F.col(f"offset{i}") + F.col(f"less{i}") - ahead).alias(f"below{i}"), (F.col(f"same{i}") + ahead + behind).alias(f"equal{i}")]
+        return [(F.col(f"offset{i}") + F.col(f"less{i}") - ahead).alias(f"below{i}"), (F.coalesce(f"same{i}", f"n{i}") + ahead + behind).alias(f"equal{i}")]
 
     return placed.select(ROW, "metric", "v", *[c for i in range(masks) for c in counts(i)])
 
